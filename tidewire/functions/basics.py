@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,8 +26,21 @@ def round_dp(value: Column, places: int) -> Column:
     return F.round(value.cast("decimal(38,12)"), places).cast("double")
 
 
+def sql_literal(value: object) -> str:
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    return f"{value!r}D" if isinstance(value, float) else repr(value)
+
+
+def literal_array(values: Iterable[object]) -> Column:
+    """An array constant, parsed from one SQL text in place of one call per element."""
+    return F.expr(f"array({', '.join(map(sql_literal, values))})")
+
+
 def literal_map(mapping: Mapping[str, object]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    pairs = (sql_literal(x) for pair in mapping.items() for x in pair)
+    return F.expr(f"map({', '.join(pairs)})")
 
 
 def hour_floor(ts: Column) -> Column:

@@ -12,22 +12,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidewire.config import EngineConfig
-from tidewire.functions.basics import bind, literal_map
+from tidewire.functions.basics import bind, literal_array, literal_map
 from tidewire.functions.text import lowered
 
 
-def _words(words: Sequence[str]) -> Column:
-    return F.array(*[F.lit(w) for w in words])
-
-
 def hits(text: Column, words: Sequence[str]) -> Column:
     """The words that occur in the text, in dictionary order."""
-    return bind(lowered(text), lambda t: F.filter(_words(words), lambda w: F.contains(t, w)))
+    return bind(lowered(text), lambda t: F.filter(literal_array(words), lambda w: F.contains(t, w)))
 
 
 def contains_any(text: Column, words: Sequence[str]) -> Column:
     """Stops at the first word found."""
-    return bind(lowered(text), lambda t: F.exists(_words(words), lambda w: F.contains(t, w)))
+    return bind(lowered(text), lambda t: F.exists(literal_array(words), lambda w: F.contains(t, w)))
 
 
 def is_relevant(text: Column, config: EngineConfig) -> Column:
@@ -37,7 +33,7 @@ def is_relevant(text: Column, config: EngineConfig) -> Column:
 def detect_assets(found: Column, config: EngineConfig) -> Column:
     """Asset labels in dictionary order; `UNKNOWN` when there is none."""
     labels = F.array_compact(F.array(*[
-        F.when(F.arrays_overlap(found, _words(words)), F.lit(label))
+        F.when(F.arrays_overlap(found, literal_array(words)), F.lit(label))
         for label, words in config.asset_words.items()
     ]))
     return bind(labels, lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(F.lit("UNKNOWN"))))
@@ -59,9 +55,9 @@ def event_from_words(found: Column, config: EngineConfig) -> Column:
     result = F.lit("unknown")
     for rule in reversed(config.ordered_rules):
         if rule.min_hits == 1:
-            matched = F.arrays_overlap(found, _words(rule.words))
+            matched = F.arrays_overlap(found, literal_array(rule.words))
         else:
-            matched = F.size(F.array_intersect(found, _words(rule.words))) >= rule.min_hits
+            matched = F.size(F.array_intersect(found, literal_array(rule.words))) >= rule.min_hits
         result = F.when(matched, rule.event_type).otherwise(result)
     return result
 

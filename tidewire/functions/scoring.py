@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewire import fixed_values as fv
 from tidewire.config import EngineConfig
-from tidewire.functions.basics import bind, literal_map, round_dp
+from tidewire.functions.basics import bind, literal_array, literal_map, round_dp
 from tidewire.functions.keywords import hits, impact_base
 from tidewire.functions.text import strip
 
@@ -31,7 +31,7 @@ def impact_score(event_type: Column, weight: Column, assets: Column, config: Eng
             .otherwise(base)
         )
 
-    market_wide = F.arrays_overlap(assets, F.array(*[F.lit(a) for a in fv.IMPACT_BOOST_ASSETS]))
+    market_wide = F.arrays_overlap(assets, literal_array(fv.IMPACT_BOOST_ASSETS))
     raised = bind(
         bind(impact_base(event_type, config), tune),
         lambda score: F.when((score < 3) & market_wide, score + 1).otherwise(score),

@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from tidewire.config import DEFAULT_CONFIG, EngineConfig
 from tidewire.functions import keywords as kw
 from tidewire.functions import scoring as sc
+from tidewire.functions.basics import literal_array
 from tidewire.functions.text import article_text
 from tidewire.schemas import ENRICHED_FIELDS
 
@@ -191,7 +192,7 @@ def measure_articles(
     if "headline_probs" not in df.columns:
         df = with_lexicon_probs(df)
     found = df.withColumn("_hits", kw.hits(text_of(df), config.all_words))
-    words = F.array(*[F.lit(w) for w in config.relevance_words])
+    words = literal_array(config.relevance_words)
     flagged = found.withColumn("relevant", F.arrays_overlap("_hits", words))
     return with_sentiment(with_word_classes(flagged, config=config)).select(
         *keys, "relevant", "word_event", "asset_mentioned", "source_weight",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewire import fixed_values as fv
-from tidewire.functions.basics import bind
+from tidewire.functions.basics import bind, literal_array
 from tidewire.functions.text import article_text, lowered
 from tidewire.functions.verdicts import fallback_verdict, parse_verdicts
 from tidewire.operators.ordered import row_index
@@ -136,9 +136,7 @@ def noise_gate(df: DataFrame) -> DataFrame:
 def classify_noise_rules(df: DataFrame) -> DataFrame:
     """Offline verdicts: speculation first, then listicles, else a signal."""
     def read(text: Column) -> Column:
-        speculative = F.exists(
-            F.array(*[F.lit(w) for w in SPECULATION]), lambda w: F.contains(text, w)
-        )
+        speculative = F.exists(literal_array(SPECULATION), lambda w: F.contains(text, w))
         listicle = text.rlike("|".join(LISTICLES))
         reason = F.when(speculative, "speculation").when(listicle, "listicle").otherwise("event")
         return reason

@@ -16,86 +16,82 @@ from tidewire.functions.basics import hours, round_dp
 from tidewire.operators.enrich import MEASURES
 from tidewire.operators.ordered import month_of, previous_value
 
-GROUPS = ("volume", "sentiment", "buckets", "weighted", "impact", "net", "flags", "events", "assets",
-          "sources")
-
-
-def article_sentiment() -> Column:
-    return F.coalesce("final_sentiment_score", "headline_sentiment_score", F.lit(0.0))
+MOOD = "coalesce(final_sentiment_score, headline_sentiment_score, 0.0D)"
+FINAL = "coalesce(final_sentiment_score, 0.0D)"
+# int(2 * impact) repeats of a score, one repeat at impact 0: a weight, so nothing is exploded.
+REPEATS = "CASE WHEN impact_score > 0 THEN impact_score * 2 ELSE 1 END"
+HIGH, LOW = f"> {fv.POLARITY}D", f"< -{fv.POLARITY}D"
+
+# group -> [(column, kind, aggregate)]. A kind says how the aggregate is finished: `mean` rounds to 4
+# decimals, `int` and `double` cast, `flag` stays; an absent value is 0 or false.
+AGGREGATES = {
+    "volume": [("article_count", "int", "count(1)")],
+    "sentiment": [
+        ("avg_sentiment", "mean", f"avg({MOOD})"),
+        ("max_sentiment", "mean", f"max({MOOD})"),
+        ("min_sentiment", "mean", f"min({MOOD})"),
+        ("sentiment_std", "mean", f"stddev_samp({MOOD})"),
+    ],
+    "buckets": [
+        ("positive_count", "int", f"count_if({MOOD} {HIGH})"),
+        ("negative_count", "int", f"count_if({MOOD} {LOW})"),
+        ("neutral_count", "int", f"count_if(NOT ({MOOD} {HIGH} OR {MOOD} {LOW}))"),
+    ],
+    "weighted": [
+        ("weighted_avg_sentiment", "mean", f"sum({FINAL} * ({REPEATS}))"),
+    ],
+    "impact": [
+        ("avg_impact", "mean", "avg(impact_score)"),
+        ("max_impact", "int", "max(impact_score)"),
+        ("high_impact_count", "int", "count_if(impact_score >= 3)"),
+        ("mid_impact_count", "int", "count_if(impact_score = 2)"),
+        ("low_impact_count", "int", "count_if(impact_score <= 1)"),
+    ],
+    "net": [
+        ("net_impact_sentiment", "double",
+         f"sum(CASE WHEN {FINAL} {HIGH} THEN impact_score WHEN {FINAL} {LOW} THEN -impact_score END)"),
+    ],
+    "flags": [(name, "flag", f"bool_or(event_type = '{kind}')") for name, kind in fv.EVENT_FLAGS.items()],
+    "events": [(name, "int", f"count_if(event_type = '{kind}')") for name, kind in fv.EVENT_COUNTS.items()],
+    "assets": [
+        (name, "int", f"count_if(array_contains(asset_mentioned, '{asset}'))")
+        for name, asset in fv.ASSET_COUNTS.items()
+    ],
+    "sources": [
+        ("avg_source_weight", "mean", "avg(source_weight)"),
+        ("max_source_weight", "mean", "max(source_weight)"),
+        ("avg_confidence", "mean", "avg(headline_sentiment_conf)"),
+    ],
+}
+GROUPS = tuple(AGGREGATES)
+_FINISH = {
+    "mean": "coalesce(cast(round(cast({} AS decimal(38,12)), 4) AS double), 0.0D)",
+    "int": "cast(coalesce({}, 0) AS int)",
+    "double": "cast(coalesce({}, 0) AS double)",
+    "flag": "coalesce({}, false)",
+}
 
 
 def _or_zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
 
-def _count(condition: Column) -> Column:
-    return F.count_if(condition).cast("int")
-
-
-def feature_aggregates(groups: Iterable[str] = GROUPS, kept: Column | None = None) -> list[Column]:
+def feature_aggregates(groups: Iterable[str] = GROUPS, kept: str | None = None) -> list[Column]:
     """Aggregate columns of the chosen groups over enriched rows.
 
-    With `kept`, rows where it is not true only count as cleaned; without, every row is enriched.
+    With the name of a flag in `kept`, rows where it is not true only count in `total_raw`.
     """
-    def use(value: Column) -> Column:
-        return value if kept is None else F.when(kept, value)
-
-    mood = use(article_sentiment())
-    final = use(_or_zero(F.col("final_sentiment_score")))
-    impact = use(F.col("impact_score"))
-    event, assets = use(F.col("event_type")), use(F.col("asset_mentioned"))
-    weight, conf = use(F.col("source_weight")), use(F.col("headline_sentiment_conf"))
-    # int(2 * impact) repeats of a score, one repeat at impact 0: a weight, so nothing is exploded.
-    repeats = use(F.when(F.col("impact_score") > 0, F.col("impact_score") * 2).otherwise(1))
-    positive_impact = F.sum(F.when(final > fv.POLARITY, impact))
-    negative_impact = F.sum(F.when(final < -fv.POLARITY, impact))
-    one = F.lit(1)
-
-    columns = {
-        "volume": [F.count(use(one)).cast("int").alias("article_count"),
-                   F.count(one).cast("int").alias("total_raw")],
-        "sentiment": [
-            _or_zero(round_dp(F.avg(mood), 4)).alias("avg_sentiment"),
-            _or_zero(round_dp(F.max(mood), 4)).alias("max_sentiment"),
-            _or_zero(round_dp(F.min(mood), 4)).alias("min_sentiment"),
-            _or_zero(round_dp(F.stddev_samp(mood), 4)).alias("sentiment_std"),
-        ],
-        "buckets": [
-            _count(mood > fv.POLARITY).alias("positive_count"),
-            _count(mood < -fv.POLARITY).alias("negative_count"),
-            _count(mood.between(-fv.POLARITY, fv.POLARITY)).alias("neutral_count"),
-        ],
-        "weighted": [
-            _or_zero(round_dp(F.try_divide(F.sum(final * repeats), F.sum(repeats)), 4))
-            .alias("weighted_avg_sentiment"),
-        ],
-        "impact": [
-            _or_zero(round_dp(F.avg(impact), 4)).alias("avg_impact"),
-            F.coalesce(F.max(impact), F.lit(0)).cast("int").alias("max_impact"),
-            _count(impact >= 3).alias("high_impact_count"),
-            _count(impact == 2).alias("mid_impact_count"),
-            _count(impact <= 1).alias("low_impact_count"),
-        ],
-        "net": [
-            (F.coalesce(positive_impact, F.lit(0)) - F.coalesce(negative_impact, F.lit(0)))
-            .cast("double").alias("net_impact_sentiment"),
-        ],
-        "flags": [
-            F.coalesce(F.bool_or(event == kind), F.lit(False)).alias(name)
-            for name, kind in fv.EVENT_FLAGS.items()
-        ],
-        "events": [_count(event == kind).alias(name) for name, kind in fv.EVENT_COUNTS.items()],
-        "assets": [
-            _count(F.array_contains(assets, asset)).alias(name)
-            for name, asset in fv.ASSET_COUNTS.items()
-        ],
-        "sources": [
-            _or_zero(round_dp(F.avg(weight), 4)).alias("avg_source_weight"),
-            _or_zero(round_dp(F.max(weight), 4)).alias("max_source_weight"),
-            _or_zero(round_dp(F.avg(conf), 4)).alias("avg_confidence"),
-        ],
-    }
-    return [column for group in groups for column in columns[group]]
+    only = f" FILTER (WHERE {kept})" if kept else ""
+    columns = []
+    for group in groups:
+        for name, kind, aggregate in AGGREGATES[group]:
+            value = aggregate + only
+            if name == "weighted_avg_sentiment":
+                value = f"try_divide({value}, sum({REPEATS}){only})"
+            columns.append(F.expr(_FINISH[kind].format(value)).alias(name))
+        if group == "volume":
+            columns.append(F.expr("cast(count(1) AS int)").alias("total_raw"))
+    return columns
 
 
 def with_noise_ratio(df: DataFrame) -> DataFrame:
@@ -111,7 +107,7 @@ def flagged_window_features(
     flagged: DataFrame, by: tuple[str, ...] = ("window_start",), kept: str = "kept"
 ) -> DataFrame:
     """All news features from one pass over cleaned rows with a `kept` flag and the measures."""
-    return with_noise_ratio(flagged.groupBy(*by).agg(*feature_aggregates(kept=F.col(kept))))
+    return with_noise_ratio(flagged.groupBy(*by).agg(*feature_aggregates(kept=kept)))
 
 
 def window_features(enriched: DataFrame, cleaned: DataFrame, by: str = "window_start") -> DataFrame:
@@ -125,7 +121,7 @@ def window_features(enriched: DataFrame, cleaned: DataFrame, by: str = "window_s
     )
     counted = cleaned.groupBy(by).agg(F.count(F.lit(1)).alias("_cleaned"))
     both = marked.unionByName(counted.withColumn("kept", F.lit(False)), allowMissingColumns=True)
-    aggregates = feature_aggregates(kept=F.col("kept"))
+    aggregates = feature_aggregates(kept="kept")
     return with_noise_ratio(
         both.groupBy(by)
         .agg(*aggregates, F.sum("_cleaned").cast("int").alias("_total"))
@@ -144,23 +140,17 @@ def hour_calendar(df: DataFrame, start: Column | None = None, end: Column | None
     )
 
 
-ZERO_DOUBLES = (
-    "avg_sentiment", "max_sentiment", "min_sentiment", "sentiment_std", "weighted_avg_sentiment",
-    "avg_confidence", "avg_impact", "net_impact_sentiment", "avg_source_weight", "max_source_weight",
-)
-ZERO_INTS = (
-    "article_count", "total_raw", "positive_count", "negative_count", "neutral_count", "max_impact",
-    "high_impact_count", "mid_impact_count", "low_impact_count", *fv.EVENT_COUNTS, *fv.ASSET_COUNTS,
-)
+ZEROS = {name: kind for group in AGGREGATES.values() for name, kind, _ in group} | {"total_raw": "int"}
 
 
 def fill_empty_windows(features: DataFrame, calendar: DataFrame) -> DataFrame:
     """A row for every hour of the calendar; hours without articles get zeros, false and NULL ratio."""
+    def present(*kinds: str) -> list[str]:
+        return [c for c, kind in ZEROS.items() if kind in kinds and c in features.columns]
+
     joined = calendar.join(features, "window_start", "left")
-    filled = {c: F.coalesce(c, F.lit(0.0)) for c in ZERO_DOUBLES}
-    filled |= {c: F.coalesce(c, F.lit(0)) for c in ZERO_INTS}
-    filled |= {c: F.coalesce(c, F.lit(False)) for c in fv.EVENT_FLAGS}
-    return joined.withColumns({c: v for c, v in filled.items() if c in features.columns})
+    filled = joined.na.fill(0, present("int", "mean", "double"))
+    return filled.na.fill(False, present("flag"))
 
 
 def with_momentum(features: DataFrame) -> DataFrame:

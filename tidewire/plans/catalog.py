@@ -8,7 +8,6 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire import fixed_values as fv
 from tidewire.config import DEFAULT_CONFIG as CONFIG
 from tidewire.config import EngineConfig
 from tidewire.functions import keywords as kw
@@ -27,7 +26,7 @@ from tidewire.operators.asof import asof_join
 from tidewire.plans import hourly
 from tidewire.plans import inputs as inp
 from tidewire.plans.inputs import Inputs
-from tidewire.schemas import FEATURE_COLUMNS, FEATURES
+from tidewire.schemas import FEATURES
 from tidewire.session import materialize, work_dir
 from tidewire.sources import envelopes, feeds, store
 from tidewire.streaming import news as stream
@@ -44,13 +43,14 @@ def query(function: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFra
 
 def longs(df: DataFrame) -> DataFrame:
     """INT columns as BIGINT and label arrays as text, so that both engines give one type."""
-    casts: dict[str, Column] = {}
-    for name, kind in df.dtypes:
-        if kind == "int":
-            casts[name] = F.col(name).cast("bigint")
-        elif kind == "array<string>":
-            casts[name] = F.array_join(name, ",")
-    return df.withColumns(casts) if casts else df
+    forms = {"int": "cast({0} AS bigint) AS {0}", "array<string>": "array_join({0}, ',') AS {0}"}
+    return df.selectExpr(*[forms.get(kind, "{0}").format(name) for name, kind in df.dtypes])
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """DOUBLE columns to 8 decimals."""
+    form = "cast(round(cast({0} AS decimal(38,12)), 8) AS double) AS {0}"
+    return df.selectExpr(*[form.format(n) if kind == "double" else n for n, kind in df.dtypes])
 
 
 # ---- text functions -------------------------------------------------------------------------------
@@ -516,12 +516,6 @@ QUERIES["macd_hist"] = _folded(
 )
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        name: round_dp(F.col(name), 8) for name, kind in df.dtypes if kind == "double"
-    })
-
-
 @query
 def candle_frame(i: Inputs) -> DataFrame:
     return mk.candle_frame(_hours(i), i.candles().where(F.col("symbol") == inp.SYMBOL))
@@ -529,7 +523,7 @@ def candle_frame(i: Inputs) -> DataFrame:
 
 @query
 def market_features(i: Inputs) -> DataFrame:
-    return _rounded(mk.market_features(i.candles()))
+    return rounded(mk.market_features(i.candles()))
 
 
 @query
@@ -558,9 +552,7 @@ def _merged(i: Inputs) -> DataFrame:
     merged = hourly.merge_feature_groups(
         news, i.candles(), i.macro(), i.snapshots(), inp.SYMBOL, config=_config()
     )
-    return wn.with_hourly_momentum(merged).select(
-        *[F.col(c).cast(FEATURES[c].dataType).alias(c) for c in FEATURE_COLUMNS]
-    )
+    return wn.with_hourly_momentum(merged).to(FEATURES)
 
 
 def _config() -> EngineConfig:
@@ -569,29 +561,24 @@ def _config() -> EngineConfig:
 
 @query
 def merge_feature_groups(i: Inputs) -> DataFrame:
-    return longs(_rounded(_merged(i)))
+    return longs(rounded(_merged(i)))
 
 
 @query
 def hourly_features(i: Inputs) -> DataFrame:
     """The whole job, from articles as fetched to the stored row."""
-    return longs(_rounded(hourly.hourly_features(
+    return longs(rounded(hourly.hourly_features(
         i.raw(), i.view(inp.VERDICTS_BY_ID), i.candles(), i.macro(), i.snapshots(), inp.SYMBOL, _config()
     )))
 
 
 # ---- feature table --------------------------------------------------------------------------------
 
-def _stored_shape(df: DataFrame) -> DataFrame:
-    absent = {f.name: F.lit(None).cast(f.dataType) for f in FEATURES.fields if f.name not in df.columns}
-    return df.withColumns(absent).select(*FEATURE_COLUMNS)
-
-
 @query
 def upsert_features(i: Inputs) -> DataFrame:
     """A second batch replaces every third hour, with a NULL, and adds hours after the last."""
     table = store.FeatureStore(i.spark, work_dir(i.spark, "feature-table"))
-    first = materialize(_stored_shape(_features(i)), "batch-1")
+    first = materialize(_features(i).to(FEATURES), "batch-1")
     table.upsert(first, 1)
     hour = F.hour("window_start")
     second = first.where(hour % 3 == 0).withColumns({
@@ -607,7 +594,7 @@ def upsert_features(i: Inputs) -> DataFrame:
 @query
 def latest_windows(i: Inputs) -> DataFrame:
     table = store.FeatureStore(i.spark, work_dir(i.spark, "feature-table"))
-    table.upsert(_stored_shape(_features(i)), 1)
+    table.upsert(_features(i), 1)
     return longs(table.latest(5).select("window_start", "article_count", "total_raw", "avg_sentiment"))
 
 
@@ -615,12 +602,11 @@ def latest_windows(i: Inputs) -> DataFrame:
 def features_json(i: Inputs) -> DataFrame:
     """Feature documents, written as text and read back."""
     path = work_dir(i.spark, "documents")
-    store.features_as_json(_stored_shape(_features(i))).select("document").write.text(path)
+    store.features_as_json(_features(i).to(FEATURES)).select("document").write.text(path)
     documents = i.spark.read.text(path)
     features = store.features_from_json(documents, "value")
-    written = [c for c in features.columns if c in ("window_start", "noise_ratio", *wn.ZERO_DOUBLES,
-                                                    *wn.ZERO_INTS, *fv.EVENT_FLAGS)]
-    return longs(features.select(*written))
+    written = {"window_start", "noise_ratio", *wn.ZEROS}
+    return longs(features.select(*[c for c in features.columns if c in written]))
 
 
 # ---- streams --------------------------------------------------------------------------------------

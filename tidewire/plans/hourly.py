@@ -16,7 +16,7 @@ from tidewire.operators.windows import (
     hour_calendar,
     with_hourly_momentum,
 )
-from tidewire.schemas import FEATURE_COLUMNS, FEATURES
+from tidewire.schemas import FEATURES
 from tidewire.session import materialize
 
 PRICE_COLUMNS = (
@@ -85,6 +85,4 @@ def hourly_features(
     merged = with_hourly_momentum(
         merge_feature_groups(every_hour, candles, macro_daily, snapshots, symbol, config=config)
     )
-    return merged.select(
-        *[F.col(c).cast(FEATURES[c].dataType).alias(c) for c in FEATURE_COLUMNS]
-    )
+    return merged.to(FEATURES)

@@ -276,9 +276,9 @@ SELECT window_start, feed_ord::BIGINT AS feed_ord, entry_ord, doc_id, id, title,
   content_sentiment_score, content_sentiment_label, final_sentiment_score, final_sentiment_label
 FROM moods WHERE is_noise = false AND relevant""")
 SQL["stage_counters"] = with_(*STAGES, last="""
-SELECT source, count(*) AS total, count_if(is_noise = false) AS candidates,
-  count_if(is_noise = false AND relevant) AS enriched,
-  count_if(is_noise = false AND NOT relevant) AS skipped
+SELECT source, count(*) AS total, count(*) FILTER (is_noise = false) AS candidates,
+  count(*) FILTER (is_noise = false AND relevant) AS enriched,
+  count(*) FILTER (is_noise = false AND NOT relevant) AS skipped
 FROM moods GROUP BY source""")
 _SPECULATIVE = " OR ".join(f"contains(txt, {quote(w)})" for w in nz.SPECULATION)
 SQL["classify_noise_rules"] = with_(ARTICLES, TEXTS, last=f"""
@@ -319,9 +319,9 @@ _PARTS = {
         ("sentiment_std", f"coalesce({rd(f'stddev_samp({_MOOD})', 4)}, 0.0)"),
     ],
     "sentiment_buckets": [
-        ("positive_count", f"count_if({_MOOD} > 0.1)"),
-        ("negative_count", f"count_if({_MOOD} < -0.1)"),
-        ("neutral_count", f"count_if({_MOOD} BETWEEN -0.1 AND 0.1)"),
+        ("positive_count", f"count(*) FILTER ({_MOOD} > 0.1)"),
+        ("negative_count", f"count(*) FILTER ({_MOOD} < -0.1)"),
+        ("neutral_count", f"count(*) FILTER ({_MOOD} BETWEEN -0.1 AND 0.1)"),
     ],
     "weighted_sentiment": [
         ("weighted_avg_sentiment",
@@ -330,9 +330,9 @@ _PARTS = {
     "window_impact": [
         ("avg_impact", rd("avg(impact_score)", 4)),
         ("max_impact", "CAST(max(impact_score) AS BIGINT)"),
-        ("high_impact_count", "count_if(impact_score >= 3)"),
-        ("mid_impact_count", "count_if(impact_score = 2)"),
-        ("low_impact_count", "count_if(impact_score <= 1)"),
+        ("high_impact_count", "count(*) FILTER (impact_score >= 3)"),
+        ("mid_impact_count", "count(*) FILTER (impact_score = 2)"),
+        ("low_impact_count", "count(*) FILTER (impact_score <= 1)"),
     ],
     "net_impact": [
         ("net_impact_sentiment",
@@ -340,9 +340,9 @@ _PARTS = {
          " - coalesce(sum(impact_score) FILTER (final_sentiment_score < -0.1), 0) AS DOUBLE)"),
     ],
     "event_flags": [(n, f"bool_or(event_type = {quote(k)})") for n, k in fv.EVENT_FLAGS.items()],
-    "event_counts": [(n, f"count_if(event_type = {quote(k)})") for n, k in fv.EVENT_COUNTS.items()],
+    "event_counts": [(n, f"count(*) FILTER (event_type = {quote(k)})") for n, k in fv.EVENT_COUNTS.items()],
     "asset_mentions": [
-        (n, f"count_if(list_contains(assets, {quote(a)}))") for n, a in fv.ASSET_COUNTS.items()
+        (n, f"count(*) FILTER (list_contains(assets, {quote(a)}))") for n, a in fv.ASSET_COUNTS.items()
     ],
     "source_credibility": [
         ("avg_source_weight", rd("avg(source_weight)", 4)),
@@ -463,7 +463,7 @@ def _ema(xs: str, n: str, span: int) -> str:
 
 
 LINES = ("lines", f"""
-  SELECT symbol, open_time, xs, list_transform(range(1, len(xs) + 1), n ->
+  SELECT symbol, open_time, xs, list_transform(range(1, len(xs) + 1), lambda n:
     {_ema('xs', 'n', 12)} - {_ema('xs', 'n', 26)}) AS line FROM recent""")
 MACD = ("macd", f"""
   SELECT symbol, open_time, CASE WHEN len(xs) > 26 THEN line[len(line)] - {_ema('line', 'len(line)', 9)} END

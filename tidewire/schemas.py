@@ -56,7 +56,7 @@ def _fields(dtype, names: str) -> list[StructField]:
 
 # The stored feature row without its bookkeeping column `created_at`.
 FEATURES = StructType(
-    [StructField("window_start", TimestampNTZType(), False), StructField("sentiment_momentum", _DBL)]
+    [StructField("window_start", TimestampNTZType()), StructField("sentiment_momentum", _DBL)]
     + _fields(_INT, "article_count total_raw")
     + _fields(_DBL, "noise_ratio avg_sentiment max_sentiment min_sentiment sentiment_std "
                     "weighted_avg_sentiment")

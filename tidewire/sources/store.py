@@ -82,13 +82,15 @@ class FeatureStore:
     def upsert(self, features: DataFrame, batch_seq: int) -> None:
         """Insert or replace whole rows by window; NULLs of the new row replace old values.
 
+        Feature columns that `features` does not have are NULL.
+
         The new rows are written next to the table first: they are computed once, the days they touch
         are known, and a lost executor cannot change them half-way.
         """
         self.create()
         staging = f"{self.path}_staging"
-        shaped = features.select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in FEATURES.fields],
+        shaped = features.to(FEATURES).select(
+            "*",
             F.current_timestamp().alias("created_at"),
             F.lit(batch_seq).cast("bigint").alias("batch_seq"),
             F.to_date("window_start").alias("window_date"),

@@ -16,7 +16,6 @@ from tidewire.config import DEFAULT_CONFIG, EngineConfig
 from tidewire.operators.articles import normalize_articles
 from tidewire.operators.enrich import measure_articles, with_event
 from tidewire.operators.windows import feature_aggregates, with_noise_ratio
-from tidewire.schemas import FEATURES
 from tidewire.sources.envelopes import parse_envelopes, repair_rows
 from tidewire.sources.store import FeatureStore
 
@@ -59,7 +58,7 @@ def window_feature_stream(cleaned: DataFrame, config: EngineConfig = DEFAULT_CON
     hourly = (
         measured.withColumn("kept", kept)
         .groupBy(F.window("published_at", "1 hour"))
-        .agg(*feature_aggregates(kept=F.col("kept")))
+        .agg(*feature_aggregates(kept="kept"))
     )
     return with_noise_ratio(
         hourly.withColumn("window_start", F.col("window.start").cast("timestamp_ntz")).drop("window")
@@ -74,11 +73,8 @@ def write_features(
     A repeated micro-batch has the same number and replaces its own rows. Without `interval` the query
     takes what is there and stops.
     """
-    missing = [f for f in FEATURES.fields if f.name not in features.columns]
-
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
-        store.upsert(rows, batch_id)
+        store.upsert(batch, batch_id)
         store.refresh_momentum()
 
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
