@@ -122,9 +122,7 @@ def with_sentiment(df: DataFrame) -> DataFrame:
 def with_word_classes(
     df: DataFrame, hits: str = "_hits", config: EngineConfig = DEFAULT_CONFIG
 ) -> DataFrame:
-    """What the words alone decide: `word_event`, assets, and the weight if there is none yet."""
-    if "source_weight" not in df.columns:
-        df = df.withColumn("source_weight", sc.source_weight(F.col("source"), config))
+    """What the words alone decide: `word_event` and the assets."""
     return df.withColumns({
         "word_event": kw.event_from_words(F.col(hits), config),
         "asset_mentioned": kw.detect_assets(F.col(hits), config),
@@ -132,7 +130,12 @@ def with_word_classes(
 
 
 def with_event(df: DataFrame, config: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Event, timeframe and impact once the verdict's category is there (or missing for good)."""
+    """Event, timeframe and impact once the verdict's category is there (or missing for good).
+
+    Without a `source_weight` from a table the configured weights are looked up by `source`.
+    """
+    if "source_weight" not in df.columns:
+        df = df.withColumn("source_weight", sc.source_weight(F.col("source"), config))
     category = F.col("category") if "category" in df.columns else F.lit(None).cast("string")
     named = kw.standardize_category(category, config)
     return (
@@ -183,7 +186,7 @@ def flag_kept(df: DataFrame, config: EngineConfig = DEFAULT_CONFIG) -> DataFrame
 def measure_articles(
     df: DataFrame, keys: tuple[str, ...], config: EngineConfig = DEFAULT_CONFIG
 ) -> DataFrame:
-    """Narrow rows for aggregation: keys, `relevant` and what the text decides, without any text.
+    """Narrow rows for aggregation: keys, source, `relevant` and what the text decides; no text.
 
     This is row-local, so a job that only needs features runs it before the dedup shuffle and moves
     some hundred bytes per article in place of its text; `with_event` completes the measures after
@@ -195,6 +198,6 @@ def measure_articles(
     words = literal_array(config.relevance_words)
     flagged = found.withColumn("relevant", F.arrays_overlap("_hits", words))
     return with_sentiment(with_word_classes(flagged, config=config)).select(
-        *keys, "relevant", "word_event", "asset_mentioned", "source_weight",
+        *keys, "source", "relevant", "word_event", "asset_mentioned",
         "headline_sentiment_score", "headline_sentiment_conf", "final_sentiment_score",
     )

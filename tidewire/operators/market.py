@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidewire import fixed_values as fv
 from tidewire.config import DEFAULT_CONFIG
 from tidewire.functions.basics import bind, round_dp
-from tidewire.operators.asof import asof_join, asof_readings
+from tidewire.operators.asof import Series, asof_join, latest_row
 from tidewire.operators.ordered import month_of, overlapping_blocks, previous_value, row_index
 
 BLOCK_ROWS = 20_000
@@ -165,7 +165,7 @@ def market_features(candles: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFra
 def candle_frame(windows: DataFrame, candles: DataFrame) -> DataFrame:
     """OHLCV of the last candle opened at or before each window start."""
     values = ["open_time", "open", "high", "low", "close", "volume"]
-    return asof_join(windows, candles, "open_time", values, lookahead_hours=0)
+    return asof_join(windows, latest_row(candles, "open_time", values, lookahead_hours=0))
 
 
 def daily_return(macro_daily: DataFrame) -> DataFrame:
@@ -177,31 +177,36 @@ def daily_return(macro_daily: DataFrame) -> DataFrame:
     return before.withColumn("daily_return", round_dp(change, 6)).drop("_before")
 
 
-def macro_asof(
-    windows: DataFrame,
-    macro_daily: DataFrame,
-    tickers: Mapping[str, Sequence[str]] = DEFAULT_CONFIG.macro_tickers,
-) -> DataFrame:
-    """Latest macro readings at each window's end.
-
-    A reading is a ticker's last close (4 decimals) or, for the return column, its last daily return.
-    Where several tickers are given the first usable one counts; 0.0 is not usable then.
-    """
-    readings = daily_return(macro_daily).withColumns({
+def macro_series(macro_daily: DataFrame, tickers: Mapping[str, Sequence[str]]) -> Series:
+    """Per output column and ticker: the last close (4 decimals), or the last daily return."""
+    rows = daily_return(macro_daily).withColumns({
         "_ts": F.col("day").cast("timestamp_ntz"), "close": round_dp(F.col("close"), 4),
     })
-    wanted = {}
+    readings = {}
     for column, choices in tickers.items():
         value = F.col("daily_return" if column.endswith("_return_1d") else "close")
         for i, ticker in enumerate(choices):
-            wanted[f"_{column}_{i}"] = (F.col("ticker") == ticker, value)
-    found = asof_readings(windows, readings, "_ts", wanted)
+            readings[f"_{column}_{i}"] = (F.col("ticker") == ticker, value)
+    return Series(rows, "_ts", readings)
+
 
+def choose_tickers(df: DataFrame, tickers: Mapping[str, Sequence[str]]) -> DataFrame:
+    """The first usable reading per output column; 0.0 is usable only from the last ticker."""
     def choose(column: str, n: int) -> Column:
         names = [f"_{column}_{i}" for i in range(n)]
         return F.coalesce(*[F.nullif(F.col(c), F.lit(0.0)) for c in names[:-1]], F.col(names[-1]))
 
-    return found.withColumns({c: choose(c, len(t)) for c, t in tickers.items()}).drop(*wanted)
+    read = [f"_{column}_{i}" for column, choices in tickers.items() for i in range(len(choices))]
+    return df.withColumns({c: choose(c, len(t)) for c, t in tickers.items()}).drop(*read)
+
+
+def macro_asof(
+    windows: DataFrame,
+    macro_daily: DataFrame,
+    tickers: Mapping[str, Sequence[str]] = DEFAULT_CONFIG.macro_tickers,
+) -> DataFrame:
+    """Latest macro readings at each window's end."""
+    return choose_tickers(asof_join(windows, macro_series(macro_daily, tickers)), tickers)
 
 
 def json_number(body: Column, path: str) -> Column:

@@ -22,7 +22,7 @@ from tidewire.operators import enrich as en
 from tidewire.operators import market as mk
 from tidewire.operators import noise as nz
 from tidewire.operators import windows as wn
-from tidewire.operators.asof import asof_join
+from tidewire.operators.asof import asof_lookup, latest_row
 from tidewire.plans import hourly
 from tidewire.plans import inputs as inp
 from tidewire.plans.inputs import Inputs
@@ -346,8 +346,8 @@ def score_sentiment(i: Inputs) -> DataFrame:
 
 @query
 def enrich_articles(i: Inputs) -> DataFrame:
-    weighted = en.attach_source_weight(i.scored(), i.view(inp.WEIGHTS))
-    return longs(en.enrich_articles(weighted))
+    judged = i.scored().join(i.verdicts(), "doc_id", "left")
+    return longs(en.enrich_articles(en.attach_source_weight(judged, i.view(inp.WEIGHTS))))
 
 
 @query
@@ -402,12 +402,16 @@ def attach_verdicts(i: Inputs) -> DataFrame:
 
 # ---- window features ------------------------------------------------------------------------------
 
-def _cleaned(i: Inputs) -> DataFrame:
-    return ar.dedup_first(i.scored())
+def _judged(i: Inputs) -> DataFrame:
+    """Narrow rows of the cleaned articles with `kept`: measured, deduplicated, then joined."""
+    keys = ("window_start", "id", "feed_ord", "entry_ord", "doc_id", "category")
+    first = ar.dedup_first(en.measure_articles(i.scored(), keys)).join(i.verdicts(), "doc_id", "left")
+    weighted = en.attach_source_weight(first, i.view(inp.WEIGHTS))
+    return en.with_event(weighted).withColumn("kept", F.expr("is_noise = false AND relevant"))
 
 
 def _enriched(i: Inputs) -> DataFrame:
-    return en.enrich_articles(en.attach_source_weight(_cleaned(i), i.view(inp.WEIGHTS)))
+    return _judged(i).where("kept")
 
 
 def _grouped(*groups: str) -> Query:
@@ -431,12 +435,7 @@ QUERIES["net_impact"] = _grouped("net")
 
 
 def _features(i: Inputs) -> DataFrame:
-    """One pass: measure, drop duplicates, aggregate."""
-    weighted = en.attach_source_weight(i.scored(), i.view(inp.WEIGHTS))
-    keys = ("window_start", "id", "feed_ord", "entry_ord", "is_noise", "category")
-    judged = en.with_event(ar.dedup_first(en.measure_articles(weighted, keys)))
-    kept = F.coalesce(~F.col("is_noise"), F.lit(False)) & F.col("relevant")
-    return wn.flagged_window_features(judged.withColumn("kept", kept))
+    return wn.flagged_window_features(_judged(i))
 
 
 @query
@@ -447,7 +446,8 @@ def window_volume(i: Inputs) -> DataFrame:
 @query
 def noise_ratio(i: Inputs) -> DataFrame:
     """From the two stage tables."""
-    both = wn.window_features(_enriched(i), _cleaned(i))
+    cleaned = ar.dedup_first(i.articles().select("window_start", "id", "feed_ord", "entry_ord"))
+    both = wn.window_features(_enriched(i), cleaned)
     return longs(both.select("window_start", "article_count", "total_raw", "noise_ratio"))
 
 
@@ -539,7 +539,7 @@ def macro_asof(i: Inputs) -> DataFrame:
 @query
 def snapshot_json_path(i: Inputs) -> DataFrame:
     readings = mk.snapshot_values(i.snapshots())
-    latest = asof_join(_hours(i), readings, "ts", ["btc_dominance", "fear_greed_index"])
+    latest = asof_lookup(_hours(i), latest_row(readings, "ts", ["btc_dominance", "fear_greed_index"]))
     return readings.select(F.lit("reading").alias("kind"), F.col("ts").alias("at"), "btc_dominance",
                            "fear_greed_index").unionByName(
         latest.select(F.lit("as of").alias("kind"), F.col("window_start").alias("at"), "btc_dominance",

@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 from tidewire.config import DEFAULT_CONFIG, EngineConfig
 from tidewire.operators.articles import dedup_first, normalize_articles, with_window_start
-from tidewire.operators.asof import asof_join
+from tidewire.operators.asof import asof_join, latest_row
 from tidewire.operators.enrich import measure_articles, with_event
-from tidewire.operators.market import macro_asof, market_features, snapshot_values
+from tidewire.operators.market import (
+    choose_tickers,
+    macro_series,
+    market_features,
+    snapshot_values,
+)
 from tidewire.operators.windows import (
     fill_empty_windows,
     flagged_window_features,
@@ -17,7 +22,7 @@ from tidewire.operators.windows import (
     with_hourly_momentum,
 )
 from tidewire.schemas import FEATURES
-from tidewire.session import materialize
+from tidewire.session import materialize, spread
 
 PRICE_COLUMNS = (
     "btc_open", "btc_close", "btc_high", "btc_low", "btc_volume", "btc_return_6h", "btc_return_24h",
@@ -33,7 +38,7 @@ def news_features(
     Articles are measured while they are scanned; the duplicate filter and the verdict join then move
     narrow rows, never text. `verdicts` has one row per `id` with `is_noise` and maybe `category`.
     """
-    cleaned = with_window_start(normalize_articles(raw))
+    cleaned = with_window_start(normalize_articles(spread(raw)))
     measured = measure_articles(cleaned, ("window_start", "id", "feed_ord", "entry_ord"), config)
     judged = with_event(dedup_first(measured).join(verdicts, "id", "left"), config)
     kept = F.coalesce(~F.col("is_noise"), F.lit(False)) & F.col("relevant")
@@ -56,10 +61,13 @@ def merge_feature_groups(
     the fear-greed index is off unless asked for.
     """
     prices = market_features(candles.where(F.col("symbol") == symbol))
-    with_prices = asof_join(news, prices, "open_time", list(PRICE_COLUMNS), lookahead_hours=0)
-    with_macro = macro_asof(with_prices, macro_daily, config.macro_tickers)
-    readings = snapshot_values(snapshots)
-    merged = asof_join(with_macro, readings, "ts", ["btc_dominance", "fear_greed_index"])
+    read = asof_join(
+        news,
+        latest_row(prices, "open_time", list(PRICE_COLUMNS), lookahead_hours=0),
+        macro_series(macro_daily, config.macro_tickers),
+        latest_row(snapshot_values(snapshots), "ts", ["btc_dominance", "fear_greed_index"]),
+    )
+    merged = choose_tickers(read, config.macro_tickers)
     return merged.withColumns({
         "btc_dominance": F.when(F.col("article_count") > 0, F.col("btc_dominance")),
         "fear_greed_index": F.col("fear_greed_index") if fear_greed else F.lit(None).cast("double"),

@@ -14,6 +14,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire.session import spread
+
 PHRASES = (
     "Bitcoin exchange hacked, funds stolen",
     "SEC lawsuit against Binance",
@@ -88,12 +90,13 @@ SELECT DISTINCT source,
 FROM @documents WHERE source LIKE 'src%' AND cast(substr(source, 4) AS int) < 15
 """
 
+# Class probabilities that vary with the document: headline positive, negative, content same.
+PROB_TERMS = tuple(
+    f"cast((doc_id * {a}) % {m} AS double) / 200" for a, m in ((37, 101), (53, 97), (29, 101), (71, 97))
+)
 PROBS = """
-SELECT doc_id, cast((doc_id * 37) % 101 AS double) / 200 AS p_pos,
-  cast((doc_id * 53) % 97 AS double) / 200 AS p_neg,
-  cast((doc_id * 29) % 101 AS double) / 200 AS c_pos, cast((doc_id * 71) % 97 AS double) / 200 AS c_neg
-FROM @documents
-"""
+SELECT doc_id, {} AS p_pos, {} AS p_neg, {} AS c_pos, {} AS c_neg FROM @documents
+""".format(*PROB_TERMS)
 
 CANDLES = """
 SELECT event_type AS symbol, date_trunc('hour', ts) AS open_time, min_by(value, ts) AS open,
@@ -153,26 +156,24 @@ class Inputs:
         return self.spark.sql(re.sub(r"@(\w+)", r"{\1}", sql), **used)
 
     def articles(self) -> DataFrame:
-        return self.view(ARTICLES)
+        return self.view(ARTICLES, documents=spread(self.table("documents")))
+
+    def verdicts(self) -> DataFrame:
+        return self.view(VERDICTS).select("doc_id", "is_noise")
 
     def judged(self) -> DataFrame:
         """Articles with their label as the verdict."""
-        verdicts = self.view(VERDICTS).select("doc_id", "is_noise")
-        return self.articles().join(verdicts, "doc_id", "left")
+        return self.articles().join(self.verdicts(), "doc_id", "left")
 
     def scored(self) -> DataFrame:
-        """Judged articles with given class probabilities and table weights."""
-        def probs(pos: str, neg: str):
-            return F.struct(
-                F.col(pos).alias("positive"), F.col(neg).alias("negative"),
-                (1 - F.col(pos) - F.col(neg)).alias("neutral"),
-            )
-
-        return (
-            self.judged().join(self.view(PROBS), "doc_id", "left")
-            .withColumn("headline_probs", probs("p_pos", "p_neg"))
-            .withColumn("content_probs", probs("c_pos", "c_neg"))
-            .drop("p_pos", "p_neg", "c_pos", "c_neg")
+        """Articles with given class probabilities."""
+        def probs(pos: str, neg: str) -> str:
+            return f"named_struct('positive', {pos}, 'negative', {neg}, 'neutral', 1 - {pos} - {neg})"
+
+        return self.articles().selectExpr(
+            "*",
+            f"{probs(*PROB_TERMS[:2])} AS headline_probs",
+            f"{probs(*PROB_TERMS[2:])} AS content_probs",
         )
 
     def raw(self) -> DataFrame:

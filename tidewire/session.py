@@ -24,6 +24,16 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that has fewer splits than the cluster has cores; else leave it alone.
+
+    Text work is heavy per row, and a small input may be one file with one row group. A large input
+    has more splits than cores and is never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(2 * cores)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write the frame to the work folder now and read it back: computed once, lineage cut."""
     path = work_dir(df.sparkSession, name)

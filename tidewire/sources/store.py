@@ -6,6 +6,7 @@ visible when the job commits, so repeating a failed or finished run gives the sa
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType, TimestampType
@@ -71,7 +72,13 @@ class FeatureStore:
         empty.write.mode("append").partitionBy("window_date").parquet(self.path)
 
     def stored(self) -> DataFrame:
-        return self.spark.read.schema(STORED).parquet(self.path)
+        """All rows with their bookkeeping columns; a table that is not there yet is empty."""
+        try:
+            return self.spark.read.schema(STORED).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], STORED)
 
     def read(self) -> DataFrame:
         return self.stored().select(*FEATURE_COLUMNS)
@@ -87,7 +94,6 @@ class FeatureStore:
         The new rows are written next to the table first: they are computed once, the days they touch
         are known, and a lost executor cannot change them half-way.
         """
-        self.create()
         staging = f"{self.path}_staging"
         shaped = features.to(FEATURES).select(
             "*",
