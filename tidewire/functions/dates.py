@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidewire.functions.basics import bind, literal_map
-from tidewire.functions.text import normalize_whitespace
+from tidewire.functions.text import strip
 
 # RFC 822 zone names in minutes from UTC.
 ZONE_MINUTES = {
@@ -25,16 +25,29 @@ ZONE_MINUTES = {
 }
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
-_WEEKDAY = r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+"
-_MONTH = r"(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
-_CLOCK = r"(?:,?[ t]+(\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?\d*)?)\s*(am|pm)?)?"
+_WEEKDAY = r"(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+)?"
+_MONTH = r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?"
+_CLOCK = r"(?:,?[\st]+(\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?\d*)?)\s*(am|pm)?)?"
 _ZONE = r"\s*(z|[a-z]{2,5}|(?:utc|gmt)?[+-]\d{1,2}:?(?:\d{2})?)?$"
-_ISO = r"(?i)^(\d{4})-(\d{1,2})-(\d{1,2})" + _CLOCK + _ZONE
-_RFC = rf"(?i)^(\d{{1,2}})[ -]({_MONTH})[a-z]*\.?,?[ -](\d{{4}}|\d{{2}})" + _CLOCK + _ZONE
-_LONG = rf"(?i)^({_MONTH})[a-z]*\.? (\d{{1,2}})(?:st|nd|rd|th)?,? (\d{{4}})" + _CLOCK + _ZONE
-_SHORT = r"(?i)^(\d{1,2})/(\d{1,2})/(\d{4})" + _CLOCK + _ZONE
-# form -> (pattern, group of year, month, day)
-_FORMS = ((_ISO, 1, 2, 3), (_RFC, 3, 2, 1), (_LONG, 3, 1, 2), (_SHORT, 3, 1, 2))
+# form -> where its year, month and day are; the clock, AM/PM and zone are groups 4 to 6.
+_FORMS = (
+    (r"(\d{4})-(\d{1,2})-(\d{1,2})", "$1", "$2", "$3"),
+    (rf"(\d{{1,2}})[\s-]+{_MONTH},?[\s-]+(\d{{4}}|\d{{2}})", "$3", "$2", "$1"),
+    (rf"{_MONTH}\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}})", "$3", "$1", "$2"),
+    (r"(\d{1,2})/(\d{1,2})/(\d{4})", "$3", "$1", "$2"),
+)
+_MARK = "\x01"
+
+
+def _parts(text: Column) -> Column:
+    """[year, month, day, clock, half, zone] of a readable date; other texts give another length.
+
+    A matching form rewrites the text to marked parts, on which the forms after it fail at once.
+    """
+    for form, year, month, day in _FORMS:
+        pattern = f"(?i)^{_WEEKDAY}{form}{_CLOCK}{_ZONE}"
+        text = F.regexp_replace(text, pattern, _MARK.join((year, month, day, "$4", "$5", "$6")))
+    return F.split(text, _MARK, -1)
 
 
 def _year(text: Column) -> Column:
@@ -79,22 +92,11 @@ def _offset_minutes(zone: Column, legacy_zone_names: bool) -> Column:
 
 def parse_date(text: Column, legacy_zone_names: bool = False) -> Column:
     """TIMESTAMP_NTZ in UTC, or NULL. `legacy_zone_names` reads `EST` and the like as UTC."""
-    cleaned = F.regexp_replace(normalize_whitespace(text), _WEEKDAY, "")
-
-    def read(value: Column) -> Column:
-        result = F.lit(None).cast("timestamp_ntz")
-        for pattern, year, month, day in reversed(_FORMS):
-            def part(i: int, pattern=pattern) -> Column:
-                return F.regexp_extract(value, pattern, i)
-
-            local = F.concat_ws(
-                "-", _year(part(year)), _month(part(month)), F.lpad(part(day), 2, "0")
-            )
-            local = F.concat(local, F.lit(" "), _clock(part(4), part(5))).try_cast("timestamp_ntz")
-            utc = local - F.make_dt_interval(
-                F.lit(0), F.lit(0), _offset_minutes(part(6), legacy_zone_names)
-            )
-            result = F.when(value.rlike(pattern), utc).otherwise(result)
-        return result
-
-    return bind(cleaned, read)
+    def read(parts: Column) -> Column:
+        year, month, day, clock, half, zone = (F.get(parts, F.lit(n)) for n in range(6))
+        date = F.concat_ws("-", _year(year), _month(month), F.lpad(day, 2, "0"))
+        local = F.concat(date, F.lit(" "), _clock(clock, half)).try_cast("timestamp_ntz")
+        offset = F.make_dt_interval(F.lit(0), F.lit(0), _offset_minutes(zone, legacy_zone_names))
+        return F.when(F.size(parts) == 6, F.when(zone == "", local).otherwise(local - offset))
+
+    return bind(_parts(strip(text)), read)

@@ -11,6 +11,11 @@ SPACE_CLASS = (
     r"\x{205F}\x{3000}]"
 )
 
+SPACES = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
+              0x2029, 0x202F, 0x205F, 0x3000])
+)
+
 
 def normalize_whitespace(text: Column) -> Column:
     """Runs of Unicode whitespace become one space; none is left at either end."""
@@ -19,7 +24,7 @@ def normalize_whitespace(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Remove Unicode whitespace at both ends only."""
-    return F.regexp_replace(text, rf"\A{SPACE_CLASS}+|{SPACE_CLASS}+\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def hash_text(text: Column) -> Column:

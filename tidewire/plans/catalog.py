@@ -27,7 +27,7 @@ from tidewire.plans import hourly
 from tidewire.plans import inputs as inp
 from tidewire.plans.inputs import Inputs
 from tidewire.schemas import FEATURES
-from tidewire.session import materialize, work_dir
+from tidewire.session import materialize, spread, work_dir
 from tidewire.sources import envelopes, feeds, store
 from tidewire.streaming import news as stream
 
@@ -57,14 +57,15 @@ def rounded(df: DataFrame) -> DataFrame:
 
 @query
 def strip_html_(i: Inputs) -> DataFrame:
-    pages = i.table("pages")
+    pages = spread(i.table("pages"))
     return pages.select("page_id", normalize_whitespace(strip_html(F.col("html"))).alias("text"))
 
 
 
 @query
 def normalize_ws(i: Inputs) -> DataFrame:
-    return i.table("pages").select("page_id", normalize_whitespace(F.col("html")).alias("text"))
+    pages = spread(i.table("pages"))
+    return pages.select("page_id", normalize_whitespace(F.col("html")).alias("text"))
 
 
 @query
