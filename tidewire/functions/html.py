@@ -71,14 +71,14 @@ def _decode_reference(piece: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Character references to characters, each decoded once (`&amp;lt;` gives `&lt;`)."""
-    decoded = bind(
-        F.split(text, "&", -1),
-        lambda parts: F.concat(
-            F.get(parts, F.lit(0)),
-            F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), _decode_reference), ""),
-        ),
+    def decoded(parts: Column) -> Column:
+        rest = F.transform(F.slice(parts, 2, F.size(parts)), _decode_reference)
+        return F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))
+
+    return bind(
+        text,
+        lambda t: F.when(F.contains(t, F.lit("&")), bind(F.split(t, "&", -1), decoded)).otherwise(t),
     )
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
 def strip_html(text: Column) -> Column:

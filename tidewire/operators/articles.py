@@ -37,21 +37,28 @@ def per_source_limit(
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
 
 
-def with_clean_fields(df: DataFrame, markup_to_text=strip_html, legacy_zone_names=False) -> DataFrame:
-    """Raw fields to clean fields plus `_error`, keeping every row and extra column."""
-    kept = [c for c in df.columns if c not in ("title", "content", "url", "raw_published_at")]
-    full = df.select(
-        *kept,
+RAW_FIELDS = ("title", "content", "url", "raw_published_at")
+
+
+def _full_fields(markup_to_text, legacy_zone_names: bool) -> Column:
+    return F.struct(
         normalize_whitespace(markup_to_text(F.col("title"))).alias("_title"),
         normalize_whitespace(markup_to_text(F.col("content"))).alias("_content"),
         strip(F.coalesce(F.col("url"), F.lit(""))).alias("url"),
         parse_date(F.col("raw_published_at"), legacy_zone_names).alias("published_at"),
     )
-    error = (
-        F.when(F.col("url") == "", "no url")
-        .when(F.col("_title") == "", "no title")
-        .when(F.col("published_at").isNull(), "no date")
+
+
+def _error(row) -> Column:
+    return (
+        F.when(row["url"] == "", "no url")
+        .when(row["_title"] == "", "no title")
+        .when(row["published_at"].isNull(), "no date")
     )
+
+
+def _finish(full: DataFrame, kept: Sequence[str]) -> DataFrame:
+    """Hashes and lengths are of the whole text; title and content are cut to their limits."""
     return full.select(
         *kept,
         hash_text(F.col("url")).alias("id"),
@@ -62,13 +69,26 @@ def with_clean_fields(df: DataFrame, markup_to_text=strip_html, legacy_zone_name
         hash_text(F.col("_content")).alias("content_hash"),
         F.length("_content").alias("text_length"),
         F.length("_title").alias("title_length"),
-        error.alias("_error"),
     )
 
 
-def normalize_articles(df: DataFrame, **options) -> DataFrame:
-    """Cleaned records; rows without url, title or readable date are left out."""
-    return with_clean_fields(df, **options).where(F.col("_error").isNull()).drop("_error")
+def with_clean_fields(df: DataFrame, markup_to_text=strip_html, legacy_zone_names=False) -> DataFrame:
+    """Raw fields to clean fields plus `_error`, keeping every row and extra column."""
+    kept = [c for c in df.columns if c not in RAW_FIELDS]
+    full = df.select(*kept, _full_fields(markup_to_text, legacy_zone_names).alias("_f"))
+    return _finish(full.select(*kept, "_f.*", _error(F.col("_f")).alias("_error")), [*kept, "_error"])
+
+
+def normalize_articles(df: DataFrame, markup_to_text=strip_html, legacy_zone_names=False) -> DataFrame:
+    """Cleaned records; rows without url, title or readable date are left out.
+
+    The row is dropped where its fields are made. A filter after it would be pushed below, and the
+    markup and dates would be parsed once for the filter and again for the result.
+    """
+    kept = [c for c in df.columns if c not in RAW_FIELDS]
+    fields = F.array(_full_fields(markup_to_text, legacy_zone_names))
+    valid = F.filter(fields, lambda row: _error(row).isNull())
+    return _finish(df.select(*kept, F.inline(valid)), kept)
 
 
 def quarantine_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
