@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions.basics import bind
 from tidewire.functions.dates import parse_date
+from tidewire.functions.text import strip
 from tidewire.schemas import ENVELOPE, RAW_ARTICLE
 
 
 def read_bodies(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
-    """(path, body): a document per file, or per line where many were written to one file.
-
-    A folder without files gives no rows; so does a path that does not exist.
-    """
-    text = spark.read.option("wholetext", one_per_file).option("ignoreMissingFiles", True)
-    return text.text(path).select(
+    """(path, body): a document per file, or per line where many were written to one file."""
+    return spark.read.text(path, wholetext=one_per_file).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("body")
     )
 
@@ -28,7 +26,7 @@ def parse_envelopes(bodies: DataFrame, column: str = "body") -> DataFrame:
     element may be an object or a string with an encoded object. Unreadable bodies give no rows.
     """
     kept = [c for c in bodies.columns if c != column]
-    text = F.trim(F.col(column))
+    text = strip(F.col(column))
     as_list = F.from_json(F.concat(F.lit('{"articles":'), text, F.lit("}")), ENVELOPE)
     envelope = F.when(text.startswith("["), as_list).otherwise(F.from_json(text, ENVELOPE))
     return bodies.select(*kept, envelope.alias("_e")).select(
@@ -56,7 +54,14 @@ def repair_rows(elements: DataFrame, column: str = "element") -> DataFrame:
 
 
 def read_envelopes(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
-    return repair_rows(parse_envelopes(read_bodies(spark, path, one_per_file)))
+    """Article rows of all envelopes under a path; a path that does not exist gives no rows."""
+    try:
+        bodies = read_bodies(spark, path, one_per_file)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        bodies = spark.createDataFrame([], "path string, body string")
+    return repair_rows(parse_envelopes(bodies))
 
 
 def write_envelopes(df: DataFrame, path: str) -> None:

@@ -28,7 +28,7 @@ def require_utc(spark: SparkSession) -> None:
 
 def read_envelope_stream(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
     """Raw article rows of envelopes as they land in a folder."""
-    bodies = spark.readStream.option("wholetext", one_per_file).text(path)
+    bodies = spark.readStream.text(path, wholetext=one_per_file)
     return repair_rows(parse_envelopes(bodies.select(F.col("value").alias("body"))))
 
 
