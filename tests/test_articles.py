@@ -70,6 +70,16 @@ def test_limit_per_source(spark):
     assert sorted(got) == sorted([("hot", i) for i in range(50)] + [("cold", i) for i in range(200, 250)])
 
 
+def test_large_limit_is_exact(spark):
+    df = spark.range(9000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("source"), F.col("id").alias("entry_ord")
+    )
+    got = ar.per_source_limit(df, 2500, salts=4)
+    assert {r.source: (r.n, r.m) for r in got.groupBy("source").agg(
+        F.count("*").alias("n"), F.max("entry_ord").alias("m")).collect()} == {
+        "hot": (2500, 3749), "cold": (2500, 7497)}
+
+
 def test_union_keeps_registry_order(spark):
     parts = [spark.createDataFrame([(i,)], "x int") for i in (7, 8)]
     assert sorted((r.feed_ord, r.x) for r in ar.union_sources(parts).collect()) == [(0, 7), (1, 8)]

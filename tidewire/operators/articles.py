@@ -25,16 +25,24 @@ def union_sources(parts: Sequence[DataFrame]) -> DataFrame:
     )
 
 
+def _first_rows(df: DataFrame, limit: int, by: Sequence[str | Column]) -> DataFrame:
+    w = Window.partitionBy(*by).orderBy("entry_ord")
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
+
+
 def per_source_limit(
-    df: DataFrame, limit: int = fv.ENTRIES_PER_FEED, by: Sequence[str] = ("source",)
+    df: DataFrame, limit: int = fv.ENTRIES_PER_FEED, by: Sequence[str] = ("source",), salts: int = 256
 ) -> DataFrame:
     """The first `limit` entries of each feed in document order.
 
     Spark keeps at most `limit` rows per feed and task before the shuffle (WindowGroupLimit), so a
-    feed that holds a third of all rows does not arrive whole in one task.
+    feed that holds a third of all rows does not arrive whole in one task. Spark does so up to a limit
+    of 1000 only; beyond, salted parts of each feed are cut first, which leaves the result the same.
     """
-    w = Window.partitionBy(*by).orderBy("entry_ord")
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if limit > threshold:
+        df = _first_rows(df, limit, [*by, F.pmod(F.xxhash64("entry_ord"), F.lit(salts))])
+    return _first_rows(df, limit, by)
 
 
 RAW_FIELDS = ("title", "content", "url", "raw_published_at")

@@ -14,7 +14,7 @@ from tidewire.functions import keywords as kw
 from tidewire.functions import scoring as sc
 from tidewire.functions.basics import hours, round_dp
 from tidewire.functions.dates import parse_date
-from tidewire.functions.html import strip_html
+from tidewire.functions.html import strip_html, strip_html_arrow
 from tidewire.functions.text import article_text, hash_text, normalize_whitespace
 from tidewire.functions.verdicts import parse_verdict
 from tidewire.operators import articles as ar
@@ -27,7 +27,7 @@ from tidewire.plans import hourly
 from tidewire.plans import inputs as inp
 from tidewire.plans.inputs import Inputs
 from tidewire.schemas import FEATURES
-from tidewire.session import materialize, spread, work_dir
+from tidewire.session import materialize, ship_package, spread, work_dir
 from tidewire.sources import envelopes, feeds, store
 from tidewire.streaming import news as stream
 
@@ -62,6 +62,14 @@ def strip_html_(i: Inputs) -> DataFrame:
 
 
 
+@query
+def strip_html_arrow_(i: Inputs) -> DataFrame:
+    """The same through the tokenizer in Arrow batches."""
+    ship_package(i.spark)
+    pages = spread(i.table("pages"))
+    return pages.select("page_id", normalize_whitespace(strip_html_arrow(F.col("html"))).alias("text"))
+
+
 @query
 def normalize_ws(i: Inputs) -> DataFrame:
     pages = spread(i.table("pages"))
@@ -332,9 +340,7 @@ def blend_sentiment(i: Inputs) -> DataFrame:
     )
 
 
-@query
-def score_sentiment(i: Inputs) -> DataFrame:
-    scored = en.with_lexicon_probs(i.articles())
+def _probs(scored: DataFrame) -> DataFrame:
     return scored.select(
         "doc_id",
         *[
@@ -345,6 +351,45 @@ def score_sentiment(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def score_sentiment(i: Inputs) -> DataFrame:
+    return _probs(en.with_lexicon_probs(i.articles()))
+
+
+@query
+def score_sentiment_plugin(i: Inputs) -> DataFrame:
+    """A scorer given as Python code, here one that counts the same words."""
+    good, bad = sc.GOOD_WORDS, sc.BAD_WORDS
+
+    def factory():
+        def score(texts: list[str]) -> list[dict[str, float]]:
+            result = []
+            for text in map(str.lower, texts):
+                g, b = (sum(w in text for w in words) for words in (good, bad))
+                n = g + b + 1
+                result.append({"positive": g / n, "negative": b / n, "neutral": 1 / n})
+            return result
+
+        return score
+
+    return _probs(en.score_sentiment(i.articles().select("doc_id", "title", "content"), factory))
+
+
+@query
+def classify_noise_plugin(i: Inputs) -> DataFrame:
+    """A classifier given as Python code: prompt in, reply out, verdict parsed from the reply."""
+    def factory():
+        def classify(prompt: str) -> str:
+            flag = "true" if "top 10" in prompt.lower() or "could" in prompt.lower() else "false"
+            return f'I think {{"results": [{{"is_noise": {flag}, "reason": "asked"}}]}}'
+
+        return classify
+
+    prompts = nz.single_prompts(i.articles().select("doc_id", "title", "content"), "Classify.")
+    replies = nz.ask_classifier(prompts.select("doc_id", "prompt"), factory)
+    return replies.select("doc_id", parse_verdict(F.col("reply")).alias("v")).select("doc_id", "v.*")
+
+
 @query
 def enrich_articles(i: Inputs) -> DataFrame:
     judged = i.scored().join(i.verdicts(), "doc_id", "left")

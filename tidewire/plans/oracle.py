@@ -162,6 +162,7 @@ NEWS = (*STAGES, CLEANED, ENRICHED)
 # ---- text functions -------------------------------------------------------------------------------
 
 SQL["strip_html"] = f"SELECT page_id, {ws(html('html'))} AS text FROM pages"
+SQL["strip_html_arrow"] = SQL["strip_html"]
 SQL["normalize_ws"] = f"SELECT page_id, {ws('html')} AS text FROM pages"
 SQL["hash_ids"] = "SELECT page_id, sha256(url) AS id, sha256(html) AS content_hash FROM pages"
 SQL["parse_dates"] = """
@@ -269,6 +270,18 @@ SELECT doc_id, {rd('g / (g + b + 1)', 6)} AS headline_positive, {rd('b / (g + b
   {rd('1 / (g + b + 1)', 6)} AS headline_neutral, {rd('cg / (cg + cb + 1)', 6)} AS content_positive,
   {rd('cb / (cg + cb + 1)', 6)} AS content_negative, {rd('1 / (cg + cb + 1)', 6)} AS content_neutral
 FROM counts""")
+_SEEN = {s: f"length({strip(f'substr({t}, 1, 400)')}) >= 10" for s, t in (("headline", "title"), ("content", "content"))}
+_GIVEN = ", ".join(
+    f"CASE WHEN {_SEEN[side]} THEN {rd(f'{x} / ({g} + {b} + 1)', 6)} END AS {side}_{c}"
+    for side, g, b in (("headline", "g", "b"), ("content", "cg", "cb"))
+    for c, x in (("positive", g), ("negative", b), ("neutral", "1"))
+)
+SQL["score_sentiment_plugin"] = with_(ARTICLES, ("counts", f"""
+  SELECT doc_id, title, content, {_G} AS g, {_B} AS b, {_CG} AS cg, {_CB} AS cb FROM articles"""), last=f"""
+SELECT doc_id, {_GIVEN} FROM counts""")
+SQL["classify_noise_plugin"] = with_(ARTICLES, last="""
+SELECT doc_id, regexp_matches(lower(concat(title, ' | ', substr(content, 1, 250))), 'top 10|could') AS is_noise,
+  'asked' AS reason, 'unknown' AS category FROM articles""")
 SQL["enrich_articles"] = with_(*STAGES, last="""
 SELECT window_start, feed_ord::BIGINT AS feed_ord, entry_ord, doc_id, id, title, content, url, source,
   event_type, array_to_string(assets, ',') AS asset_mentioned, CAST(impact_score AS BIGINT) AS impact_score,

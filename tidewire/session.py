@@ -25,7 +25,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a scan that has fewer splits than the cluster has cores; else leave it alone.
+    """Redistribute a plain scan that has fewer splits than the cluster has cores; else leave it.
 
     Text work is heavy per row, and a small input may be one file with one row group. A large input
     has more splits than cores and is never shuffled here.
