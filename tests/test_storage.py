@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tidewire.operators.articles import normalize_articles
 from tidewire.operators.windows import with_momentum
 from tidewire.schemas import FEATURE_COLUMNS, FEATURES
 from tidewire.sources import envelopes, feeds, store, tables
@@ -140,11 +141,20 @@ def _article(url, time, title="Bitcoin hack and more"):
 
 def _run(spark, folder, table, checkpoint):
     raw = news.read_envelope_stream(spark, str(folder))
-    cleaned = news.clean_stream(raw.select("title", "content", "url", "source", "raw_published_at"), "2 hours")
-    judged = cleaned.withColumn("is_noise", F.lit(False))
+    judged = normalize_articles(raw).withColumn("is_noise", F.lit(False))
     news.write_features(news.window_feature_stream(judged), table, str(checkpoint)).awaitTermination()
 
 
+def test_clean_stream(spark, tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    _land(folder, "1.json", [_article("u1", "2024-01-01 05:10")] * 3 + [_article("u2", "2024-01-01 06:10")])
+    _land(folder, "2.json", [_article("u1", "2024-01-01 05:10"), _article("", "2024-01-01 05:10")])
+    cleaned = news.clean_stream(news.read_envelope_stream(spark, str(folder)))
+    news.write_clean(cleaned, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["u1", "u2"]
+
+
 def test_stream_over_batches(spark, tmp_path):
     folder = tmp_path / "landing"
     folder.mkdir()

@@ -671,7 +671,6 @@ def _article_stream(i: Inputs) -> DataFrame:
 @query
 def stream_clean(i: Inputs) -> DataFrame:
     path, checkpoint = work_dir(i.spark, "stream-clean"), work_dir(i.spark, "stream-checkpoint")
-    stream.require_utc(i.spark)
     unique = stream.first_arrivals(_article_stream(i), "2 hours")
     stream.write_clean(unique, path, checkpoint).awaitTermination()
     stored = i.spark.read.parquet(path)
@@ -683,9 +682,7 @@ def stream_clean(i: Inputs) -> DataFrame:
 @query
 def stream_window_features(i: Inputs) -> DataFrame:
     table = store.FeatureStore(i.spark, work_dir(i.spark, "stream-features"))
-    stream.require_utc(i.spark)
-    unique = stream.first_arrivals(_article_stream(i), "2 hours")
-    features = stream.window_feature_stream(unique)
+    features = stream.window_feature_stream(_article_stream(i), "2 hours")
     stream.write_features(features, table, work_dir(i.spark, "stream-checkpoint")).awaitTermination()
     return longs(table.read().select(
         "window_start", "article_count", "total_raw", "noise_ratio", "avg_sentiment", "sentiment_std",

@@ -36,27 +36,43 @@ def read_table_stream(spark: SparkSession, folder: str, file_glob: str, schema:
     return spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(folder)
 
 
-def clean_stream(raw: DataFrame, delay: str = "2 hours", **options) -> DataFrame:
-    """Normalised articles, each id once. The first to arrive wins; later than `delay` is dropped."""
-    require_utc(raw.sparkSession)
-    return first_arrivals(normalize_articles(raw, **options), delay)
-
+def first_arrivals(cleaned: DataFrame, delay: str, salts: int = 16) -> DataFrame:
+    """Each id once: the first to arrive wins, rows later than `delay` are dropped.
 
-def first_arrivals(cleaned: DataFrame, delay: str) -> DataFrame:
-    return (
-        cleaned.withColumn("published_at", F.col("published_at").cast("timestamp"))
+    All copies of an id meet in one task. So that an article with very many copies is no hot spot, the
+    copies are first thinned in `salts` parts by the hash of the whole row; 1 turns that off.
+    """
+    require_utc(cleaned.sparkSession)
+    salt = F.pmod(F.xxhash64(*cleaned.columns), F.lit(salts))
+    watched = (
+        cleaned.withColumn("_salt", salt)
+        .withColumn("published_at", F.col("published_at").cast("timestamp"))
         .withWatermark("published_at", delay)
-        .dropDuplicatesWithinWatermark(["id"])
     )
+    if salts > 1:
+        watched = watched.dropDuplicatesWithinWatermark(["id", "_salt"])
+    return watched.dropDuplicatesWithinWatermark(["id"]).drop("_salt")
 
 
-def window_feature_stream(cleaned: DataFrame, config: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Hourly news features of a deduplicated stream with `is_noise`; run it in update mode."""
-    carried = tuple(c for c in ("published_at", "is_noise", "category") if c in cleaned.columns)
-    measured = with_event(measure_articles(cleaned, carried, config), config)
+def clean_stream(raw: DataFrame, delay: str = "2 hours", **options) -> DataFrame:
+    """Normalised articles with their text, each id once."""
+    return first_arrivals(normalize_articles(raw, **options), delay)
+
+
+def window_feature_stream(
+    articles: DataFrame, delay: str = "2 hours", config: EngineConfig = DEFAULT_CONFIG
+) -> DataFrame:
+    """Hourly news features of normalised articles with `is_noise`; run it in update mode.
+
+    Articles are measured where they are read, so the duplicate filter shuffles narrow rows and its
+    state holds keys only.
+    """
+    wanted = ("id", "published_at", "is_noise", "category", "feed_ord", "entry_ord")
+    carried = tuple(c for c in wanted if c in articles.columns)
+    measured = with_event(measure_articles(articles, carried, config), config)
     kept = F.coalesce(~F.col("is_noise"), F.lit(False)) & F.col("relevant")
     hourly = (
-        measured.withColumn("kept", kept)
+        first_arrivals(measured.withColumn("kept", kept), delay)
         .groupBy(F.window("published_at", "1 hour"))
         .agg(*feature_aggregates(kept="kept"))
     )
