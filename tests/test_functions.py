@@ -27,6 +27,7 @@ MARKUP = [
     ("<a title='x>y'>k</a> 1 < 2 & 3", "k 1 < 2 & 3"),
     ("<style>p{}</style><template>t</template>ok", "ok"),
     ("&copy &notin; &AMP;", "© ∉ &"),
+    ("<b>cut &amp</b> &am &copy<i>", "cut & &am ©"),
     ("no markup", "no markup"),
     ("<script>never closed", ""),
     (None, ""),

@@ -24,7 +24,12 @@ INSTRUCTIONS = (
 
 # Our own approximation of the noise criteria for running without a model.
 SPECULATION = ("will ", "could ", "might ", "expected to", "forecast", "prediction", "opinion")
-LISTICLES = (r"\btop \d+\b", r"\bbest \d*\b", r"\b\d+ (?:coins|tokens|things|reasons)\b", r"to watch\b")
+# Word edges are spelled out: regex engines differ in what `\b` takes for a letter.
+_FIRST, _LAST = r"(?:^|[^\p{L}\p{N}])", r"(?:[^\p{L}\p{N}]|$)"
+LISTICLES = tuple(
+    _FIRST + words + _LAST
+    for words in ("top [0-9]+", "best [0-9]*", "[0-9]+ (?:coins|tokens|things|reasons)", "(?:coins?|tokens?) to watch")
+)
 
 
 def assign_batches(

@@ -77,11 +77,12 @@ FROM (SELECT doc_id, doc_id - CASE WHEN doc_id % 10 = 9 THEN 1 ELSE 0 END AS url
 LEFT JOIN @labels l ON a.url_key = l.doc_id
 """
 
-# One verdict per article id, from the label of the first document with that url.
+# One verdict per article id, from the label of the document that gave the url its number.
 VERDICTS_BY_ID = """
-SELECT @sha(concat('https://news.example/', cast(d.doc_id AS @str))) AS id, l.quality = 0 AS is_noise,
-  CASE d.doc_id % 3 WHEN 0 THEN 'macro' WHEN 1 THEN 'whale' END AS category
-FROM @documents d LEFT JOIN @labels l ON d.doc_id = l.doc_id WHERE d.doc_id % 10 <> 9
+SELECT DISTINCT @sha(concat('https://news.example/', cast(d.k AS @str))) AS id, l.quality = 0 AS is_noise,
+  CASE d.k % 3 WHEN 0 THEN 'macro' WHEN 1 THEN 'whale' END AS category
+FROM (SELECT doc_id - CASE WHEN doc_id % 10 = 9 THEN 1 ELSE 0 END AS k FROM @documents) d
+LEFT JOIN @labels l ON d.k = l.doc_id
 """
 
 WEIGHTS = """

@@ -42,8 +42,9 @@ def html(x: str) -> str:
     tag = r"""<[!/?a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*>|<[!/?a-zA-Z][^>]*>"""
     x = f"regexp_replace(coalesce({x}, ''), {quote('(?is)<!--.*?-->|' + hidden)}, ' ', 'g')"
     x = f"regexp_replace({x}, {quote(tag)}, ' ', 'g')"
+    # A known reference may lack its semicolon, as in a title cut short.
     for name, char in (("middot", "·"), ("copy", "©"), ("quot", '"'), ("amp", "&")):
-        x = f"replace({x}, '&{name};', {quote(char)})"
+        x = f"regexp_replace({x}, '&{name}(?:;|([^a-zA-Z0-9;])|$)', {quote(char + chr(92) + '1')}, 'g')"
     return x
 
 
