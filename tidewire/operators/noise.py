@@ -32,6 +32,12 @@ LISTICLES = tuple(
 )
 
 
+def prompt_parts(df: DataFrame, *keys: str) -> DataFrame:
+    """Keys, title and the start of the content: what a prompt shows, and all that batching moves."""
+    shown = F.substring(F.coalesce("content", F.lit("")), 1, fv.PROMPT_CONTENT_CHARS)
+    return df.select(*keys, "title", shown.alias("content"))
+
+
 def assign_batches(
     df: DataFrame, size: int = 1, by: Sequence[str] = ("window_start",), entries_per_chunk: int = 4096
 ) -> DataFrame:

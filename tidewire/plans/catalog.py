@@ -415,7 +415,8 @@ def parse_verdict_(i: Inputs) -> DataFrame:
 
 def _batched(i: Inputs) -> DataFrame:
     articles = i.articles().withColumn("day", F.to_date("window_start"))
-    return nz.assign_batches(articles, 3, ["day"])
+    shown = nz.prompt_parts(articles, "day", "feed_ord", "entry_ord", "doc_id")
+    return nz.assign_batches(shown, 3, ["day"])
 
 
 @query
