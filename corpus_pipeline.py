@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import language, packing, quality
+from tidewire.llm import language, line_templates, packing, quality
 from tidewire.session import materialize
 
 
@@ -22,6 +22,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_known(docs, language.fit(docs))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Recurring line templates stay in one document; rows left without a word go."""
+    return line_templates.dedup_lines(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences."""
     return packing.pack(packing.pieces(docs))
@@ -30,6 +35,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", quality_rules),
     ("language ID", language_id),
+    ("line dedup", line_dedup),
     ("packing", pack),
 ]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import language, packing, quality, token_counts
+from tidewire.llm import language, line_templates, packing, quality, token_counts
 from tidewire.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,8 +38,15 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_templates.drop_recurring(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_packing, op4_token_counts, op8_quality_rules, op9_language_id)
+    f.__name__: f
+    for f in (
+        op3_packing, op4_token_counts, op8_quality_rules, op9_language_id, op10_line_dedup,
+    )
 }
 
 _OP8 = r"""
