@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import language, line_templates, packing, quality
+from tidewire.llm import language, line_templates, minhash, packing, quality
 from tidewire.session import materialize
 
 
@@ -27,6 +27,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_templates.dedup_lines(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return minhash.keep_first(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences."""
     return packing.pack(packing.pieces(docs))
@@ -36,6 +41,7 @@ STAGES = [
     ("quality rules", quality_rules),
     ("language ID", language_id),
     ("line dedup", line_dedup),
+    ("near dedup", near_dedup),
     ("packing", pack),
 ]
 

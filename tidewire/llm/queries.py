@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import language, line_templates, packing, quality, token_counts
+from tidewire.llm import language, line_templates, minhash, packing, quality, token_counts
 from tidewire.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, folder, "documents")))
 
@@ -45,7 +49,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op3_packing, op4_token_counts, op8_quality_rules, op9_language_id, op10_line_dedup,
+        op1_near_dedup, op3_packing, op4_token_counts, op8_quality_rules, op9_language_id, op10_line_dedup,
     )
 }
 
