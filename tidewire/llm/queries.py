@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import language, line_templates, minhash, packing, quality, token_counts
+from tidewire.llm import chat, language, line_templates, minhash, packing, quality, token_counts, topk
 from tidewire.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, folder, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, folder, "documents")))
 
@@ -29,6 +34,16 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), work_dir(spark, "token-cache"))
 
 
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]")
+    added = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"),
+    )
+    return chat.digests(chat.windows(turns.unionByName(added)))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.apply_policy(quality.ledger(table(spark, folder, "documents")))
     return judged.select(
@@ -49,7 +64,8 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_near_dedup, op3_packing, op4_token_counts, op8_quality_rules, op9_language_id, op10_line_dedup,
+        op1_near_dedup, op2_top_k, op3_packing, op4_token_counts, op5_chat_format, op8_quality_rules,
+        op9_language_id, op10_line_dedup,
     )
 }
 
@@ -78,4 +94,35 @@ SELECT doc_id, cast(n_words AS bigint) AS n_words, cast(word_chars AS bigint) AS
 FROM m
 """.replace("@rules", " OR ".join(rule for _, rule in quality.RULES))
 
-SQL: dict[str, str] = {"op8_quality_rules": _OP8}
+_OP2 = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x AS double)) AS bigint)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS bigint) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, cast(rank AS int) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+# What SQL can say of op5: the windows, and so formatted_chars, depend on token counts.
+OP5_READ_BACK = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  cast(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS bigint) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256
+FROM turns GROUP BY conv_id
+"""
+
+SQL: dict[str, str] = {"op2_top_k": _OP2, "op8_quality_rules": _OP8}
