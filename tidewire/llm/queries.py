@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import chat, html_main, language, line_templates, minhash, packing, quality, token_counts, topk
+from tidewire.llm import chat, html_main, language, line_templates, minhash, packing, quality, segmentation, token_counts, topk
 from tidewire.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.windows(turns.unionByName(added)))
 
 
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return segmentation.sample(table(spark, folder, "documents"), with_ids=False)
+
+
 def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
     texts = html_main.extract(table(spark, folder, "pages"))
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))
@@ -69,8 +73,8 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_near_dedup, op2_top_k, op3_packing, op4_token_counts, op5_chat_format, op7_main_text,
-        op8_quality_rules, op9_language_id, op10_line_dedup,
+        op1_near_dedup, op2_top_k, op3_packing, op4_token_counts, op5_chat_format, op6_sentencepiece,
+        op7_main_text, op8_quality_rules, op9_language_id, op10_line_dedup,
     )
 }
 
