@@ -30,12 +30,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """node and component (its smallest node) of every node of the edge table (u, v).
 
-    Each round is written to the shared folder, so a lost executor costs one round; the number of
-    rounds grows with the logarithm of the largest component.
+    With the `labels` of earlier edges, `edges` need only hold the new ones: they are drawn between
+    the components found before. Each round is written to the shared folder, so a lost executor costs
+    one round; the number of rounds grows with the logarithm of the largest component.
     """
+    if labels is not None:
+        return _joined(edges, labels)
     current = materialize(edges.where("u <> v").select("u", "v").distinct(), "edges")
     before = None
     while True:
@@ -47,5 +50,19 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = state
         current = materialize(_star(_star(current, large=True), large=False), "stars")
-    labels = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return labels.unionByName(labels.select(F.col("component").alias("node"), "component").distinct())
+    found = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
+
+
+def _joined(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """`labels` with the components that the edges tie together made one."""
+    drawn = edges.select("u", "v")
+    for end in ("u", "v"):
+        of = labels.select(F.col("node").alias(end), F.col("component").alias("_of"))
+        drawn = drawn.join(of, end, "left").withColumn(end, F.coalesce("_of", end)).drop("_of")
+    tied = components(drawn).select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    old = labels.join(tied, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    fresh = tied.select(F.col("component").alias("node"), F.col("_to").alias("component")).join(
+        labels, "node", "left_anti"
+    )
+    return materialize(old.unionByName(fresh), "labels")

@@ -48,7 +48,7 @@ class MinHashConfig:
     rows: int = 5
     word_bits: int = 16
     least_agree: float = 0.66
-    best: int = 4
+    best: int = 64
     seed: int = 1
 
     @property
@@ -341,13 +341,14 @@ def linked(docs: DataFrame, config: MinHashConfig = DEFAULT) -> DataFrame:
     tested = materialize(pairs, "pairs")
     edges = materialize(verify(tested, texts, idf, config), "links")
     places = members.where("n > 2").select("bucket", "node")
+    labels = components(edges)
     while True:
-        labels = components(edges)
         more = materialize(open_pairs(places, labels, nodes.select("node", "samples"), tested, config), "pairs")
         if more.isEmpty():
             break
         tested = tested.unionByName(more)
-        edges = materialize(edges.unionByName(verify(more, texts, idf, config)), "links")
+        edges = materialize(verify(more, texts, idf, config), "links")
+        labels = components(edges, labels)
     named = nodes.select("node", "first", "n_rows").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
