@@ -7,7 +7,7 @@
 3. Candidates are verified on their whole texts: the weighted Jaccard similarity of the two profiles, or
    the plain one of their shingle sets, must reach the threshold.
 4. Linked texts form components. A bucket is first checked as a star around its smallest member; then
-   members that are still apart are paired by their samples until no candidate is left untested.
+   members that are still apart are compared with all others of the bucket whose samples agree enough.
 
 Texts with equal words are one node from the start, so copies never meet in a bucket.
 """
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import slices, worker_cache
@@ -48,7 +48,6 @@ class MinHashConfig:
     rows: int = 5
     word_bits: int = 16
     least_agree: float = 0.66
-    best: int = 64
     seed: int = 1
 
     @property
@@ -245,75 +244,93 @@ def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, config: MinHashC
     return dealt.select("u", "node", "text").mapInArrow(compare, "u bigint, v bigint")
 
 
-def open_pairs(
-    members: DataFrame, labels: DataFrame, samples: DataFrame, tested: DataFrame, config: MinHashConfig
+def late_links(
+    members: DataFrame, labels: DataFrame, samples: DataFrame, texts: DataFrame, idf: np.ndarray, config: MinHashConfig
 ) -> DataFrame:
-    """Untested pairs in one bucket, in different components, whose samples agree often enough.
+    """Links (u, v) between members of a bucket that are still in different components.
 
     In each bucket the largest component need not be compared with itself: every other member meets
-    every member, in blocks. A member's `best` most similar partners per block come first; the caller
-    asks again until nothing is left.
+    every member, in blocks that bring both sides' texts. Pairs are looked at once, in the first band they
+    share, where their samples agree often enough, most similar first; those whose components have
+    meanwhile met in the block are passed over. Only links leave a task, so nothing is emitted for pairs.
     """
     named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     per = named.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     buckets = per.groupBy("bucket").agg(
-        F.max_by("component", "n").alias("main"), F.sum("n").alias("n"),
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"),
         (F.sum("n") - F.max("n")).alias("apart"),
     ).where((F.col("apart") > 0) & (F.col("n") > 2))
-    rows = named.join(buckets, "bucket").join(samples, "node").withColumns({
-        "left_blocks": F.ceil(F.col("apart") / 128).cast("int"), "right_blocks": F.ceil(F.col("n") / 512).cast("int"),
+    rows = named.join(materialize(buckets, "open-buckets"), "bucket").join(samples, "node").withColumns({
+        "lefts": F.ceil(F.col("apart") / 256).cast("int"), "rights": F.ceil(F.col("n") / 1024).cast("int"),
+        "minor": F.col("component") != F.col("main"),
     })
     h = F.xxhash64(F.lit("block"), "node")
-    i, j = F.pmod(h, F.col("left_blocks")).cast("int"), F.pmod(h, F.col("right_blocks")).cast("int")
-    base = ("bucket", "node", "component", "samples")
-    left = rows.where("component <> main").select(
-        *base, F.lit(True).alias("left"), i.alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("right_blocks") - 1)).alias("j"),
+    i, j = F.pmod(h, F.col("lefts")).cast("int"), F.pmod(h, F.col("rights")).cast("int")
+    base = ("bucket", "band", "node", "component", "minor", "samples")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.where("minor").select(*base, F.lit(True).alias("left"), i.alias("i"), each("rights").alias("j"))
+    right = rows.select(*base, F.lit(False).alias("left"), each("lefts").alias("i"), j.alias("j"))
+    ordered = left.unionByName(right).join(texts, "node").repartition("bucket", "i", "j").sortWithinPartitions(
+        "bucket", "i", "j"
     )
-    right = rows.select(
-        *base, F.lit(False).alias("left"), F.explode(F.sequence(F.lit(0), F.col("left_blocks") - 1)).alias("i"),
-        j.alias("j"),
-    )
-    least = int(np.ceil(config.least_agree * config.samples))
-    ordered = left.unionByName(right).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    shared = members.sparkSession.sparkContext.broadcast(idf)
+    least, threshold = int(np.ceil(config.least_agree * config.samples)), config.threshold
+    width, bits, bands = config.width, config.word_bits, config.bands
 
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = worker_cache("word hashes", WordHashes)
         group: list[tuple] = []
-        key = None
-        for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("bucket", "i", "j", "left", "node", "component", "samples"))
-            for row in zip(*columns, strict=True):
-                if row[:3] != key:
-                    yield from near(group)
-                    group, key = [], row[:3]
-                group.append(row[3:])
-        yield from near(group)
-
-    def near(group: list[tuple]) -> Iterator[pa.RecordBatch]:
-        sides = [[r for r in group if r[0]], [r for r in group if not r[0]]]
-        if not all(sides):
-            return
-        node, comp = ([np.array([r[k] for r in side], np.int64) for side in sides] for k in (1, 2))
-        own, other = (np.stack([np.frombuffer(r[3], "<u2") for r in side]) for side in sides)
-        u, v, n = [], [], []
-        for x in range(len(node[0])):
-            agree = (own[x] == other).sum(axis=1)
-            agree[comp[1] == comp[0][x]] = 0
-            for y in np.flatnonzero(agree >= least):
-                u.append(min(node[0][x], node[1][y]))
-                v.append(max(node[0][x], node[1][y]))
-                n.append(agree[y])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(n, pa.int64())], ["u", "v", "n"]
-        )
-
-    found = ordered.mapInArrow(pair, "u bigint, v bigint, n bigint").distinct().join(
-        tested, ["u", "v"], "left_anti"
-    )
-    both = found.unionByName(found.select(F.col("v").alias("u"), F.col("u").alias("v"), "n"))
-    order = Window.partitionBy("u").orderBy(F.desc("n"), "v")
-    first = both.withColumn("at", F.row_number().over(order)).where(F.col("at") <= config.best)
-    return first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        names = ("bucket", "i", "j", "left", "band", "node", "component", "minor", "samples", "text")
+        for batch in slices(batches):
+            found: list[tuple[int, int]] = []
+            for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if group and row[:3] != group[-1][:3]:
+                    found += links(group, hashes)
+                    group = []
+                group.append(row)
+            yield to_batch(found)
+        yield to_batch(links(group, hashes))
+
+    def to_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        u, v = zip(*found, strict=True) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    def links(group: list[tuple], hashes: WordHashes) -> list[tuple[int, int]]:
+        own, other = ([r for r in group if r[3] is side] for side in (True, False))
+        if not own or not other:
+            return []
+        band = group[0][4]
+        signs = np.stack([np.frombuffer(r[8], "<u2") for r in other])
+        nodes, comps, minor = (np.array([r[k] for r in other]) for k in (5, 6, 7))
+        profiles: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        parent: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while parent.get(c, c) != c:
+                c = parent[c]
+            return c
+
+        def profile(row: tuple) -> tuple[np.ndarray, np.ndarray]:
+            if row[5] not in profiles:
+                words = hashes.of((row[9] or "").encode().split())
+                profiles[row[5]] = shingles(words, shared.value, width, bits)
+            return profiles[row[5]]
+
+        found = []
+        for row in own:
+            equal = np.frombuffer(row[8], "<u2") == signs
+            agree = equal.sum(axis=1)
+            whole = equal.reshape(len(signs), bands, -1).all(axis=2)
+            here = whole[:, band] & ~whole[:, :band].any(axis=1) & (agree >= least) & (comps != row[6])
+            here &= ~minor | (nodes > row[5])
+            for k in np.flatnonzero(here)[np.argsort(-agree[here], kind="stable")]:
+                a, b = root(row[6]), root(int(comps[k]))
+                if a != b and similar(profile(row), profile(other[k])) >= threshold:
+                    parent[a] = b
+                    found.append((row[5], int(nodes[k])))
+        return found
+
+    return ordered.mapInArrow(run, "u bigint, v bigint")
 
 
 def linked(docs: DataFrame, config: MinHashConfig = DEFAULT) -> DataFrame:
@@ -328,7 +345,7 @@ def linked(docs: DataFrame, config: MinHashConfig = DEFAULT) -> DataFrame:
         ),
         "nodes",
     )
-    members = nodes.select("node", F.explode("bands").alias("bucket"))
+    members = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     stars = members.groupBy("bucket").agg(F.min("node").alias("u"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = materialize(members.join(stars, "bucket"), "members")
     texts = docs.select(
@@ -338,17 +355,10 @@ def linked(docs: DataFrame, config: MinHashConfig = DEFAULT) -> DataFrame:
     wanted = members.select("node").distinct().join(nodes, "node").select("node", "first.*")
     texts = materialize(wanted.join(texts, ["doc", "text_hash"]).select("node", "text"), "texts")
     pairs = members.where("node <> u").select("u", F.col("node").alias("v")).distinct()
-    tested = materialize(pairs, "pairs")
-    edges = materialize(verify(tested, texts, idf, config), "links")
-    places = members.where("n > 2").select("bucket", "node")
-    labels = components(edges)
-    while True:
-        more = materialize(open_pairs(places, labels, nodes.select("node", "samples"), tested, config), "pairs")
-        if more.isEmpty():
-            break
-        tested = tested.unionByName(more)
-        edges = materialize(verify(more, texts, idf, config), "links")
-        labels = components(edges, labels)
+    labels = components(materialize(verify(pairs, texts, idf, config), "links"))
+    places = members.where("n > 2").select("bucket", "band", "node")
+    late = late_links(places, labels, nodes.select("node", "samples"), texts, idf, config)
+    labels = components(materialize(late, "late-links"), labels)
     named = nodes.select("node", "first", "n_rows").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
