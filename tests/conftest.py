@@ -1,8 +1,6 @@
 import pytest
 from pyspark.sql import SparkSession
 
-from tidewire.session import ship_package
-
 FOLDER = "/root/testdata/sf0.01"
 
 
@@ -20,6 +18,5 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    ship_package(session)
     yield session
     session.stop()

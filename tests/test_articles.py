@@ -27,7 +27,9 @@ def test_normalize(spark):
     assert set(good) == {"u5", "u6"}
     assert good["u5"].content == ""
     long = good["u6"]
-    assert (len(long.title), long.title_length, len(long.content), long.text_length) == (500, 501, 5000, 5001)
+    assert (len(long.title), long.title_length, len(long.content), long.text_length) == (501, 501, 5001, 5001)
+    cut = {r.url: r for r in ar.normalize_articles(raw, title_chars=500, content_chars=5000).collect()}["u6"]
+    assert (len(cut.title), cut.title_length, len(cut.content), cut.text_length) == (500, 501, 5000, 5001)
     import hashlib
 
     assert long.content_hash == hashlib.sha256(b"y" * 5001).hexdigest()
@@ -131,7 +133,7 @@ def test_description_stands_in_for_content(spark):
     assert row.event_type == "price_movement" and row.content_sentiment_score < 0
 
 
-def test_scorer_plugin_sees_only_scorable_prefixes(spark):
+def test_scorer_plugin_sees_whole_or_cut_texts(spark):
     df = _articles(spark, [
         ("short", "z" * 900, "u", "s", False, None), ("a longer title", None, "u", "s", False, None),
         ("another title", "tiny", "u", "s", False, None),
@@ -139,14 +141,16 @@ def test_scorer_plugin_sees_only_scorable_prefixes(spark):
 
     def factory():
         def score(texts):
-            assert all(10 <= len(t) <= 400 for t in texts)
+            assert all(10 <= len(t) <= 900 for t in texts)
             return [{"positive": len(t) / 1000, "negative": 0.0, "neutral": 0.1} for t in texts]
 
         return score
 
     got = {r.id: r for r in en.with_sentiment(en.score_sentiment(df, factory)).collect()}
-    assert (got["id0"].headline_sentiment_score, got["id0"].content_sentiment_score) == (0.0, 0.4)
-    assert got["id0"].final_sentiment_score == 0.24
+    assert (got["id0"].headline_sentiment_score, got["id0"].content_sentiment_score) == (0.0, 0.9)
+    assert got["id0"].final_sentiment_score == 0.54
+    cut = en.with_sentiment(en.score_sentiment(df, factory, chars=400), chars=400).where("id = 'id0'").first()
+    assert cut.content_sentiment_score == 0.4
     assert got["id1"].final_sentiment_score == got["id1"].headline_sentiment_score == 0.014
     assert got["id2"].content_sentiment_score == 0.0 and got["id2"].final_sentiment_score == 0.0052
 
@@ -154,22 +158,23 @@ def test_scorer_plugin_sees_only_scorable_prefixes(spark):
 def test_classifier_plugin_retries_calls_only(spark):
     df = _articles(spark, [(t, "c", "u", "s", None, None) for t in ("flaky", "down", "odd", "fine")])
     batched = nz.assign_batches(df.drop("is_noise", "category"), 1)
-    prompts = nz.build_prompts(batched, instructions="x")
+    prompts = nz.build_prompts(batched, instructions="x", key="id")
 
     def factory():
         calls = {}
 
-        def classify(prompt):
+        def one(prompt):
             calls[prompt] = calls.get(prompt, 0) + 1
             if "down" in prompt or ("flaky" in prompt and calls[prompt] < 3):
                 raise OSError("no connection")
-            assert not ("odd" in prompt and calls[prompt] > 1)
             return "what?" if "odd" in prompt else '{"results":[{"is_noise":false,"reason":"r"}]}'
 
-        return classify
+        return lambda prompts: [one(p) for p in prompts]
 
     replies = nz.ask_classifier(prompts, factory, retries=3, delay_seconds=0.0)
     got = {r.title: (r.is_noise, r.reason) for r in nz.attach_verdicts(batched, replies).collect()}
+    errors = [r.reply_error for r in replies.collect() if r.reply is None]
+    assert errors == ["OSError: no connection"]
     assert got == {"flaky": (False, "r"), "fine": (False, "r"), "down": (True, "fallback"), "odd": (True, "fallback")}
 
 
@@ -188,7 +193,9 @@ def test_single_prompt_matches_batch_of_one(spark):
     df = _articles(spark, [("t", "c" * 300, "u", "s", None, None)])
     one = nz.single_prompts(df).first().prompt
     assert one == nz.build_prompts(nz.assign_batches(df, 1)).first().prompt
-    assert one.endswith("0:\ntitle: t\ncontent: " + "c" * 250 + "\n")
+    assert one.endswith("0:\ntitle: t\ncontent: " + "c" * 300 + "\n")
+    cut = nz.single_prompts(df, content_chars=250).first().prompt
+    assert cut.endswith("content: " + "c" * 250 + "\n")
 
 
 def _enriched(spark, rows):
@@ -230,3 +237,20 @@ def test_enriched_without_cleaned_rows(spark):
     enriched = _enriched(spark, [(AT, "hack", ["BTC"], 3, 1.0, 0.2, 0.3, 0.4)])
     nothing = spark.createDataFrame([], "window_start timestamp_ntz")
     assert wn.window_features(enriched, nothing).first().noise_ratio == 0.0
+
+
+def test_implausible_dates_are_set_aside(spark):
+    rows = [("t", "c", f"u{y}", "s", f"{y}-01-02") for y in ("0001", "9999", "2024")]
+    raw = spark.createDataFrame(rows, RAW)
+    good = ar.with_window_start(ar.normalize_articles(raw))
+    assert [r.url for r in good.collect()] == ["u2024"]
+    assert wn.hour_calendar(good).count() == 1
+    _, bad = ar.quarantine_split(ar.with_clean_fields(raw))
+    assert {r._error for r in bad.collect()} == {"implausible date"}
+
+
+def test_calendar_is_dealt_out(spark):
+    ends = spark.createDataFrame([(datetime(2020, 1, 1),), (datetime(2024, 1, 1),)], "window_start timestamp_ntz")
+    calendar = wn.hour_calendar(ends)
+    assert calendar.count() == 24 * 1461 + 1
+    assert len({r[0] for r in calendar.select(F.spark_partition_id()).distinct().collect()}) > 1

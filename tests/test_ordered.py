@@ -165,13 +165,13 @@ def test_macro_fallback(spark):
     macro = spark.createDataFrame(rows, "ticker string, day date, close double")
     tickers = {"dxy": ("A", "B"), "gold_price": ("Z",), "sp500_return_1d": ("S",), "us_10y_yield": ("A",)}
     windows = spark.createDataFrame(
-        [(datetime(2023, 12, 31, 22),), (datetime(2023, 12, 31, 23),), (datetime(2024, 1, 4),)],
+        [(datetime(2024, 1, 1, 22),), (datetime(2024, 1, 1, 23),), (datetime(2024, 1, 5),)],
         "window_start timestamp_ntz",
     )
     got = {r.window_start: r for r in mk.macro_asof(windows, macro, tickers).collect()}
-    assert got[datetime(2023, 12, 31, 22)].dxy is None
-    assert got[datetime(2023, 12, 31, 23)].dxy == 7.0
-    assert got[datetime(2023, 12, 31, 23)].us_10y_yield == 0.0
-    assert got[datetime(2024, 1, 4)].dxy == 5.0
-    assert got[datetime(2024, 1, 4)].gold_price is None
-    assert got[datetime(2024, 1, 4)].sp500_return_1d is None
+    assert got[datetime(2024, 1, 1, 22)].dxy is None
+    assert got[datetime(2024, 1, 1, 23)].dxy == 7.0
+    assert got[datetime(2024, 1, 1, 23)].us_10y_yield == 0.0
+    assert got[datetime(2024, 1, 5)].dxy == 5.0
+    assert got[datetime(2024, 1, 5)].gold_price is None
+    assert got[datetime(2024, 1, 5)].sp500_return_1d is None

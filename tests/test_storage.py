@@ -92,8 +92,8 @@ def test_upsert(spark, tmp_path):
         assert got == {hour(1): (1, 0.1), hour(2): (9, None), hour(3): (4, 0.4), hour(1, 2): (3, 0.3)}
     table.upsert(feature_rows(spark, [(hour(2), 5, 0.5)]), 2)
     assert table.read().where("article_count = 5").count() == 1
-    table.upsert(feature_rows(spark, [(hour(2), 0, 0.0)]), 1)
-    assert table.read().where("article_count = 5").count() == 1
+    table.upsert(feature_rows(spark, [(hour(2), 6, 0.0)]), 1)
+    assert [r.article_count for r in table.read().where(F.col("window_start") == hour(2)).collect()] == [6]
     later = {r.window_start: r.created_at for r in table.stored().collect()}
     assert later[hour(1)] == first[hour(1)] and later[hour(2)] > first[hour(2)]
     assert [r.window_start for r in table.latest(2).collect()] == [hour(1, 2), hour(3)]
@@ -187,3 +187,23 @@ def test_stream_needs_utc(spark):
             news.require_utc(spark)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_unfinished_write_changes_nothing(spark, tmp_path):
+    table = store.FeatureStore(spark, str(tmp_path / "features"))
+    table.upsert(feature_rows(spark, [(hour(1), 1, 0.1), (hour(2), 2, 0.2)]), 1)
+    torn = table.stored().where("article_count = 1").withColumn("article_count", F.lit(9))
+    torn.write.partitionBy("window_date").parquet(f"{table.path}/data/version=torn")
+    assert sorted(r.article_count for r in table.read().collect()) == [1, 2]
+    table.upsert(feature_rows(spark, [(hour(2), 3, 0.2)]), 2)
+    assert sorted(r.article_count for r in table.read().collect()) == [1, 3]
+
+
+def test_one_row_of_several_for_a_window(spark, tmp_path):
+    rows = [(hour(1), n, 0.1) for n in range(5)]
+    got = []
+    for k, part in enumerate((rows, rows[::-1])):
+        table = store.FeatureStore(spark, str(tmp_path / f"features{k}"))
+        table.upsert(feature_rows(spark, part), 1)
+        got.append([r.article_count for r in table.read().collect()])
+    assert got[0] == got[1] and len(got[0]) == 1

@@ -48,5 +48,13 @@ def hour_floor(ts: Column) -> Column:
     return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(ts), F.extract(F.lit("SECOND"), ts))
 
 
+def to_millis(ts: Column) -> Column:
+    """Milliseconds since 1970 of a TIMESTAMP_NTZ holding UTC; the inverse of `cast_candles`' reading."""
+    minutes = (F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint") * 24 + F.hour(ts)) * 60
+    return (minutes + F.minute(ts)) * 60_000 + F.floor(F.extract(F.lit("SECOND"), ts) * 1000).cast(
+        "bigint"
+    )
+
+
 def hours(n: int) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(n))

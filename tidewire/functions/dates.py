@@ -3,11 +3,13 @@
 The text is rewritten to ISO with built-in string functions and cast with `try_cast`, so an
 unreadable date is NULL and neither the session zone nor the JVM's locale matters. Accepted:
 
-* ISO: `2024-01-02`, `2024-01-02T03:04`, `2024-01-02 03:04:05.678`
+* ISO: `2024-01-02`, `2024-01-02T03:04`, `2024-01-02 03:04:05.678`, `2024/01/02`, `20240102T030405`
 * RFC 822: `Tue, 02 Jan 2024 03:04:05`, weekday and seconds optional, two-digit years
-* US long: `January 2, 2024 3:04 PM`, and US short: `01/02/2024 03:04:05`
+* US long: `January 2, 2024 at 3:04 PM`, and US short: `01/02/2024 03:04:05`, `01.02.2024`
+* asctime: `Tue Jan  2 03:04:05 2024`
 
-each with an optional zone: `Z`, `UTC`, `+0200`, `+02:00`, `-05`, or a zone name. No zone means UTC.
+Short dates are month first, unless the first number can only be a day. A clock may be an hour with AM
+or PM. Each comes with an optional zone: `Z`, `UTC`, `+0200`, `+02:00`, `-05`, or a zone name. No zone means UTC.
 """
 
 from __future__ import annotations
@@ -27,14 +29,22 @@ MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 
 _WEEKDAY = r"(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+)?"
 _MONTH = r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?"
-_CLOCK = r"(?:,?[\st]+(\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?\d*)?)\s*(am|pm)?)?"
+_TIME = r"\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?\d*)?"
+_CLOCK = rf"(?:,?(?:\s+at)?[\st]+({_TIME}|\d{{1,2}}(?=\s*[ap]m))\s*(am|pm)?)?"
+# Forms that are first put into the order of one of those below.
+_REORDERED = (
+    (rf"(?i)^{_WEEKDAY}{_MONTH}\s+(\d{{1,2}})\s+({_TIME})\s+(\d{{4}})$", "$1 $2, $4 $3"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    (r"(?i)^(\d{4})(\d{2})(\d{2})[t ]?(\d{2})(\d{2})(\d{2})", "$1-$2-$3 $4:$5:$6"),
+    (r"(?i)^(\d{4})(\d{2})(\d{2})[t ](\d{2})(\d{2})", "$1-$2-$3 $4:$5"),
+)
 _ZONE = r"\s*(z|[a-z]{2,5}|(?:utc|gmt)?[+-]\d{1,2}:?(?:\d{2})?)?$"
 # form -> where its year, month and day are; the clock, AM/PM and zone are groups 4 to 6.
 _FORMS = (
-    (r"(\d{4})-(\d{1,2})-(\d{1,2})", "$1", "$2", "$3"),
+    (r"(\d{4})[-/](\d{1,2})[-/](\d{1,2})", "$1", "$2", "$3"),
     (rf"(\d{{1,2}})[\s-]+{_MONTH},?[\s-]+(\d{{4}}|\d{{2}})", "$3", "$2", "$1"),
     (rf"{_MONTH}\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}})", "$3", "$1", "$2"),
-    (r"(\d{1,2})/(\d{1,2})/(\d{4})", "$3", "$1", "$2"),
+    (r"(\d{1,2})[/.](\d{1,2})[/.](\d{4})", "$3", "$1", "$2"),
 )
 _MARK = "\x01"
 
@@ -44,6 +54,8 @@ def _parts(text: Column) -> Column:
 
     A matching form rewrites the text to marked parts, on which the forms after it fail at once.
     """
+    for pattern, ordered in _REORDERED:
+        text = F.regexp_replace(text, pattern, ordered)
     for form, year, month, day in _FORMS:
         pattern = f"(?i)^{_WEEKDAY}{form}{_CLOCK}{_ZONE}"
         text = F.regexp_replace(text, pattern, _MARK.join((year, month, day, "$4", "$5", "$6")))
@@ -69,7 +81,7 @@ def _clock(clock: Column, half: Column) -> Column:
         .when((F.lower(half) == "am") & (hour == 12), F.lit(0))
         .otherwise(hour)
     )
-    tail = F.substring(clock, F.instr(clock, ":"), F.length(clock))
+    tail = F.when(F.contains(clock, F.lit(":")), F.substring(clock, F.instr(clock, ":"), F.length(clock))).otherwise(":00")
     return F.when(clock == "", F.lit("00:00")).otherwise(
         F.concat(F.lpad(shifted.cast("string"), 2, "0"), tail)
     )
@@ -94,6 +106,8 @@ def parse_date(text: Column, legacy_zone_names: bool = False) -> Column:
     """TIMESTAMP_NTZ in UTC, or NULL. `legacy_zone_names` reads `EST` and the like as UTC."""
     def read(parts: Column) -> Column:
         year, month, day, clock, half, zone = (F.get(parts, F.lit(n)) for n in range(6))
+        swapped = (month.try_cast("int") > 12) & (day.try_cast("int") <= 12)
+        month, day = F.when(swapped, day).otherwise(month), F.when(swapped, month).otherwise(day)
         date = F.concat_ws("-", _year(year), _month(month), F.lpad(day, 2, "0"))
         local = F.concat(date, F.lit(" "), _clock(clock, half)).try_cast("timestamp_ntz")
         offset = F.make_dt_interval(F.lit(0), F.lit(0), _offset_minutes(zone, legacy_zone_names))

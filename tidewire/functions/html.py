@@ -1,19 +1,15 @@
 """Markup to text.
 
-`strip_html` is a chain of built-in expressions and stays in the JVM. `strip_html_arrow` feeds the
-standard-library tokenizer through an Arrow batch UDF for badly malformed input. Both put a space
-where a tag was; runs of spaces are left to `normalize_whitespace`, which always follows.
+`strip_html` is a chain of built-in expressions and stays in the JVM. It puts a space where a tag was;
+runs of spaces are left to `normalize_whitespace`, which always follows.
 """
 
 from __future__ import annotations
 
 from html.entities import html5
-from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from tidewire.functions.basics import bind
 from tidewire.functions.text import strip
@@ -84,43 +80,3 @@ def decode_entities(text: Column) -> Column:
 def strip_html(text: Column) -> Column:
     visible = F.regexp_replace(F.coalesce(text, F.lit("")), _DROPPED, " ")
     return strip(decode_entities(F.regexp_replace(visible, _TAG, " ")))
-
-
-class _TextCollector(HTMLParser):
-    """Keeps the text between tags, except inside hidden elements."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.pieces: list[str] = []
-        self.hidden: list[str] = []
-
-    def handle_starttag(self, tag, attrs):
-        self.pieces.append(" ")
-        if tag in HIDDEN_ELEMENTS:
-            self.hidden.append(tag)
-
-    def handle_endtag(self, tag):
-        self.pieces.append(" ")
-        if tag in self.hidden:
-            self.hidden.remove(tag)
-
-    def handle_comment(self, data):
-        self.pieces.append(" ")
-
-    def handle_data(self, data):
-        if not self.hidden:
-            self.pieces.append(data)
-
-
-def _visible_text(markup: str | None) -> str:
-    collector = _TextCollector()
-    collector.feed(markup or "")
-    collector.close()
-    return "".join(collector.pieces).strip()
-
-
-def strip_html_arrow(text: Column) -> Column:
-    def visible(markup: pd.Series) -> pd.Series:
-        return markup.map(_visible_text)
-
-    return F.pandas_udf(visible, StringType())(text)

@@ -39,9 +39,9 @@ def impact_score(event_type: Column, weight: Column, assets: Column, config: Eng
     return raised.cast("int")
 
 
-def scored_prefix(text: Column) -> Column:
-    """What a sentiment model gets to see."""
-    return strip(F.substring(text, 1, fv.SCORED_CHARS))
+def scored_text(text: Column, chars: int | None = None) -> Column:
+    """What a sentiment model gets to see: the whole text, or its first `chars` characters."""
+    return strip(text if chars is None else F.substring(text, 1, chars))
 
 
 def is_scorable(text: Column) -> Column:
@@ -95,9 +95,9 @@ BAD_WORDS = (
 
 
 def lexicon_probs(
-    text: Column, good: Sequence[str] = GOOD_WORDS, bad: Sequence[str] = BAD_WORDS
+    text: Column, good: Sequence[str] = GOOD_WORDS, bad: Sequence[str] = BAD_WORDS, chars: int | None = None
 ) -> Column:
-    """Class probabilities from counts of distinct good and bad words in the scored prefix."""
+    """Class probabilities from counts of distinct good and bad words in the scored text."""
     def shares(n: Column) -> Column:
         total = (n["good"] + n["bad"] + 1).cast("double")
         return F.struct(
@@ -106,8 +106,8 @@ def lexicon_probs(
             (1 / total).alias("neutral"),
         )
 
-    prefix = scored_prefix(text)
+    scored = scored_text(text, chars)
     counts = F.struct(
-        F.size(hits(prefix, good)).alias("good"), F.size(hits(prefix, bad)).alias("bad")
+        F.size(hits(scored, good)).alias("good"), F.size(hits(scored, bad)).alias("bad")
     )
     return bind(counts, shares)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewire import fixed_values as fv
 from tidewire.functions.basics import bind
 
 _VERDICT_TYPE = "struct<is_noise:boolean,reason:string,category:string>"
@@ -54,7 +53,7 @@ def _truthy(value: Column) -> Column:
     )
 
 
-def _reason(value: Column) -> Column:
+def _reason(value: Column, chars: int | None) -> Column:
     text = F.try_variant_get(value, "$", "string")
     shown = (
         F.when(value.isNull(), F.lit("unknown"))
@@ -62,7 +61,7 @@ def _reason(value: Column) -> Column:
         .when(F.schema_of_variant(value) == "BOOLEAN", F.initcap(text))
         .otherwise(text)
     )
-    return F.substring(shown, 1, fv.REASON_CHARS)
+    return shown if chars is None else F.substring(shown, 1, chars)
 
 
 def _category(value: Column) -> Column:
@@ -70,18 +69,20 @@ def _category(value: Column) -> Column:
     return F.when(value.isNull(), F.lit("unknown")).otherwise(F.try_variant_get(value, "$", "string"))
 
 
-def _verdict(item: Column) -> Column:
+def _verdict(item: Column, reason_chars: int | None) -> Column:
     def field(name: str) -> Column:
         return F.try_variant_get(item, f"$.{name}", "variant")
 
     return F.struct(
         bind(field("is_noise"), _truthy).alias("is_noise"),
-        bind(field("reason"), _reason).alias("reason"),
+        bind(field("reason"), lambda v: _reason(v, reason_chars)).alias("reason"),
         bind(field("category"), _category).alias("category"),
     ).cast(_VERDICT_TYPE)
 
 
-def parse_verdicts(reply: Column, batch_size: Column | int) -> Column:
+def parse_verdicts(
+    reply: Column, batch_size: Column | int, reason_chars: int | None = None
+) -> Column:
     """array<struct<is_noise, reason, category>> with one verdict per article of the batch.
 
     Short result lists are filled with the fallback. A reply that is no JSON, or has a result that is
@@ -96,7 +97,7 @@ def parse_verdicts(reply: Column, batch_size: Column | int) -> Column:
             used, lambda r: ~F.coalesce(F.schema_of_variant(r).startswith("OBJECT"), F.lit(False))
         )
         filled = F.concat(
-            F.transform(used, _verdict),
+            F.transform(used, lambda r: _verdict(r, reason_chars)),
             F.array_repeat(fallback_verdict(), F.greatest(n - F.size(used), F.lit(0))),
         )
         return F.when(results.isNull() | broken, everything).otherwise(filled)
@@ -105,9 +106,9 @@ def parse_verdicts(reply: Column, batch_size: Column | int) -> Column:
     return F.when(reply.isNull(), everything).otherwise(bind(results, read))
 
 
-def parse_verdict(reply: Column) -> Column:
-    """The verdict of a one-article batch."""
-    return F.get(parse_verdicts(reply, 1), F.lit(0))
+def parse_verdict(reply: Column, reason_chars: int | None = None) -> Column:
+    """The verdict of a one-article batch; its reason is whole unless `reason_chars` is given."""
+    return F.get(parse_verdicts(reply, 1, reason_chars), F.lit(0))
 
 
 def reply_as_json(reply: Column) -> Column:

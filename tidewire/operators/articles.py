@@ -8,13 +8,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tidewire import fixed_values as fv
 from tidewire.functions.basics import hour_floor, hours
 from tidewire.functions.dates import parse_date
 from tidewire.functions.html import strip_html
 from tidewire.functions.text import hash_text, normalize_whitespace, strip
 
-FEED_ORDER = ("feed_ord", "entry_ord")
+ARRIVAL = ("ingestion_time", "feed_ord", "entry_ord")
+
+
+def arrival_order(df: DataFrame) -> list[Column]:
+    """A total order of articles: ingestion time, feed, entry, then the row's own values.
+
+    Columns of ARRIVAL that the frame lacks are left out. Rows that still tie are equal.
+    """
+    own = F.col("content_hash") if "content_hash" in df.columns else F.xxhash64(*sorted(df.columns))
+    return [*[F.col(c) for c in ARRIVAL if c in df.columns], own]
 
 
 def union_sources(parts: Sequence[DataFrame]) -> DataFrame:
@@ -31,19 +39,20 @@ def _first_rows(df: DataFrame, limit: int, by: Sequence[str | Column]) -> DataFr
 
 
 def per_source_limit(
-    df: DataFrame, limit: int = fv.ENTRIES_PER_FEED, by: Sequence[str] = ("source",), salts: int = 256
+    df: DataFrame, limit: int, by: Sequence[str] = ("source",), salts: int = 256
 ) -> DataFrame:
     """The first `limit` entries of each feed in document order.
 
-    Spark keeps at most `limit` rows per feed and task before the shuffle (WindowGroupLimit), so a
-    feed that holds a third of all rows does not arrive whole in one task. Spark does so up to a limit
-    of 1000 only; beyond, salted parts of each feed are cut first, which leaves the result the same.
+    Salted parts of each feed are cut first, so a feed that holds a third of all rows never arrives
+    whole in one task, whatever the limit; the result is the same.
     """
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if limit > threshold:
-        df = _first_rows(df, limit, [*by, F.pmod(F.xxhash64("entry_ord"), F.lit(salts))])
-    return _first_rows(df, limit, by)
+    salted = _first_rows(df, limit, [*by, F.pmod(F.xxhash64("entry_ord"), F.lit(salts))])
+    return _first_rows(salted, limit, by)
+
 
+# Dates outside this range, its end not included, are taken for errors: one misread year would otherwise
+# stretch the calendar of hours over centuries.
+PLAUSIBLE_DATES = ("1990-01-01", "2100-01-01")
 
 RAW_FIELDS = ("title", "content", "url", "raw_published_at")
 
@@ -58,20 +67,28 @@ def _full_fields(markup_to_text, legacy_zone_names: bool) -> Column:
 
 
 def _error(row) -> Column:
+    earliest, latest = (F.lit(day).cast("timestamp_ntz") for day in PLAUSIBLE_DATES)
     return (
         F.when(row["url"] == "", "no url")
         .when(row["_title"] == "", "no title")
         .when(row["published_at"].isNull(), "no date")
+        .when((row["published_at"] < earliest) | (row["published_at"] >= latest), "implausible date")
     )
 
 
-def _finish(full: DataFrame, kept: Sequence[str]) -> DataFrame:
-    """Hashes and lengths are of the whole text; title and content are cut to their limits."""
+def _cut(name: str, chars: int | None) -> Column:
+    return F.col(name) if chars is None else F.substring(name, 1, chars)
+
+
+def _finish(
+    full: DataFrame, kept: Sequence[str], title_chars: int | None, content_chars: int | None
+) -> DataFrame:
+    """Hashes and lengths are of the whole text; title and content are cut to the limits given."""
     return full.select(
         *kept,
         hash_text(F.col("url")).alias("id"),
-        F.substring("_title", 1, fv.TITLE_CHARS).alias("title"),
-        F.substring("_content", 1, fv.CONTENT_CHARS).alias("content"),
+        _cut("_title", title_chars).alias("title"),
+        _cut("_content", content_chars).alias("content"),
         "url",
         "published_at",
         hash_text(F.col("_content")).alias("content_hash"),
@@ -80,23 +97,34 @@ def _finish(full: DataFrame, kept: Sequence[str]) -> DataFrame:
     )
 
 
-def with_clean_fields(df: DataFrame, markup_to_text=strip_html, legacy_zone_names=False) -> DataFrame:
-    """Raw fields to clean fields plus `_error`, keeping every row and extra column."""
+def with_clean_fields(
+    df: DataFrame, markup_to_text=strip_html, legacy_zone_names=False,
+    title_chars: int | None = None, content_chars: int | None = None,
+) -> DataFrame:
+    """Raw fields to clean fields plus `_error`, keeping every row and extra column.
+
+    Texts stay whole unless a limit is given.
+    """
     kept = [c for c in df.columns if c not in RAW_FIELDS]
     full = df.select(*kept, _full_fields(markup_to_text, legacy_zone_names).alias("_f"))
-    return _finish(full.select(*kept, "_f.*", _error(F.col("_f")).alias("_error")), [*kept, "_error"])
+    return _finish(full.select(*kept, "_f.*", _error(F.col("_f")).alias("_error")), [*kept, "_error"],
+                   title_chars, content_chars)
 
 
-def normalize_articles(df: DataFrame, markup_to_text=strip_html, legacy_zone_names=False) -> DataFrame:
+def normalize_articles(
+    df: DataFrame, markup_to_text=strip_html, legacy_zone_names=False,
+    title_chars: int | None = None, content_chars: int | None = None,
+) -> DataFrame:
     """Cleaned records; rows without url, title or readable date are left out.
 
+    Texts stay whole unless `title_chars` or `content_chars` is given.
     The row is dropped where its fields are made. A filter after it would be pushed below, and the
     markup and dates would be parsed once for the filter and again for the result.
     """
     kept = [c for c in df.columns if c not in RAW_FIELDS]
     fields = F.array(_full_fields(markup_to_text, legacy_zone_names))
     valid = F.filter(fields, lambda row: _error(row).isNull())
-    return _finish(df.select(*kept, F.inline(valid)), kept)
+    return _finish(df.select(*kept, F.inline(valid)), kept, title_chars, content_chars)
 
 
 def quarantine_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -114,12 +142,12 @@ def with_window_start(df: DataFrame, time: str = "published_at") -> DataFrame:
 
 
 def dedup_first(df: DataFrame, by: Sequence[str] = ("window_start", "id")) -> DataFrame:
-    """The first copy of each article by feed order, then entry order.
+    """The first copy of each article by ingestion time, feed order and entry order.
 
     `row_number = 1` is pruned to one row per key and task before the shuffle, so a key with very many
     copies is spread over the tasks that read it.
     """
-    w = Window.partitionBy(*by).orderBy(*FEED_ORDER)
+    w = Window.partitionBy(*by).orderBy(*arrival_order(df))
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 

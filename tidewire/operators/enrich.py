@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidewire.config import DEFAULT_CONFIG, EngineConfig
 from tidewire.functions import keywords as kw
@@ -16,6 +15,7 @@ from tidewire.functions.basics import literal_array
 from tidewire.functions.text import article_text
 from tidewire.schemas import ENRICHED_FIELDS
 
+CLASSES = ("positive", "negative", "neutral")
 PROBS_TYPE = "struct<positive:double,negative:double,neutral:double>"
 
 
@@ -51,39 +51,35 @@ def attach_source_weight(
     )
 
 
-def score_sentiment(df: DataFrame, scorer_factory: Callable[[], Callable[[list[str]], list[dict]]]) -> DataFrame:
+def score_sentiment(
+    df: DataFrame, scorer_factory: Callable[[], Callable[[list[str]], list[dict]]], chars: int | None = None,
+    only: Column | None = None,
+) -> DataFrame:
     """Add `headline_probs` and `content_probs` from user code, loaded once per task.
 
     `scorer_factory()` returns a function from a list of texts to a list of class-probability dicts.
-    It sees only scorable prefixes; other rows get NULL.
+    It sees the whole texts, or their first `chars` characters; texts too short to score get NULL, and so do
+    rows that do not meet the condition `only`. Only the text to be scored goes to Python and only the probabilities come back.
     """
     def model_input(text: Column) -> Column:
-        return F.when(sc.is_scorable(F.substring(text, 1, 400)), sc.scored_prefix(text))
-
-    shown = df.withColumns({"_h": model_input(F.col("title")), "_c": model_input(body_of(df))})
-    classes = ("positive", "negative", "neutral")
-    flat = [f"_{side}_{c}" for side in "hc" for c in classes]
-    schema = StructType([*shown.schema.fields, *[StructField(n, DoubleType()) for n in flat]])
+        shown = sc.scored_text(text, chars)
+        return F.when(sc.is_scorable(shown) if only is None else sc.is_scorable(shown) & only, shown)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(PROBS_TYPE)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = scorer_factory()
         for batch in batches:
-            for side in "hc":
-                texts = batch[f"_{side}"].dropna()
-                probs = pd.DataFrame(scorer(list(texts)), index=texts.index, dtype="float64")
-                for c in classes:
-                    column = probs[c] if c in probs else pd.Series(dtype="float64")
-                    batch[f"_{side}_{c}"] = column.reindex(batch.index)
-            yield batch
-
-    def packed(side: str) -> Column:
-        return F.struct(*[F.col(f"_{side}_{c}").alias(c) for c in classes])
+            texts = batch.dropna()
+            probs = pd.DataFrame(scorer(list(texts)), index=texts.index, dtype="float64")
+            yield probs.reindex(index=batch.index, columns=list(CLASSES))
 
-    return (
-        shown.mapInPandas(score, schema)
-        .withColumns({"headline_probs": packed("h"), "content_probs": packed("c")})
-        .drop("_h", "_c", *flat)
-    )
+    # The inputs are made in a step of their own: a Python function does not take lambdas as they are.
+    inputs = F.struct(model_input(F.col("title")).alias("_h"), model_input(body_of(df)).alias("_c"))
+    shown = df.select("*", F.inline(F.array(inputs)))
+    return shown.withColumns({
+        name: F.when(F.col(given).isNotNull(), score(F.col(given)))
+        for name, given in (("headline_probs", "_h"), ("content_probs", "_c"))
+    }).drop("_h", "_c")
 
 
 def with_lexicon_probs(df: DataFrame) -> DataFrame:
@@ -94,13 +90,13 @@ def with_lexicon_probs(df: DataFrame) -> DataFrame:
     })
 
 
-def with_sentiment(df: DataFrame) -> DataFrame:
+def with_sentiment(df: DataFrame, chars: int | None = None) -> DataFrame:
     """The seven sentiment columns from `headline_probs` and `content_probs`."""
     body = body_of(df)
     has_body = F.coalesce(body, F.lit("")) != ""
     scored = df.withColumns({
         "_head": sc.sentiment_from_probs(F.col("title"), F.col("headline_probs")),
-        "_body": sc.sentiment_from_probs(F.substring(body, 1, 400), F.col("content_probs")),
+        "_body": sc.sentiment_from_probs(sc.scored_text(body, chars), F.col("content_probs")),
     })
     return (
         scored.withColumn(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewire import fixed_values as fv
 from tidewire.config import DEFAULT_CONFIG
-from tidewire.functions.basics import bind, round_dp
+from tidewire.functions.basics import bind, hours, round_dp
 from tidewire.operators.asof import Series, asof_join, latest_row
 from tidewire.operators.ordered import month_of, overlapping_blocks, previous_value, row_index
 
@@ -177,10 +177,16 @@ def daily_return(macro_daily: DataFrame) -> DataFrame:
     return before.withColumn("daily_return", round_dp(change, 6)).drop("_before")
 
 
-def macro_series(macro_daily: DataFrame, tickers: Mapping[str, Sequence[str]]) -> Series:
-    """Per output column and ticker: the last close (4 decimals), or the last daily return."""
+def macro_series(
+    macro_daily: DataFrame, tickers: Mapping[str, Sequence[str]], known_after_hours: int = 24
+) -> Series:
+    """Per output column and ticker: the last close (4 decimals), or the last daily return.
+
+    A day's close is known `known_after_hours` after the day's midnight: with 24 at the day's end.
+    """
     rows = daily_return(macro_daily).withColumns({
-        "_ts": F.col("day").cast("timestamp_ntz"), "close": round_dp(F.col("close"), 4),
+        "_ts": F.col("day").cast("timestamp_ntz") + hours(known_after_hours),
+        "close": round_dp(F.col("close"), 4),
     })
     readings = {}
     for column, choices in tickers.items():
@@ -204,9 +210,11 @@ def macro_asof(
     windows: DataFrame,
     macro_daily: DataFrame,
     tickers: Mapping[str, Sequence[str]] = DEFAULT_CONFIG.macro_tickers,
+    known_after_hours: int = 24,
 ) -> DataFrame:
-    """Latest macro readings at each window's end."""
-    return choose_tickers(asof_join(windows, macro_series(macro_daily, tickers)), tickers)
+    """Latest macro readings known at each window's end."""
+    series = macro_series(macro_daily, tickers, known_after_hours)
+    return choose_tickers(asof_join(windows, series), tickers)
 
 
 def json_number(body: Column, path: str) -> Column:
@@ -214,10 +222,21 @@ def json_number(body: Column, path: str) -> Column:
     return F.get_json_object(body, path).try_cast("double")
 
 
+# Where a snapshot of each kind holds its number.
+SNAPSHOT_PATHS = {
+    "btc_dominance": "$.data.market_cap_percentage.btc",
+    "fear_greed_index": "$.data[0].value",
+}
+
+
 def snapshot_values(snapshots: DataFrame) -> DataFrame:
     """(ts, body) to (ts, btc_dominance, fear_greed_index)."""
     return snapshots.select(
-        "ts",
-        json_number(F.col("body"), "$.data.market_cap_percentage.btc").alias("btc_dominance"),
-        json_number(F.col("body"), "$.data[0].value").alias("fear_greed_index"),
+        "ts", *[json_number(F.col("body"), path).alias(name) for name, path in SNAPSHOT_PATHS.items()]
     )
+
+
+def snapshot_series(snapshots: DataFrame) -> Series:
+    """The latest reading of each kind by itself: a snapshot of one kind does not hide the other."""
+    values = {name: json_number(F.col("body"), path) for name, path in SNAPSHOT_PATHS.items()}
+    return Series(snapshots, "ts", {name: (value.isNotNull(), value) for name, value in values.items()})

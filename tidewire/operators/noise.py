@@ -8,18 +8,17 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from tidewire import fixed_values as fv
 from tidewire.functions.basics import bind, literal_array
 from tidewire.functions.text import article_text, lowered
 from tidewire.functions.verdicts import fallback_verdict, parse_verdicts
+from tidewire.operators.articles import arrival_order
 from tidewire.operators.ordered import row_index
 
 # Our own wording; pass another text to `build_prompts` to match a model.
 INSTRUCTIONS = (
     "Decide for each numbered article whether it is noise or a confirmed market event. Reply with JSON "
-    'only: {"results": [{"is_noise": true, "reason": "short phrase", "category": "topic"}]}.'
+    'only: {"results": [{"is_noise": true, "reason": "why, in a few words", "category": "topic"}]}.'
 )
 
 # Our own approximation of the noise criteria for running without a model.
@@ -32,25 +31,28 @@ LISTICLES = tuple(
 )
 
 
-def prompt_parts(df: DataFrame, *keys: str) -> DataFrame:
-    """Keys, title and the start of the content: what a prompt shows, and all that batching moves."""
-    shown = F.substring(F.coalesce("content", F.lit("")), 1, fv.PROMPT_CONTENT_CHARS)
-    return df.select(*keys, "title", shown.alias("content"))
+def shown_content(chars: int | None) -> Column:
+    """The content a prompt shows: all of it, or its first `chars` characters."""
+    content = F.coalesce("content", F.lit(""))
+    return content if chars is None else F.substring(content, 1, chars)
+
+
+def prompt_parts(df: DataFrame, *keys: str, content_chars: int | None = None) -> DataFrame:
+    """Keys, title and the content shown: all that a prompt shows, and all that batching moves."""
+    return df.select(*keys, "title", shown_content(content_chars).alias("content"))
 
 
 def assign_batches(
     df: DataFrame, size: int = 1, by: Sequence[str] = ("window_start",), entries_per_chunk: int = 4096
 ) -> DataFrame:
-    """Add `batch` (number inside the window) and `pos` (place in the batch), in feed order.
+    """Add `batch` (number inside the window) and `pos` (place in the batch), in order of arrival.
 
-    Positions come from chunk counts, so an hour with most of the rows is not ranked in one task.
+    Positions come from chunk counts, so an hour with most of the rows is not ranked in one task. A
+    chunk is a part of what one feed delivered at one ingestion time.
     """
-    ordered = row_index(
-        df,
-        by,
-        ["feed_ord", "entry_ord"],
-        F.struct(F.col("feed_ord"), F.floor(F.col("entry_ord") / entries_per_chunk)),
-    )
+    landed = [F.col(c) for c in ("ingestion_time",) if c in df.columns]
+    chunk = F.struct(*landed, F.col("feed_ord"), F.floor(F.col("entry_ord") / entries_per_chunk))
+    ordered = row_index(df, by, arrival_order(df), chunk)
     return (
         ordered.withColumn("batch", F.floor(F.col("_idx") / size))
         .withColumn("pos", (F.col("_idx") % size).cast("int"))
@@ -58,11 +60,12 @@ def assign_batches(
     )
 
 
-def article_block(pos: Column) -> Column:
+def article_block(pos: Column, content_chars: int | None = None) -> Column:
+    # The labels and line breaks of an article in a prompt.
     return F.concat(
         F.lit("\n"), pos.cast("string"), F.lit(":\ntitle: "), F.coalesce("title", F.lit("")),
         F.lit("\ncontent: "),
-        F.substring(F.coalesce("content", F.lit("")), 1, fv.PROMPT_CONTENT_CHARS), F.lit("\n"),
+        shown_content(content_chars), F.lit("\n"),
     )
 
 
@@ -70,16 +73,24 @@ def _prompt(articles: Column, instructions: str) -> Column:
     return F.concat(F.lit(instructions), F.lit("\nARTICLES:\n"), articles)
 
 
-def single_prompts(df: DataFrame, instructions: str = INSTRUCTIONS) -> DataFrame:
+def single_prompts(
+    df: DataFrame, instructions: str = INSTRUCTIONS, content_chars: int | None = None
+) -> DataFrame:
     """One prompt per article, as in batches of one; a projection without a shuffle."""
-    return df.withColumn("prompt", _prompt(article_block(F.lit(0)), instructions))
+    return df.withColumn("prompt", _prompt(article_block(F.lit(0), content_chars), instructions))
 
 
 def build_prompts(
-    batched: DataFrame, by: Sequence[str] = ("window_start",), instructions: str = INSTRUCTIONS
+    batched: DataFrame, by: Sequence[str] = ("window_start",), instructions: str = INSTRUCTIONS,
+    key: str | None = None,
 ) -> DataFrame:
-    """One prompt per batch. A group is one batch, so it never holds more than the batch size."""
-    block = F.struct(F.col("pos"), article_block(F.col("pos")).alias("text"))
+    """One prompt per batch. A group is one batch, so it never holds more than the batch size.
+
+    With `key` the articles' keys travel along as the array `keys`, in the prompt's order; a reply is
+    later matched by them, whatever order a second run would have put the articles in.
+    """
+    carried = [F.col(key).alias("key")] if key else []
+    block = F.struct(F.col("pos"), article_block(F.col("pos")).alias("text"), *carried)
     return (
         batched.groupBy(*by, "batch")
         .agg(F.sort_array(F.collect_list(block)).alias("_blocks"))
@@ -87,56 +98,74 @@ def build_prompts(
             *by, "batch", F.size("_blocks").alias("n_articles"),
             _prompt(F.array_join(F.transform("_blocks", lambda b: b["text"]), ""), instructions)
             .alias("prompt"),
+            *([F.transform("_blocks", lambda b: b["key"]).alias("keys")] if key else []),
         )
     )
 
 
 def ask_classifier(
     prompts: DataFrame,
-    classifier_factory: Callable[[], Callable[[str], str]],
+    classifier_factory: Callable[[], Callable[[list[str]], list[str | None]]],
     retries: int = 3,
     delay_seconds: float = 2.0,
 ) -> DataFrame:
-    """Add `reply` from user code, built once per task; NULL after `retries` failed calls.
+    """Add `reply` and `reply_error` from user code, built once per task.
 
-    Only failed calls are retried, not replies that turn out to be unreadable. Parallelism is the
-    number of partitions, so `repartition(n)` on the input limits concurrent calls.
+    `classifier_factory()` returns a function from a list of prompts to a list of replies. A call that
+    fails is retried, then its prompts are asked one by one, so that one bad prompt costs no other its
+    reply; what still fails has a NULL reply and the error's text. Only prompts go to Python and only
+    replies come back. Parallelism is the number of partitions: `repartition(n)` limits concurrent calls.
     """
-    schema = StructType([*prompts.schema.fields, StructField("reply", StringType())])
 
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("reply string, reply_error string")
+    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         classify = classifier_factory()
 
-        def once(prompt: str) -> str | None:
-            for _ in range(retries):
-                try:
-                    return classify(prompt)
-                except Exception:
+        def attempt(texts: list[str]) -> tuple[list[str | None] | None, str | None]:
+            error = None
+            for n in range(retries):
+                if n:
                     time.sleep(delay_seconds)
-            return None
+                try:
+                    replies = list(classify(texts))
+                    if len(replies) == len(texts):
+                        return replies, None
+                    error = f"{len(replies)} replies to {len(texts)} prompts"
+                except Exception as failure:  # noqa: BLE001 - user code; its error is the result
+                    error = f"{type(failure).__name__}: {failure}"
+            return None, error
 
         for batch in batches:
-            yield batch.assign(reply=batch["prompt"].map(once))
-
-    return prompts.mapInPandas(ask, schema)
-
-
-def attach_verdicts(
-    batched: DataFrame, replies: DataFrame, by: Sequence[str] = ("window_start",)
-) -> DataFrame:
-    """Join each batch's parsed reply to its articles by position.
-
-    `replies` has one row per batch with `n_articles` and `reply`. Articles without a reply get the
-    fallback verdict.
+            texts = list(batch)
+            replies, error = attempt(texts) if texts else ([], None)
+            if replies is not None:
+                rows = [(r, None) for r in replies]
+            elif len(texts) == 1:
+                rows = [(None, error)]
+            else:
+                rows = []
+                for text in texts:
+                    one, error = attempt([text])
+                    rows.append((one[0] if one else None, error))
+            yield pd.DataFrame(rows, columns=["reply", "reply_error"], index=batch.index, dtype="object")
+
+    return prompts.withColumn("_asked", ask("prompt")).select(*prompts.columns, "_asked.*")
+
+
+def attach_verdicts(articles: DataFrame, replies: DataFrame, key: str = "id") -> DataFrame:
+    """Join each batch's parsed reply to its articles by their keys.
+
+    `replies` has one row per batch with `keys` (of the articles, in the prompt's order) and `reply`.
+    Articles without a reply get the fallback verdict.
     """
-    keys = [*by, "batch"]
-    verdicts = replies.select(
-        *keys, F.posexplode(parse_verdicts(F.col("reply"), F.col("n_articles"))).alias("pos", "_verdict")
+    parsed = parse_verdicts(F.col("reply"), F.size("keys"))
+    verdicts = replies.select(F.inline(F.arrays_zip(F.col("keys").alias("_key"), parsed.alias("_verdict")))).toDF(
+        "_key", "_verdict"
     )
-    joined = batched.join(verdicts, [*keys, "pos"], "left")
+    joined = articles.join(verdicts, articles[key] == verdicts["_key"], "left")
     return joined.select(
-        *batched.columns, F.coalesce("_verdict", fallback_verdict()).alias("verdict")
-    ).select(*batched.columns, "verdict.*")
+        *[articles[c] for c in articles.columns], F.coalesce("_verdict", fallback_verdict()).alias("verdict")
+    ).select(*articles.columns, "verdict.*")
 
 
 def noise_gate(df: DataFrame) -> DataFrame:

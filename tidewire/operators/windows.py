@@ -131,13 +131,20 @@ def window_features(enriched: DataFrame, cleaned: DataFrame, by: str = "window_s
 
 
 def hour_calendar(df: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
-    """Every hour from the first to the last window of `df` (or the given bounds)."""
+    """Every hour from the first to the last window of `df` (or the given bounds).
+
+    The driver reads the two bounds; the hours are made by a range, dealt over the tasks like any
+    other rows.
+    """
     first = F.min("window_start") if start is None else start
     last = F.max("window_start") if end is None else end
-    bounds = df.agg(first.alias("_first"), last.alias("_last")).where(F.col("_first").isNotNull())
-    return bounds.select(
-        F.explode(F.sequence("_first", "_last", hours(1))).alias("window_start")
-    )
+    bounds = df.agg(first.alias("first"), last.alias("last")).first()
+    if bounds is None or bounds["first"] is None:
+        return df.select("window_start").limit(0)
+    n = int((bounds["last"] - bounds["first"]).total_seconds() // 3600) + 1
+    begin = F.lit(bounds["first"].isoformat(" ")).cast("timestamp_ntz")
+    step = F.make_dt_interval(F.lit(0), F.col("id").cast("int"))
+    return df.sparkSession.range(n).select((begin + step).alias("window_start"))
 
 
 ZEROS = {name: kind for group in AGGREGATES.values() for name, kind, _ in group} | {"total_raw": "int"}

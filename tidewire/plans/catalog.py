@@ -8,27 +8,28 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire import fixed_values as fv
 from tidewire.config import DEFAULT_CONFIG as CONFIG
 from tidewire.config import EngineConfig
 from tidewire.functions import keywords as kw
 from tidewire.functions import scoring as sc
-from tidewire.functions.basics import hours, round_dp
+from tidewire.functions.basics import hours, round_dp, to_millis
 from tidewire.functions.dates import parse_date
-from tidewire.functions.html import strip_html, strip_html_arrow
+from tidewire.functions.html import strip_html
 from tidewire.functions.text import article_text, hash_text, normalize_whitespace
-from tidewire.functions.verdicts import parse_verdict
+from tidewire.functions.verdicts import parse_verdict, reply_as_json
 from tidewire.operators import articles as ar
 from tidewire.operators import enrich as en
 from tidewire.operators import market as mk
 from tidewire.operators import noise as nz
 from tidewire.operators import windows as wn
-from tidewire.operators.asof import asof_lookup, latest_row
+from tidewire.operators.asof import asof_lookup
 from tidewire.plans import hourly
 from tidewire.plans import inputs as inp
 from tidewire.plans.inputs import Inputs
 from tidewire.schemas import FEATURES
-from tidewire.session import materialize, ship_package, spread, work_dir
-from tidewire.sources import envelopes, feeds, store
+from tidewire.session import materialize, work_dir
+from tidewire.sources import envelopes, feeds, store, tables
 from tidewire.streaming import news as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,23 +58,12 @@ def rounded(df: DataFrame) -> DataFrame:
 
 @query
 def strip_html_(i: Inputs) -> DataFrame:
-    pages = spread(i.table("pages"))
-    return pages.select("page_id", normalize_whitespace(strip_html(F.col("html"))).alias("text"))
-
-
-
-@query
-def strip_html_arrow_(i: Inputs) -> DataFrame:
-    """The same through the tokenizer in Arrow batches."""
-    ship_package(i.spark)
-    pages = spread(i.table("pages"))
-    return pages.select("page_id", normalize_whitespace(strip_html_arrow(F.col("html"))).alias("text"))
+    return i.table("pages").select("page_id", normalize_whitespace(strip_html(F.col("html"))).alias("text"))
 
 
 @query
 def normalize_ws(i: Inputs) -> DataFrame:
-    pages = spread(i.table("pages"))
-    return pages.select("page_id", normalize_whitespace(F.col("html")).alias("text"))
+    return i.table("pages").select("page_id", normalize_whitespace(F.col("html")).alias("text"))
 
 
 @query
@@ -111,7 +101,9 @@ def article_text_(i: Inputs) -> DataFrame:
 
 @query
 def normalize_articles(i: Inputs) -> DataFrame:
-    return longs(ar.normalize_articles(i.raw()).drop("feed_ord", "entry_ord"))
+    """Cut to the published limits, which are its feature."""
+    cut = ar.normalize_articles(i.raw(), title_chars=fv.TITLE_CHARS, content_chars=fv.CONTENT_CHARS)
+    return longs(cut.drop("feed_ord", "entry_ord"))
 
 
 @query
@@ -141,7 +133,7 @@ def per_source_limit(i: Inputs) -> DataFrame:
     entries = i.table("events").select(
         F.col("event_type").alias("source"), F.col("event_id").alias("entry_ord"), "value"
     )
-    return ar.per_source_limit(entries)
+    return ar.per_source_limit(entries, fv.ENTRIES_PER_FEED)
 
 
 @query
@@ -171,7 +163,7 @@ def earliest_anchor(i: Inputs) -> DataFrame:
 @query
 def read_envelope(i: Inputs) -> DataFrame:
     """Write envelopes and bare lists of at most 50 articles, one document per line, and read them."""
-    article = F.struct("title", F.col("full_text").alias("content"), "url", "source",
+    article = F.struct("title", "content", "url", "source",
                        F.col("doc_id").cast("string").alias("raw_published_at"))
     encoded = F.to_json(article)
     packed = (
@@ -200,7 +192,7 @@ def read_envelope(i: Inputs) -> DataFrame:
 
 @query
 def repair_rows(i: Inputs) -> DataFrame:
-    encoded = F.to_json(F.struct("url", "title", F.col("full_text").alias("content")))
+    encoded = F.to_json(F.struct("url", "title", "content"))
     kind = F.col("doc_id") % 5
     element = (
         F.when(kind == 1, "not json").when(kind == 2, "17").when(kind == 3, "[1, 2]").otherwise(encoded)
@@ -222,7 +214,7 @@ def parse_feed_items(i: Inputs) -> DataFrame:
         return F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
 
     number = F.floor(F.col("doc_id") / 60)
-    title, body = safe(F.col("title")), safe(F.col("full_text"))
+    title, body = safe(F.col("title")), safe(F.col("content"))
     rss = F.concat(
         F.lit("<item>"), tag("title", title), tag("description", body), tag("link", F.col("url")),
         F.when(F.col("doc_id") % 3 == 0, "").otherwise(tag("pubDate", F.col("published_at").cast("string"))),
@@ -244,7 +236,7 @@ def parse_feed_items(i: Inputs) -> DataFrame:
         F.col("n").alias("feed_ord"), F.concat(F.lit("feed"), F.col("n").cast("string")).alias("source"),
         F.when(F.col("n") % 7 == 3, 404).otherwise(200).alias("status"), document.alias("body"),
     )
-    return longs(feeds.parse_feed_items(landed)).select(
+    return longs(feeds.parse_feed_items(landed, fv.ENTRIES_PER_FEED)).select(
         "feed_ord", "source", "entry_ord", "url", "raw_published_at",
         normalize_whitespace(F.col("title")).alias("title"),
         hash_text(normalize_whitespace(F.col("content"))).alias("content_hash"),
@@ -358,35 +350,15 @@ def score_sentiment(i: Inputs) -> DataFrame:
 
 @query
 def score_sentiment_plugin(i: Inputs) -> DataFrame:
-    """A scorer given as Python code, here one that counts the same words."""
-    good, bad = sc.GOOD_WORDS, sc.BAD_WORDS
-
-    def factory():
-        def score(texts: list[str]) -> list[dict[str, float]]:
-            result = []
-            for text in map(str.lower, texts):
-                g, b = (sum(w in text for w in words) for words in (good, bad))
-                n = g + b + 1
-                result.append({"positive": g / n, "negative": b / n, "neutral": 1 / n})
-            return result
-
-        return score
-
-    return _probs(en.score_sentiment(i.articles().select("doc_id", "title", "content"), factory))
+    """The same words counted by Python code."""
+    return _probs(en.score_sentiment(i.articles().select("doc_id", "title", "content"), _word_scorer))
 
 
 @query
 def classify_noise_plugin(i: Inputs) -> DataFrame:
     """A classifier given as Python code: prompt in, reply out, verdict parsed from the reply."""
-    def factory():
-        def classify(prompt: str) -> str:
-            flag = "true" if "top 10" in prompt.lower() or "could" in prompt.lower() else "false"
-            return f'I think {{"results": [{{"is_noise": {flag}, "reason": "asked"}}]}}'
-
-        return classify
-
     prompts = nz.single_prompts(i.articles().select("doc_id", "title", "content"), "Classify.")
-    replies = nz.ask_classifier(prompts.select("doc_id", "prompt"), factory)
+    replies = nz.ask_classifier(prompts.select("doc_id", "prompt"), _phrase_classifier)
     return replies.select("doc_id", parse_verdict(F.col("reply")).alias("v")).select("doc_id", "v.*")
 
 
@@ -409,13 +381,25 @@ def classify_noise_rules(i: Inputs) -> DataFrame:
 @query
 def parse_verdict_(i: Inputs) -> DataFrame:
     replies = i.view(inp.REPLIES)
-    return replies.select("doc_id", parse_verdict(F.col("reply")).alias("v")).select("doc_id", "v.*")
+    return replies.select("doc_id", parse_verdict(F.col("reply"), fv.REASON_CHARS).alias("v")).select("doc_id", "v.*")
+
 
+@query
+def reply_as_json_(i: Inputs) -> DataFrame:
+    """Turns as replies: every other one is JSON, the others are plain text."""
+    number = F.col("turn").cast("string")
+    built = F.concat(F.lit('{"n": '), number, F.lit(', "role": "'), F.col("role"), F.lit('"}'))
+    reply = F.when(F.col("turn") % 2 == 0, built).otherwise(F.col("text"))
+    read = i.table("conversations").select("conv_id", "turn", reply_as_json(reply).alias("v"))
+    part = lambda name, kind: F.try_variant_get("v", f"$.{name}", kind).alias(name)
+    return read.select("conv_id", "turn", F.coalesce(part("n", "bigint"), F.lit(-1)).alias("n"), part("role", "string"), part("raw", "string"))
 
 
 def _batched(i: Inputs) -> DataFrame:
     articles = i.articles().withColumn("day", F.to_date("window_start"))
-    shown = nz.prompt_parts(articles, "day", "feed_ord", "entry_ord", "doc_id")
+    shown = nz.prompt_parts(
+        articles, "day", "feed_ord", "entry_ord", "doc_id", content_chars=fv.PROMPT_CONTENT_CHARS
+    )
     return nz.assign_batches(shown, 3, ["day"])
 
 
@@ -427,8 +411,8 @@ def build_prompts(i: Inputs) -> DataFrame:
 @query
 def attach_verdicts(i: Inputs) -> DataFrame:
     """Replies by batch: complete, short, unreadable and missing ones."""
-    batched = _batched(i).select("day", "batch", "pos", "doc_id")
-    sizes = batched.groupBy("day", "batch").agg(F.count(F.lit(1)).cast("int").alias("n_articles"))
+    prompts = nz.build_prompts(_batched(i), ["day"], "Classify.", key="doc_id")
+    sizes = prompts.select("day", "batch", "n_articles", "keys")
     item = F.lit('{"is_noise": false, "reason": "ok", "category": "macro"}')
     kind = F.col("batch") % 4
 
@@ -442,9 +426,7 @@ def attach_verdicts(i: Inputs) -> DataFrame:
         .when(kind == 2, "no json here")
     )
     replies = sizes.withColumn("reply", reply)
-    return nz.attach_verdicts(batched, replies, ["day"]).select(
-        "doc_id", "is_noise", "reason", "category"
-    )
+    return nz.attach_verdicts(i.articles().select("doc_id"), replies, "doc_id")
 
 
 # ---- window features ------------------------------------------------------------------------------
@@ -568,6 +550,19 @@ def candle_frame(i: Inputs) -> DataFrame:
     return mk.candle_frame(_hours(i), i.candles().where(F.col("symbol") == inp.SYMBOL))
 
 
+@query
+def cast_candles(i: Inputs) -> DataFrame:
+    """Ticks as landed text with the time in milliseconds, cast to candles and back."""
+    value = F.col("value").cast("string")
+    landed = i.table("events").select(
+        F.col("event_type").alias("symbol"), to_millis(F.col("ts")).cast("string").alias("ms"), value.alias("open"),
+        F.lit("n/a").alias("high"), value.alias("low"), value.alias("close"),
+        F.col("event_id").cast("string").alias("volume"),
+    )
+    candles = tables.cast_candles(landed, epoch_millis="ms")
+    return candles.withColumn("ms", to_millis(F.col("open_time")))
+
+
 @query
 def market_features(i: Inputs) -> DataFrame:
     return rounded(mk.market_features(i.candles()))
@@ -586,7 +581,7 @@ def macro_asof(i: Inputs) -> DataFrame:
 @query
 def snapshot_json_path(i: Inputs) -> DataFrame:
     readings = mk.snapshot_values(i.snapshots())
-    latest = asof_lookup(_hours(i), latest_row(readings, "ts", ["btc_dominance", "fear_greed_index"]))
+    latest = asof_lookup(_hours(i), mk.snapshot_series(i.snapshots()))
     return readings.select(F.lit("reading").alias("kind"), F.col("ts").alias("at"), "btc_dominance",
                            "fear_greed_index").unionByName(
         latest.select(F.lit("as of").alias("kind"), F.col("window_start").alias("at"), "btc_dominance",
@@ -619,11 +614,67 @@ def hourly_features(i: Inputs) -> DataFrame:
     )))
 
 
+def _word_scorer():
+    """A scorer given as Python code, here one that counts the words of the offline scorer."""
+    good, bad = sc.GOOD_WORDS, sc.BAD_WORDS
+
+    def score(texts: list[str]) -> list[dict[str, float]]:
+        result = []
+        for text in map(str.lower, texts):
+            g, b = (sum(w in text for w in words) for words in (good, bad))
+            n = g + b + 1
+            result.append({"positive": g / n, "negative": b / n, "neutral": 1 / n})
+        return result
+
+    return score
+
+
+def _phrase_classifier():
+    """A classifier given as Python code: a list of prompts in, as many replies out."""
+    def classify(prompts: list[str]) -> list[str]:
+        flags = ["true" if "top 10" in p or "could" in p else "false" for p in map(str.lower, prompts)]
+        return [f'I think {{"results": [{{"is_noise": {flag}, "reason": "asked"}}]}}' for flag in flags]
+
+    return classify
+
+
+@query
+def pipeline_from_envelopes(i: Inputs) -> DataFrame:
+    """The whole job from landed envelopes: written as files, read, ordered by feed, cleaned, aggregated."""
+    path = work_dir(i.spark, "landed")
+    name = F.concat(F.lit("feed"), F.col("feed_ord").cast("string"))
+    article = F.struct("title", "content", "url", name.alias("source"), "raw_published_at")
+    packed = i.raw().groupBy("feed_ord", F.floor(F.col("entry_ord") / 50).alias("part")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("entry_ord", article.alias("a")))), lambda x: x["a"])
+        .alias("articles")
+    )
+    envelopes.write_envelopes(packed.withColumn("ingestion_time", F.lit("2024-02-01T00:00:00Z")), path)
+    feeds_known = i.spark.range(7).select(
+        F.concat(F.lit("feed"), F.col("id").cast("string")).alias("source"), F.col("id").alias("feed_ord")
+    )
+    landed = envelopes.with_feed_order(envelopes.read_envelopes(i.spark, path, one_per_file=False), feeds_known)
+    return longs(rounded(hourly.hourly_features(
+        landed.drop("path"), i.view(inp.VERDICTS_BY_ID), i.candles(), i.macro(), i.snapshots(), inp.SYMBOL, _config()
+    )))
+
+
+@query
+def pipeline_with_plugins(i: Inputs) -> DataFrame:
+    """The whole job with a scorer and a classifier of the user, asked after the relevance gate."""
+    return longs(rounded(hourly.hourly_features(
+        i.raw(), None, i.candles(), i.macro(), i.snapshots(), inp.SYMBOL, _config(), _word_scorer, _phrase_classifier
+    )))
+
+
 # ---- feature table --------------------------------------------------------------------------------
 
 @query
 def upsert_features(i: Inputs) -> DataFrame:
-    """A second batch replaces every third hour, with a NULL, and adds hours after the last."""
+    """Three batches, all columns compared.
+
+    The second replaces every third hour, with a NULL, and adds hours after the last; the third comes
+    from a restarted numbering, so its number is lower, and replaces some of both.
+    """
     table = store.FeatureStore(i.spark, work_dir(i.spark, "feature-table"))
     first = materialize(_features(i).to(FEATURES), "batch-1")
     table.upsert(first, 1)
@@ -635,7 +686,8 @@ def upsert_features(i: Inputs) -> DataFrame:
         "avg_sentiment": F.lit(None).cast("double"),
     })
     table.upsert(second, 2)
-    return longs(table.read().select("window_start", "article_count", "total_raw", "avg_sentiment"))
+    table.upsert(first.where(hour % 5 == 1).withColumn("article_count", F.col("article_count") + 5000), 0)
+    return longs(table.read())
 
 
 @query

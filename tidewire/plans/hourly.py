@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.config import DEFAULT_CONFIG, EngineConfig
-from tidewire.operators.articles import dedup_first, normalize_articles, with_window_start
+from tidewire.functions.keywords import is_relevant
+from tidewire.functions.verdicts import parse_verdict
+from tidewire.operators.articles import (
+    ARRIVAL,
+    dedup_first,
+    normalize_articles,
+    quarantine_split,
+    with_clean_fields,
+    with_window_start,
+)
 from tidewire.operators.asof import asof_join, latest_row
-from tidewire.operators.enrich import measure_articles, with_event
+from tidewire.operators.enrich import measure_articles, score_sentiment, text_of, with_event
 from tidewire.operators.market import (
     choose_tickers,
     macro_series,
     market_features,
-    snapshot_values,
+    snapshot_series,
 )
+from tidewire.operators.noise import INSTRUCTIONS, ask_classifier, single_prompts
 from tidewire.operators.windows import (
     fill_empty_windows,
     flagged_window_features,
@@ -31,20 +43,41 @@ PRICE_COLUMNS = (
 
 
 def news_features(
-    raw: DataFrame, verdicts: DataFrame, config: EngineConfig = DEFAULT_CONFIG
+    raw: DataFrame,
+    verdicts: DataFrame | None,
+    config: EngineConfig = DEFAULT_CONFIG,
+    scorer: Callable | None = None,
+    classifier: Callable | None = None,
+    instructions: str = INSTRUCTIONS,
 ) -> DataFrame:
     """News features of every hour with an article.
 
     Articles are measured while they are scanned; the duplicate filter and the verdict join then move
     narrow rows, never text. `verdicts` has one row per `id` with `is_noise` and maybe `category`.
+    A `scorer` (see `score_sentiment`) replaces the word lists, a `classifier` (see `ask_classifier`) the
+    verdicts; both are asked about relevant articles only, the classifier once per article.
     """
     cleaned = with_window_start(normalize_articles(raw))
-    measured = measure_articles(cleaned, ("window_start", "id", "feed_ord", "entry_ord"), config)
+    relevant = is_relevant(text_of(cleaned), config)
+    if classifier is not None:
+        asked = single_prompts(dedup_first(cleaned.where(relevant)), instructions)
+        verdicts = ask_classifier(asked.select("id", "prompt"), classifier).select(
+            "id", parse_verdict(F.col("reply")).alias("_v")
+        ).select("id", "_v.is_noise", "_v.category").dropDuplicates(["id"])
+    if scorer is not None:
+        cleaned = score_sentiment(cleaned, scorer, only=relevant)
+    keys = [c for c in ("window_start", "id", *ARRIVAL) if c in cleaned.columns]
+    measured = measure_articles(cleaned, tuple(keys), config)
     judged = with_event(dedup_first(measured).join(verdicts, "id", "left"), config)
     kept = F.coalesce(~F.col("is_noise"), F.lit(False)) & F.col("relevant")
     return flagged_window_features(judged.withColumn("kept", kept))
 
 
+def rejected_articles(raw: DataFrame) -> DataFrame:
+    """The rows that `news_features` leaves out, cleaned as far as they go, with the reason in `_error`."""
+    return quarantine_split(with_clean_fields(raw))[1]
+
+
 def merge_feature_groups(
     news: DataFrame,
     candles: DataFrame,
@@ -56,8 +89,8 @@ def merge_feature_groups(
 ) -> DataFrame:
     """News, market and macro groups side by side, each read as of its window.
 
-    Prices are those of the last candle opened by the window start; macro and snapshot readings may
-    come up to the window's end, when the row is computed. Dominance stays NULL in empty windows, and
+    Prices are those of the last candle opened by the window start; macro and snapshot readings are
+    those known at the window's end, when the row is computed, each kind by itself. Dominance stays NULL in empty windows, and
     the fear-greed index is off unless asked for.
     """
     prices = market_features(candles.where(F.col("symbol") == symbol))
@@ -65,7 +98,7 @@ def merge_feature_groups(
         news,
         latest_row(prices, "open_time", list(PRICE_COLUMNS), lookahead_hours=0),
         macro_series(macro_daily, config.macro_tickers),
-        latest_row(snapshot_values(snapshots), "ts", ["btc_dominance", "fear_greed_index"]),
+        snapshot_series(snapshots),
     )
     merged = choose_tickers(read, config.macro_tickers)
     return merged.withColumns({
@@ -76,19 +109,21 @@ def merge_feature_groups(
 
 def hourly_features(
     raw: DataFrame,
-    verdicts: DataFrame,
+    verdicts: DataFrame | None,
     candles: DataFrame,
     macro_daily: DataFrame,
     snapshots: DataFrame,
     symbol: str,
     config: EngineConfig = DEFAULT_CONFIG,
+    scorer: Callable | None = None,
+    classifier: Callable | None = None,
 ) -> DataFrame:
     """The stored feature row for every hour between the first and the last article.
 
     Runs the article job and writes its result, one row per hour, to the shared work folder: the
     calendar, the as-of joins and the momentum all read that small table and not the articles again.
     """
-    news = materialize(news_features(raw, verdicts, config), "news-features")
+    news = materialize(news_features(raw, verdicts, config, scorer, classifier), "news-features")
     every_hour = fill_empty_windows(news, hour_calendar(news))
     merged = with_hourly_momentum(
         merge_feature_groups(every_hour, candles, macro_daily, snapshots, symbol, config=config)

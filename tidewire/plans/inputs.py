@@ -3,8 +3,8 @@
 The given tables hold no news or prices, so articles come from `documents`, verdicts from `labels`,
 candles and macro series from `events`. The SQL below is shared by both engines: `@str` and `@ts` are
 spelled per dialect, `@sha(x)` is SHA-256 in hex and `@documents` is the table. Every row and every
-whole text of the tables is used; a headline gets a short market phrase in front, so that the default
-dictionaries have something to find.
+whole text of the tables is used: the content is the text, the headline its first line with a short
+market phrase in front, so that the default dictionaries have something to find.
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.session import spread
-
 PHRASES = (
     "Bitcoin exchange hacked, funds stolen",
     "SEC lawsuit against Binance",
@@ -48,9 +46,8 @@ _ARTICLES = f"""
 SELECT doc_id, k AS url_key, cast(doc_id % 7 AS int) AS feed_ord, doc_id AS entry_ord, source, lang,
   concat('https://news.example/', cast(k AS @str)) AS url,
   @sha(concat('https://news.example/', cast(k AS @str))) AS id,
-  substr(concat(CASE doc_id % {len(PHRASES)} {_PHRASE_CASE} END, ' - ', split_part(text, chr(10), 1)),
-         1, 500) AS title,
-  substr(text, 1, 5000) AS content, text AS full_text,
+  concat(CASE doc_id % {len(PHRASES)} {_PHRASE_CASE} END, ' - ', split_part(text, chr(10), 1)) AS title,
+  text AS content,
   @ts '2024-01-01 00:00:00' + (((k * 37) % 720) * 3600 + (doc_id % 60) * 60) * INTERVAL '1' SECOND
     AS published_at,
   @ts '2024-01-01 00:00:00' + (((k * 37) % 720) * 3600) * INTERVAL '1' SECOND AS window_start,
@@ -157,7 +154,7 @@ class Inputs:
         return self.spark.sql(re.sub(r"@(\w+)", r"{\1}", sql), **used)
 
     def articles(self) -> DataFrame:
-        return self.view(ARTICLES, documents=spread(self.table("documents")))
+        return self.view(ARTICLES)
 
     def verdicts(self) -> DataFrame:
         return self.view(VERDICTS).select("doc_id", "is_noise")
@@ -192,7 +189,7 @@ class Inputs:
         return a.select(
             "doc_id", "feed_ord", "entry_ord", "source",
             F.when(d % 53 != 52, F.concat(F.lit("<b>"), "title", F.lit("</b>"))).alias("title"),
-            F.when(d % 61 != 60, F.concat(F.lit("<p class='a>b'>"), "full_text", F.lit("</p><!-- x -->")))
+            F.when(d % 61 != 60, F.concat(F.lit("<p class='a>b'>"), "content", F.lit("</p><!-- x -->")))
             .alias("content"),
             F.when(d % 59 == 58, "  ").otherwise(F.concat(F.lit(" "), "url", F.lit("\n"))).alias("url"),
             date.alias("raw_published_at"),

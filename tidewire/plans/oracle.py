@@ -141,12 +141,12 @@ def _sentiments(source: str) -> str:
   FROM (SELECT *, CASE WHEN content <> '' THEN {rd('0.4::DOUBLE * h_score + 0.6::DOUBLE * c_score', 4)}
                        ELSE h_score END AS final
         FROM (SELECT *, {side("coalesce(title, '')", "p_pos", "p_neg", "h")},
-                {side("substr(content, 1, 400)", "c_pos", "c_neg", "c")}
+                {side("content", "c_pos", "c_neg", "c")}
               FROM {source}) a) b"""
 
 
 def _good(text: str, items) -> str:
-    return f"len(list_filter({words(items)}, lambda w: contains(lower({strip(f'substr({text}, 1, 400)')}), w)))"
+    return f"len(list_filter({words(items)}, lambda w: contains(lower({strip(text)}), w)))"
 
 
 SCORED = ("scored", """
@@ -163,7 +163,6 @@ NEWS = (*STAGES, CLEANED, ENRICHED)
 # ---- text functions -------------------------------------------------------------------------------
 
 SQL["strip_html"] = f"SELECT page_id, {ws(html('html'))} AS text FROM pages"
-SQL["strip_html_arrow"] = SQL["strip_html"]
 SQL["normalize_ws"] = f"SELECT page_id, {ws('html')} AS text FROM pages"
 SQL["hash_ids"] = "SELECT page_id, sha256(url) AS id, sha256(html) AS content_hash FROM pages"
 SQL["parse_dates"] = """
@@ -186,16 +185,17 @@ RAW = ("raw", f"""
                  WHEN bad_date THEN 'no date' END AS error
   FROM (SELECT doc_id, feed_ord, entry_ord, id, url, source, published_at, window_start,
           CASE WHEN doc_id % 53 = 52 THEN '' ELSE {ws(html("title"))} END AS full_title,
-          CASE WHEN doc_id % 61 = 60 THEN '' ELSE {ws(html("full_text"))} END AS full_content,
+          CASE WHEN doc_id % 61 = 60 THEN '' ELSE {ws(html("content"))} END AS full_content,
           doc_id % 59 = 58 AS blank_url, doc_id % 97 = 96 AS bad_date FROM articles) r""")
 NORMAL = ("normal", """
-  SELECT doc_id, feed_ord, entry_ord, source, id, substr(full_title, 1, 500) AS title,
-    substr(full_content, 1, 5000) AS content, url, published_at, window_start,
+  SELECT doc_id, feed_ord, entry_ord, source, id, full_title AS title, full_content AS content, url,
+    published_at, window_start,
     sha256(full_content) AS content_hash, length(full_content) AS text_length,
     length(full_title) AS title_length
   FROM raw WHERE error IS NULL""")
 SQL["normalize_articles"] = with_(ARTICLES, RAW, NORMAL, last="""
-SELECT doc_id, source, id, title, content, url, published_at, content_hash, text_length, title_length
+SELECT doc_id, source, id, substr(title, 1, 500) AS title, substr(content, 1, 5000) AS content, url,
+  published_at, content_hash, text_length, title_length
 FROM normal""")
 SQL["quarantine_split"] = with_(ARTICLES, RAW, last="SELECT doc_id, error FROM raw")
 SQL["union_sources"] = """
@@ -220,14 +220,14 @@ FROM events GROUP BY user_id"""
 SQL["read_envelope"] = with_(ARTICLES, last="""
 SELECT doc_id, CASE WHEN (doc_id // 50) % 2 = 0 THEN TIMESTAMP '2024-01-01 00:00:00' END AS ingestion_time,
   row_number() OVER (PARTITION BY doc_id // 50 ORDER BY doc_id) - 1 AS entry_ord, title, url, source,
-  sha256(full_text) AS content_hash
+  sha256(content) AS content_hash
 FROM articles""")
 SQL["repair_rows"] = with_(ARTICLES, last="""
-SELECT doc_id, url, title, sha256(full_text) AS content_hash FROM articles WHERE doc_id % 5 IN (0, 4)""")
+SELECT doc_id, url, title, sha256(content) AS content_hash FROM articles WHERE doc_id % 5 IN (0, 4)""")
 SQL["parse_feed_items"] = with_(ARTICLES, last=f"""
 SELECT n AS feed_ord, concat('feed', n) AS source, entry_ord, url,
   CASE WHEN n % 2 = 0 AND doc_id % 3 = 0 THEN 'later' ELSE CAST(published_at AS VARCHAR) END
-    AS raw_published_at, {ws("title")} AS title, sha256({ws("full_text")}) AS content_hash
+    AS raw_published_at, {ws("title")} AS title, sha256({ws("content")}) AS content_hash
 FROM (SELECT * EXCLUDE (entry_ord), doc_id // 60 AS n,
         row_number() OVER (PARTITION BY doc_id // 60 ORDER BY doc_id) - 1 AS entry_ord FROM articles) t
 WHERE entry_ord < 50 AND n % 7 <> 3""")
@@ -271,7 +271,7 @@ SELECT doc_id, {rd('g / (g + b + 1)', 6)} AS headline_positive, {rd('b / (g + b
   {rd('1 / (g + b + 1)', 6)} AS headline_neutral, {rd('cg / (cg + cb + 1)', 6)} AS content_positive,
   {rd('cb / (cg + cb + 1)', 6)} AS content_negative, {rd('1 / (cg + cb + 1)', 6)} AS content_neutral
 FROM counts""")
-_SEEN = {s: f"length({strip(f'substr({t}, 1, 400)')}) >= 10" for s, t in (("headline", "title"), ("content", "content"))}
+_SEEN = {s: f"length({strip(t)}) >= 10" for s, t in (("headline", "title"), ("content", "content"))}
 _GIVEN = ", ".join(
     f"CASE WHEN {_SEEN[side]} THEN {rd(f'{x} / ({g} + {b} + 1)', 6)} END AS {side}_{c}"
     for side, g, b in (("headline", "g", "b"), ("content", "cg", "cb"))
@@ -281,7 +281,7 @@ SQL["score_sentiment_plugin"] = with_(ARTICLES, ("counts", f"""
   SELECT doc_id, title, content, {_G} AS g, {_B} AS b, {_CG} AS cg, {_CB} AS cb FROM articles"""), last=f"""
 SELECT doc_id, {_GIVEN} FROM counts""")
 SQL["classify_noise_plugin"] = with_(ARTICLES, last="""
-SELECT doc_id, regexp_matches(lower(concat(title, ' | ', substr(content, 1, 250))), 'top 10|could') AS is_noise,
+SELECT doc_id, regexp_matches(lower(concat(title, ' | ', content)), 'top 10|could') AS is_noise,
   'asked' AS reason, 'unknown' AS category FROM articles""")
 SQL["enrich_articles"] = with_(*STAGES, last="""
 SELECT window_start, feed_ord::BIGINT AS feed_ord, entry_ord, doc_id, id, title, content, url, source,
@@ -307,6 +307,10 @@ SELECT doc_id, CASE WHEN bad THEN true ELSE doc_id % 9 IN (0, 3, 7) END AS is_no
   CASE WHEN bad THEN NULL WHEN doc_id % 4 = 0 THEN 'macro' WHEN doc_id % 4 = 1 THEN NULL ELSE 'unknown' END
     AS category
 FROM (SELECT doc_id, doc_id % 9 = 8 OR doc_id % 11 = 0 AS bad FROM documents) t"""
+SQL["reply_as_json"] = """
+SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN turn ELSE -1 END AS n, CASE WHEN turn % 2 = 0 THEN role END AS role,
+  CASE WHEN turn % 2 <> 0 THEN text END AS raw
+FROM conversations"""
 BATCHES = ("batches", """
   SELECT *, idx // 3 AS batch, idx % 3 AS pos
   FROM (SELECT *, CAST(window_start AS DATE) AS day, row_number() OVER (
@@ -509,9 +513,14 @@ SQL["candle_frame"] = with_(CANDLES, HOURS, last=f"""
 SELECT h.window_start, c.open_time, c.open, c.high, c.low, c.close, c.volume
 FROM hours h ASOF LEFT JOIN (SELECT * FROM candles WHERE symbol = '{inp.SYMBOL}') c
   ON h.window_start >= c.open_time""")
+SQL["cast_candles"] = """
+SELECT event_type AS symbol, date_trunc('milliseconds', ts) AS open_time, value AS open,
+  CAST(NULL AS DOUBLE) AS high, value AS low, value AS close, CAST(event_id AS DOUBLE) AS volume,
+  epoch_us(ts) // 1000 AS ms
+FROM events"""
 DAILY = ("daily", f"""
   SELECT ticker, day, {rd('close', 4)} AS close,
-    {rd('(close - before) / nullif(before, 0)', 6)} AS daily_return, CAST(day AS TIMESTAMP) AS at
+    {rd('(close - before) / nullif(before, 0)', 6)} AS daily_return, CAST(day AS TIMESTAMP) + INTERVAL 1 DAY AS at
   FROM (SELECT *, lag(close) OVER (PARTITION BY ticker ORDER BY day) AS before FROM macro) t""")
 SQL["daily_return"] = with_(MACRO, DAILY, last="SELECT ticker, day, daily_return FROM daily")
 
@@ -539,8 +548,12 @@ SNAPSHOTS = ("snapshots", """
 SQL["snapshot_json_path"] = with_(SNAPSHOTS, HOURS, last="""
 SELECT 'reading' AS kind, ts AS at, btc_dominance, fear_greed_index FROM snapshots
 UNION ALL
-SELECT 'as of', window_start, btc_dominance, fear_greed_index
-FROM hours h ASOF LEFT JOIN snapshots s ON h.window_start + INTERVAL 1 HOUR >= s.ts""")
+SELECT 'as of', h.window_start, d.btc_dominance, f.fear_greed_index
+FROM hours h
+ASOF LEFT JOIN (SELECT * FROM snapshots WHERE btc_dominance IS NOT NULL) d
+  ON h.window_start + INTERVAL 1 HOUR >= d.ts
+ASOF LEFT JOIN (SELECT * FROM snapshots WHERE fear_greed_index IS NOT NULL) f
+  ON h.window_start + INTERVAL 1 HOUR >= f.ts""")
 
 
 def _merged(news: tuple, macro_source: str = "every_hour") -> str:
@@ -559,7 +572,8 @@ SELECT {news_columns}, {prices}, {macro_columns},
     AS sentiment_momentum
 FROM {source}
 ASOF LEFT JOIN (SELECT * FROM market WHERE symbol = '{inp.SYMBOL}') p ON w.window_start >= p.open_time
-ASOF LEFT JOIN snapshots d ON w.window_start + INTERVAL 1 HOUR >= d.ts""")
+ASOF LEFT JOIN (SELECT * FROM snapshots WHERE btc_dominance IS NOT NULL) d
+  ON w.window_start + INTERVAL 1 HOUR >= d.ts""")
 
 
 SQL["merge_feature_groups"] = _merged((*NEWS, FEATURES))
@@ -584,15 +598,35 @@ _JOB = (
     ENRICHED, FEATURES,
 )
 SQL["hourly_features"] = _merged(_JOB)
+SQL["pipeline_from_envelopes"] = SQL["hourly_features"]
+# The user's classifier instead of given verdicts: it knows two phrases and names no category.
+SQL["pipeline_with_plugins"] = _merged(tuple(
+    (name, sql.replace("v.is_noise, v.category,", """
+        regexp_matches(lower(concat(title, ' | ', content)), 'top 10|could') AS is_noise, 'unknown' AS category,"""))
+    if name == "texts" else (name, sql)
+    for name, sql in _JOB
+))
 
 # ---- feature table --------------------------------------------------------------------------------
 
-SQL["upsert_features"] = with_(*NEWS, FEATURES, last="""
-SELECT window_start, article_count + CASE WHEN hit THEN 1000 ELSE 0 END AS article_count, total_raw,
-  CASE WHEN NOT hit THEN avg_sentiment END AS avg_sentiment
-FROM (SELECT *, hour(window_start) % 3 = 0 AND hour(window_start) > 0 AS hit FROM features) t
+_NEWS_COLUMNS = ("total_raw", "noise_ratio", *[alias for alias, _ in _ALL])
+_ABSENT = "".join(
+    f", CAST(NULL AS DOUBLE) AS {c}"
+    for c in ("sentiment_momentum", *_MARKET_COLUMNS, "btc_dominance", "fear_greed_index", "dxy", "gold_price",
+              "sp500_return_1d", "us_10y_yield")
+)
+_KEPT = ", ".join(
+    "CASE WHEN NOT second OR third THEN avg_sentiment END AS avg_sentiment" if c == "avg_sentiment" else c
+    for c in _NEWS_COLUMNS
+)
+_ADDED = ", ".join("NULL" if c == "avg_sentiment" else c for c in _NEWS_COLUMNS)
+SQL["upsert_features"] = with_(*NEWS, FEATURES, last=f"""
+SELECT window_start,
+  article_count + CASE WHEN third THEN 5000 WHEN second THEN 1000 ELSE 0 END AS article_count, {_KEPT}{_ABSENT}
+FROM (SELECT *, hour(window_start) % 3 = 0 AND hour(window_start) > 0 AS second,
+        hour(window_start) % 5 = 1 AS third FROM features) t
 UNION ALL
-SELECT window_start + INTERVAL 40 DAY, article_count + 1000, total_raw, NULL FROM features
+SELECT window_start + INTERVAL 40 DAY, article_count + 1000, {_ADDED}{_ABSENT} FROM features
 WHERE hour(window_start) = 0""")
 SQL["latest_windows"] = with_(*NEWS, FEATURES, last="""
 SELECT window_start, article_count, total_raw, avg_sentiment FROM features

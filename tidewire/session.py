@@ -1,14 +1,14 @@
-"""Session helpers: the shared work folder and shipping of the package to Python workers."""
+"""Session helpers: intermediate data in the shared work folder."""
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list[str] = []
+
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder named by `spark.checkpoint.dir`.
@@ -21,17 +21,9 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tidewire-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a plain scan that has fewer splits than the cluster has cores; else leave it.
-
-    Text work is heavy per row, and a small input may be one file with one row group. A large input
-    has more splits than cores and is never shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(2 * cores)
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -41,9 +33,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers; needed by the Arrow operators only."""
-    root = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="tidewire-zip-")) / "tidewire"
-    archive = shutil.make_archive(str(target), "zip", root.parent, root.name)
-    spark.sparkContext.addPyFile(archive)
+def drop_work(spark: SparkSession) -> None:
+    """Remove the intermediate data this session has written; frames that read it become invalid."""
+    jvm = spark.sparkContext._jvm
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

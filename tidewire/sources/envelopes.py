@@ -64,6 +64,16 @@ def read_envelopes(spark: SparkSession, path: str, one_per_file: bool = True) ->
     return repair_rows(parse_envelopes(bodies))
 
 
+def with_feed_order(articles: DataFrame, feeds: DataFrame) -> DataFrame:
+    """Add `feed_ord` of each article's source from a registry (source, feed_ord); others come last.
+
+    With `ingestion_time` and `entry_ord` this is the order in which copies of an article win.
+    """
+    known = feeds.select(F.col("source").alias("_source"), F.col("feed_ord").cast("int").alias("feed_ord"))
+    joined = articles.join(known, F.col("source") == F.col("_source"), "left").drop("_source")
+    return joined.withColumn("feed_ord", F.coalesce("feed_ord", F.lit(2**31 - 1)))
+
+
 def write_envelopes(df: DataFrame, path: str) -> None:
     """JSON lines of envelopes; `df` has `ingestion_time` and `articles`."""
     df.select("ingestion_time", "articles").write.mode("overwrite").json(path)

@@ -64,11 +64,11 @@ def _atom(entry: Column) -> Column:
     )
 
 
-def parse_feed_items(documents: DataFrame, limit: int = fv.ENTRIES_PER_FEED) -> DataFrame:
+def parse_feed_items(documents: DataFrame, limit: int | None = None) -> DataFrame:
     """(source, feed_ord, status, body, ...) to raw article rows with `entry_ord`.
 
     Documents whose fetch did not return 200, and unreadable ones, give no rows; the others go on.
-    At most the first `limit` entries of a document are used, which also bounds what one row emits.
+    All entries are used, or the first `limit` of each document.
     """
     kept = [c for c in documents.columns if c not in ("status", "body")]
     parsed = documents.where(F.col("status") == 200).select(
@@ -82,7 +82,7 @@ def parse_feed_items(documents: DataFrame, limit: int = fv.ENTRIES_PER_FEED) ->
         F.coalesce(F.transform("_doc.entry", _atom), empty),
     )
     return parsed.select(
-        *kept, F.posexplode(F.slice(items, 1, limit)).alias("entry_ord", "_item")
+        *kept, F.posexplode(items if limit is None else F.slice(items, 1, limit)).alias("entry_ord", "_item")
     ).select(*kept, "entry_ord", "_item.*")
 
 

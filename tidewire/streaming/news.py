@@ -40,10 +40,11 @@ def first_arrivals(cleaned: DataFrame, delay: str, salts: int = 16) -> DataFrame
     """Each id once: the first to arrive wins, rows later than `delay` are dropped.
 
     All copies of an id meet in one task. So that an article with very many copies is no hot spot, the
-    copies are first thinned in `salts` parts by the hash of the whole row; 1 turns that off.
+    copies are first thinned in `salts` parts by the task that read them, which also parts copies that
+    are equal in every column; 1 turns that off.
     """
     require_utc(cleaned.sparkSession)
-    salt = F.pmod(F.xxhash64(*cleaned.columns), F.lit(salts))
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts))
     watched = (
         cleaned.withColumn("_salt", salt)
         .withColumn("published_at", F.col("published_at").cast("timestamp"))
@@ -90,8 +91,7 @@ def write_features(
     takes what is there and stops.
     """
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        store.upsert(batch, batch_id)
-        store.refresh_momentum()
+        store.refresh_momentum(store.upsert(batch, batch_id))
 
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return (
