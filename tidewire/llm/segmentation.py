@@ -133,7 +133,7 @@ class Lattice:
         self.ids[ascii_, 0] = model.byte_ids[code[ascii_].astype(np.int64)]
         self.code = code
         small = np.array([len(c.encode()) for c in chunks]) * -model.byte_weight < UNDERFLOW
-        total_odds = np.zeros(total + width)
+        total_odds = np.zeros(total + width + 1)
         total_odds[self.end] = 1
         after = np.lib.stride_tricks.sliding_window_view(total_odds[1:], width)
         for at in self._from_ends(sizes, small):
