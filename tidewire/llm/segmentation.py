@@ -48,7 +48,7 @@ DEFAULT = SegmentConfig()
 
 
 class PieceModel:
-    """Pieces by length: sorted hashes, ids, and which leading bits of a hash occur."""
+    """Pieces by length: sorted hashes, ids, and which leading bits occur in them and in longer pieces."""
 
     def __init__(self, path: str, temperature: float):
         model = SentencePieceProcessor(model_file=path)
@@ -70,9 +70,16 @@ class PieceModel:
             for k in range(n):
                 h = roll(h, codes[:, k])
             order = np.argsort(h)
+            longer = np.zeros(1 << 20, bool)
+            for p in {self.pieces[i][:n] for i in plain if len(self.pieces[i]) > n}:
+                code = np.array([[ord(c)] for c in p], np.uint64)
+                start = np.zeros(1, np.uint64)
+                for c in code:
+                    start = roll(start, c)
+                longer[int(start[0]) >> 44] = True
             known = np.zeros(1 << 20, bool)
             known[h >> np.uint64(44)] = True
-            self.by_length.append((h[order], ids[order], known))
+            self.by_length.append((h[order], ids[order], known, longer))
         first = int(self.byte_ids[0])
         self.bytes_of = [
             bytes([i - first]) if byte[i] else p.replace(MARK, " ").encode() for i, p in enumerate(self.pieces)
@@ -104,28 +111,33 @@ class Lattice:
         sizes = np.array([len(c) for c in chunks], np.int64)
         self.start = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
         self.end = self.start + sizes
-        total, width = int(sizes.sum() + len(chunks)), model.longest
-        code = np.zeros(total + width, np.uint64)
+        total = int(sizes.sum() + len(chunks))
+        code = np.zeros(total + model.longest, np.uint64)
         inside = np.ones(total, bool)
         inside[self.end] = False
         text = "".join(chunks)
         code[:total][inside] = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         left = np.repeat(self.end, sizes + 1) - np.arange(total)
-        self.ids = np.full((total, width), -1, np.int32)
-        weight = np.zeros((total, width))
         at = np.flatnonzero(left > 0)
         h = np.zeros(len(at), np.uint64)
-        for n in range(1, width + 1):
-            going = left[at] >= n
-            at = at[going]
-            h = roll(h[going], code[at + (n - 1)])
-            keys, ids, known = model.by_length[n - 1]
-            maybe = np.flatnonzero(known[h >> np.uint64(44)])
+        hits = []
+        for n in range(1, model.longest + 1):
+            h = roll(h, code[at + (n - 1)])
+            keys, ids, known, longer = model.by_length[n - 1]
+            top = (h >> np.uint64(44)).astype(np.intp)
+            maybe = np.flatnonzero(known[top])
             place = np.minimum(np.searchsorted(keys, h[maybe]), len(keys) - 1)
             hit = keys[place] == h[maybe]
-            found = ids[place[hit]]
-            self.ids[at[maybe[hit]], n - 1] = found
-            weight[at[maybe[hit]], n - 1] = model.odds[found]
+            if hit.any():
+                hits.append((n, at[maybe[hit]], ids[place[hit]]))
+            on = longer[top] & (left[at] > n)
+            at, h = at[on], h[on]
+        width = max((n for n, _, _ in hits), default=1)
+        self.ids = np.full((total, width), -1, np.int32)
+        weight = np.zeros((total, width))
+        for n, slots, found in hits:
+            self.ids[slots, n - 1] = found
+            weight[slots, n - 1] = model.odds[found]
         unknown = np.flatnonzero((left > 0) & (self.ids[:, 0] < 0))
         n_bytes = 1 + (code[unknown] > 0x7F) + (code[unknown] > 0x7FF) + (code[unknown] > 0xFFFF)
         weight[unknown, 0] = np.exp(n_bytes * model.byte_weight)
@@ -139,9 +151,12 @@ class Lattice:
         for at in self._from_ends(sizes, small):
             total_odds[at] = np.einsum("ij,ij->i", weight[at], after[at])
         total_odds[:total][total_odds[:total] == 0] = 1
-        self.probability = weight * after[:total] / total_odds[:total, None]
-        if not small.all():
-            self._in_logarithms(weight, sizes, ~small)
+        late = list(self._in_logarithms(weight, sizes, ~small))
+        weight *= after[:total]  # in place: these are the largest arrays here
+        weight /= total_odds[:total, None]
+        for at, probability in late:
+            weight[at] = probability
+        self.probability = weight
         self.cumulative = np.cumsum(self.probability, axis=1)
 
 
@@ -152,8 +167,12 @@ class Lattice:
         for d in range(1, -int(ordered[0]) + 1 if len(ordered) else 1):
             yield ends[: np.searchsorted(ordered, -d, "right")] - d
 
-    def _in_logarithms(self, weight: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> None:
-        """The same for chunks so long that their odds leave the range of a double."""
+    def _in_logarithms(
+        self, weight: np.ndarray, sizes: np.ndarray, chosen: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Slots and probabilities of chunks so long that their odds leave the range of a double."""
+        if not chosen.any():
+            return
         total, width = weight.shape
         beta = np.full(total + width, -np.inf)
         beta[self.end] = 0
@@ -163,7 +182,7 @@ class Lattice:
                 value = np.log(weight[at]) + beta[at[:, None] + steps]
                 most = value.max(axis=1)
                 beta[at] = most + np.log(np.exp(value - most[:, None]).sum(axis=1))
-                self.probability[at] = np.exp(value - beta[at][:, None])
+                yield at, np.exp(value - beta[at][:, None])
 
 
 @dataclass
@@ -237,7 +256,7 @@ def search(
         walker = live[np.concatenate([s[0] for s in steps])] if steps else live
         slot = np.concatenate([s[1] for s in steps]) if steps else live
         length = np.concatenate([s[2] for s in steps]) if steps else live
-        order = np.lexsort((slot, walker))
+        order = np.argsort(walker, kind="stable")  # the steps of a walker are in order already
         walker, slot, length = walker[order], slot[order], length[order]
         bounds = np.searchsorted(who[walker], np.arange(len(opened) + 1))
         for j, (i, (minus, _, base, t, banned)) in enumerate(opened):
