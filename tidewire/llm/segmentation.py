@@ -157,7 +157,8 @@ class Lattice:
         for at, probability in late:
             weight[at] = probability
         self.probability = weight
-        self.cumulative = np.cumsum(self.probability, axis=1)
+        self.likeliest = self.probability.argmax(axis=1)
+        self.of_likeliest = self.probability[np.arange(total), self.likeliest]
 
 
     def _from_ends(self, sizes: np.ndarray, chosen: np.ndarray) -> Iterator[np.ndarray]:
@@ -196,14 +197,27 @@ class Path:
     log_prob: float
 
 
+def other_arcs(lattice: Lattice, slot: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Arcs of slots whose number u lies above the likeliest arc's share, by the shares of the others."""
+    first, taken = lattice.likeliest[slot], lattice.of_likeliest[slot]
+    row = lattice.probability[slot]
+    row[np.arange(len(slot)), first] = 0
+    row = np.cumsum(row, axis=1)
+    rest = row[:, -1]
+    at = (u - taken) / np.maximum(1 - taken, 1e-300) * rest
+    return np.where(rest > 0, np.minimum((at[:, None] >= row).sum(axis=1), row.shape[1] - 1), first)
+
+
 def walk(lattice: Lattice, slot: np.ndarray, end: np.ndarray, key: np.ndarray, counter: np.ndarray) -> list[tuple]:
     """Draw arcs from every starting slot to its chunk's end: (walker, slot, length) arrays per step."""
     who, out = np.arange(len(slot)), []
     step = 0
     while len(who):
         u = uniform(key[who], counter[who] + np.uint64(step))
-        row = lattice.cumulative[slot]
-        length = 1 + (u[:, None] * row[:, -1:] >= row).sum(axis=1)
+        length = 1 + lattice.likeliest[slot]
+        other = np.flatnonzero(u >= lattice.of_likeliest[slot])
+        if len(other):
+            length[other] = 1 + other_arcs(lattice, slot[other], u[other])
         out.append((who, slot, length))
         slot = slot + length
         going = slot < end[who]
