@@ -45,9 +45,13 @@ def filter_rows(docs: DataFrame, keeper: Callable[[], Keep]) -> DataFrame:
 
 
 def worker_cache(name: str, make: Callable[[], Any]) -> Any:
-    """An object that outlives a task in a reused Python worker; `make()` builds it when absent."""
+    """An object that outlives a task in a reused Python worker; `make()` builds it when absent.
+
+    A worker keeps one such object: what an earlier stage has left is dropped first.
+    """
     host = importlib.import_module("pyspark.worker_util")
     cache = host.__dict__.setdefault("_tidewire_llm_cache", {})
     if name not in cache:
+        cache.clear()
         cache[name] = make()
     return cache[name]

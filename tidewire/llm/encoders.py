@@ -82,7 +82,7 @@ class WordEncoder:
     without special strings, else by the tokenizers library. The memory is emptied at `limit` words.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.tokenizer = open_tokenizer(path)
         self.merge = tiktoken.Encoding(
             "words", pat_str=WORD_LEVEL, mergeable_ranks=byte_ranks(path), special_tokens={}

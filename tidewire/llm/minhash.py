@@ -61,7 +61,7 @@ DEFAULT = MinHashConfig()
 class WordHashes:
     """64-bit hashes of words with a memory of `limit` words."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 300_000):
         self.known: dict[bytes, int] = {}
         self.limit = limit
 
