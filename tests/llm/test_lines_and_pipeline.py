@@ -52,6 +52,17 @@ def test_templates_generalise_variable_fields(spark):
     assert got[2].text == own.format("green" * 4)
 
 
+def test_templates_share_a_leaf_with_a_hot_line(spark):
+    """Two templates of equal size and one line of many documents, all with the same first tokens."""
+    one = "Notice to all members of the club: {} will speak on trees and rivers in the hall"
+    two = "Notice to all members dues of {} are to be paid at once by post or bank"
+    hot = "Notice to all members that nothing at all is planned for this week or the next one"
+    rows = [(i, text.format(f"n{chr(97 + i % 26)}{chr(97 + i // 26)}"), "en", "s", 1) for i, text in enumerate([one, two] * 20)]
+    rows += [(100 + i, hot, "en", "s", 1) for i in range(200)]
+    got = {r.doc_id: r.n_dropped for r in lt.drop_recurring(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [i for i, n in sorted(got.items()) if not n] == [0, 1, 100]
+
+
 def test_short_lines_recur_later(spark):
     rows = [(i, f"All rights reserved.\nThe.\nunique line number {'x' * i} here", "en", "s", 1) for i in range(25)]
     got = {r.doc_id: r.n_dropped for r in lt.drop_recurring(spark.createDataFrame(rows, DOCS)).collect()}

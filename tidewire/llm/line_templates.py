@@ -1,15 +1,17 @@
 """Line dedup by a log-template tree, in DataFrame operations only.
 
 Numbers in a line are masked, then the line goes down a tree of fixed depth: its token count, then its
-first `depth` tokens. Lines in one leaf are compared in EIGHT equal runs of tokens: a run that most of
-the leaf's lines share is part of the leaf's template, the others are variable fields. A template seen
-in enough documents recurs; it stays in the document with the smallest doc_id and is dropped elsewhere.
+first `depth` tokens. Lines in one leaf are compared in EIGHT equal runs of tokens: lines that share most
+runs are of one template, the others are its variable fields; a leaf holds any number of templates. A
+template seen in enough documents recurs; it stays in the document with the smallest doc_id and is
+dropped elsewhere.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +26,8 @@ LAST = 2**63 - 1
 class TemplateConfig:
     """Depth of the tree and what counts as recurring.
 
-    Lines of `min_tokens` and more recur from `min_docs` documents on and are generalised: a line fits its
-    leaf's template if `same_runs` of its eight runs agree. Shorter lines, down to `short_tokens`, occur
+    Lines of `min_tokens` and more recur from `min_docs` documents on and are generalised: lines of a leaf
+    fit one template if `same_runs` of their eight runs agree. Shorter lines, down to `short_tokens`, occur
     by chance; they recur from `short_docs` documents on, and as they are. Still shorter lines stay.
     """
 
@@ -59,10 +61,6 @@ def runs_of(tokens: Column, n: Column) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), [run(i) for i in range(EIGHT)])
 
 
-def run_byte(runs: Column, i: int) -> Column:
-    return F.shiftrightunsigned(runs, 8 * i).bitwiseAND(F.lit(255))
-
-
 def tree_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFrame:
     """Each document's distinct masked lines: doc, line (hash), leaf (hash), long, runs."""
     each = docs.select(
@@ -87,49 +85,39 @@ def recurring_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFr
     Lines are counted before anything else moves, so a line or leaf that a third of all rows share
     arrives as one row per task. Only leaves with several different lines are generalised.
     """
-    counted = tree_lines(docs, config).groupBy("line", "leaf", "long", "runs").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first")
+    counted = materialize(
+        tree_lines(docs, config).groupBy("line", "leaf", "long", "runs").agg(
+            F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first")
+        ),
+        "lines-counted",
     )
     enough = F.when(F.col("long"), config.min_docs).otherwise(config.short_docs)
+    exact = counted.where(F.col("n_docs") >= enough).select("line", "first")
     leaves = counted.where("long").groupBy("leaf").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines > 1")
-    open_leaf = F.col("in_leaf").isNotNull()
-    marked = materialize(
-        counted.join(leaves.select("leaf", F.lit(True).alias("in_leaf")), "leaf", "left").where(
-            (F.col("n_docs") >= enough) | open_leaf
-        ),
-        "lines-marked",
-    )
-    exact = marked.where(F.col("n_docs") >= enough).select("line", "first")
-    several = marked.where(open_leaf)
-    runs = several.select(
-        "leaf", "n_docs",
-        F.explode(F.array(*[
-            F.struct(F.lit(i).alias("at"), run_byte(F.col("runs"), i).alias("byte")) for i in range(EIGHT)
-        ])).alias("run"),
-    ).groupBy("leaf", "run.at", "run.byte").agg(F.sum("n_docs").alias("n"))
-    top = runs.groupBy("leaf", "at").agg(
-        F.max_by("byte", "n").alias("byte"), (2 * F.max("n") > F.sum("n")).alias("constant")
-    ).where("constant")
-    template = materialize(
-        top.groupBy("leaf").agg(
-            F.expr("bit_or(shiftleft(byte, 8 * at))").alias("bytes"),
-            F.expr("bit_or(shiftleft(255L, 8 * at))").alias("constant"),
-            F.count(F.lit(1)).alias("n_constant"),
-        ).where(F.col("n_constant") >= config.same_runs),
-        "templates",
-    )
-    different = F.col("runs").bitwiseXOR(F.col("bytes")).bitwiseAND(F.col("constant"))
-    agree = F.col("n_constant") - sum(
-        (run_byte(different, i) != 0).cast("int") for i in range(EIGHT)
-    )
-    fitting = several.join(template, "leaf").where(agree >= config.same_runs).select(
-        "leaf", "line", "n_docs", "first"
+    several = materialize(counted.where("long").join(leaves, "leaf", "left_semi"), "lines-several")
+    return exact.unionByName(same_run_lines(several, config)).groupBy("line").agg(F.min("first").alias("first"))
+
+
+def same_run_lines(several: DataFrame, config: TemplateConfig) -> DataFrame:
+    """line and `first` of the lines that agree with others of their leaf in `same_runs` of the eight runs.
+
+    Each choice of that many runs, with what they hold, is a template; a leaf may have any number.
+    """
+    masks = [sum(255 << 8 * i for i in choice) for choice in combinations(range(EIGHT), config.same_runs)]
+    signed = [m - 2**64 if m >= 2**63 else m for m in masks]
+    keys = F.array(*[F.xxhash64("leaf", F.lit(m), F.col("runs").bitwiseAND(F.lit(m))) for m in signed])
+    members = several.select("line", "n_docs", "first", F.explode(keys).alias("key"))
+    return of_groups(members, F.sum("n_docs") >= config.min_docs)
+
+
+def of_groups(members: DataFrame, recurs: Column) -> DataFrame:
+    """line and the `first` of its groups, of groups (by `key`) of several lines that recur."""
+    groups = members.groupBy("key").agg(
+        F.min("first").alias("first"), ((F.count(F.lit(1)) > 1) & recurs).alias("recurs")
+    ).where("recurs")
+    return members.select("line", "key").join(groups.select("key", "first"), "key").groupBy("line").agg(
+        F.min("first").alias("first")
     )
-    groups = fitting.groupBy("leaf").agg(
-        F.sum("n_docs").alias("n_docs"), F.min("first").alias("first")
-    ).where(F.col("n_docs") >= config.min_docs)
-    general = fitting.select("leaf", "line").join(groups.select("leaf", "first"), "leaf").select("line", "first")
-    return exact.unionByName(general).groupBy("line").agg(F.min("first").alias("first"))
 
 
 def without(lines: Column, dropped: Column) -> Column:
