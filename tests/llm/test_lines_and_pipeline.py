@@ -63,6 +63,16 @@ def test_templates_share_a_leaf_with_a_hot_line(spark):
     assert [i for i, n in sorted(got.items()) if not n] == [0, 1, 100]
 
 
+def test_long_lines_with_words_far_apart(spark):
+    """Lines of 64 and 640 tokens in which one token in twenty differs, in more than two of the eight runs."""
+    def line(i, n):
+        return " ".join(f"x{chr(97 + i)}" if k % 20 == 10 else f"w{chr(97 + k % 26)}{chr(97 + k % 23)}" for k in range(n))
+
+    rows = [(i + n, line(i, n), "en", "s", 1) for n in (64, 640) for i in range(20)]
+    got = {r.doc_id: r.n_dropped for r in lt.drop_recurring(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [i for i, n in sorted(got.items()) if not n] == [64, 640]
+
+
 def test_short_lines_recur_later(spark):
     rows = [(i, f"All rights reserved.\nThe.\nunique line number {'x' * i} here", "en", "s", 1) for i in range(25)]
     got = {r.doc_id: r.n_dropped for r in lt.drop_recurring(spark.createDataFrame(rows, DOCS)).collect()}

@@ -2,13 +2,14 @@
 
 Numbers in a line are masked, then the line goes down a tree of fixed depth: its token count, then its
 first `depth` tokens. Lines in one leaf are compared in EIGHT equal runs of tokens: lines that share most
-runs are of one template, the others are its variable fields; a leaf holds any number of templates. A
-template seen in enough documents recurs; it stays in the document with the smallest doc_id and is
+runs are of one template, the others are its variable fields; a leaf holds any number of templates. So are
+lines that share most tokens, wherever the others stand. A template seen in enough documents recurs; it stays in the document with the smallest doc_id and is
 dropped elsewhere.
 """
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
@@ -27,7 +28,8 @@ class TemplateConfig:
     """Depth of the tree and what counts as recurring.
 
     Lines of `min_tokens` and more recur from `min_docs` documents on and are generalised: lines of a leaf
-    fit one template if `same_runs` of their eight runs agree. Shorter lines, down to `short_tokens`, occur
+    fit one template if `same_runs` of their eight runs agree, or the share `same_tokens` of all tokens:
+    of lines that do, fewer than one in 100,000 shares none of the `bands`. Shorter lines, down to `short_tokens`, occur
     by chance; they recur from `short_docs` documents on, and as they are. Still shorter lines stay.
     """
 
@@ -35,6 +37,9 @@ class TemplateConfig:
     min_tokens: int = 8
     min_docs: int = 2
     same_runs: int = 6
+    same_tokens: float = 0.8
+    bands: int = 28
+    seed: int = 1
     short_tokens: int = 3
     short_docs: int = 20
 
@@ -61,8 +66,13 @@ def runs_of(tokens: Column, n: Column) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), [run(i) for i in range(EIGHT)])
 
 
+def token_hashes(tokens: Column) -> Column:
+    """Two bytes per token."""
+    return F.transform(tokens, lambda x: F.hash(x).bitwiseAND(F.lit(2**15 - 1)).cast("smallint"))
+
+
 def tree_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFrame:
-    """Each document's distinct masked lines: doc, line (hash), leaf (hash), long, runs."""
+    """Each document's distinct masked lines: doc, line (hash), leaf (hash), long, runs, tokens (hashes)."""
     each = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"),
         F.explode(F.array_distinct(masked_lines(F.col("text")))).alias("masked"),
@@ -76,6 +86,7 @@ def tree_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFrame:
         "doc", line.alias("line"), long.alias("long"),
         F.when(long, F.xxhash64("n", F.slice("tokens", 1, config.depth))).otherwise(line).alias("leaf"),
         F.when(long, runs_of(F.col("tokens"), F.col("n"))).otherwise(F.lit(0)).alias("runs"),
+        token_hashes(F.col("tokens")).alias("tokens"),
     )
 
 
@@ -86,7 +97,7 @@ def recurring_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFr
     arrives as one row per task. Only leaves with several different lines are generalised.
     """
     counted = materialize(
-        tree_lines(docs, config).groupBy("line", "leaf", "long", "runs").agg(
+        tree_lines(docs, config).groupBy("line", "leaf", "long", "runs", "tokens").agg(
             F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first")
         ),
         "lines-counted",
@@ -95,7 +106,8 @@ def recurring_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFr
     exact = counted.where(F.col("n_docs") >= enough).select("line", "first")
     leaves = counted.where("long").groupBy("leaf").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines > 1")
     several = materialize(counted.where("long").join(leaves, "leaf", "left_semi"), "lines-several")
-    return exact.unionByName(same_run_lines(several, config)).groupBy("line").agg(F.min("first").alias("first"))
+    found = exact.unionByName(same_run_lines(several, config)).unionByName(same_token_lines(several, config))
+    return found.groupBy("line").agg(F.min("first").alias("first"))
 
 
 def same_run_lines(several: DataFrame, config: TemplateConfig) -> DataFrame:
@@ -110,6 +122,40 @@ def same_run_lines(several: DataFrame, config: TemplateConfig) -> DataFrame:
     return of_groups(members, F.sum("n_docs") >= config.min_docs)
 
 
+def same_token_lines(several: DataFrame, config: TemplateConfig) -> DataFrame:
+    """line and `first` of the lines that share `same_tokens` of all tokens with a leader, in the same places.
+
+    Lines of a leaf that agree in one of `bands` samples of four tokens are a group, led by the two lines
+    with the smallest and the largest hash. A line and its leaders are compared token by token.
+    """
+    rng = random.Random(config.seed)
+    depth, n = config.depth, F.size("tokens")
+
+    def sampled(band: int) -> Column:
+        places = [F.floor((n - depth) * rng.random()).cast("int") + depth for _ in range(4)]
+        return F.xxhash64("leaf", F.lit(band), *[F.get(F.col("tokens"), at) for at in places])
+
+    members = several.select("line", F.explode(F.array(*map(sampled, range(config.bands)))).alias("key"))
+    groups = members.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high")
+    pairs = members.join(groups, "key").select("line", F.explode(F.array("low", "high")).alias("leader")).where(
+        "line <> leader"
+    ).distinct()
+    lines = several.select("line", "tokens", "n_docs", "first")
+    leaders = lines.select(*[F.col(c).alias("leader" if c == "line" else f"l_{c}") for c in lines.columns])
+    equal = F.size(F.filter(F.zip_with("tokens", "l_tokens", lambda a, b: a == b), lambda x: x))
+    stars = materialize(
+        pairs.join(lines, "line").join(leaders, "leader").where(equal >= config.same_tokens * n).select(
+            "leader", "line", "n_docs", "first", "l_n_docs", "l_first"
+        ),
+        "line-stars",
+    )
+    recurring = stars.groupBy("leader").agg(
+        F.least(F.min("first"), F.min("l_first")).alias("first"), (F.sum("n_docs") + F.min("l_n_docs")).alias("n_docs")
+    ).where(F.col("n_docs") >= config.min_docs).drop("n_docs")
+    led = stars.select("leader", "line").join(recurring, "leader").select("line", "first")
+    return led.unionByName(recurring.withColumnRenamed("leader", "line"))
+
+
 def of_groups(members: DataFrame, recurs: Column) -> DataFrame:
     """line and the `first` of its groups, of groups (by `key`) of several lines that recur."""
     groups = members.groupBy("key").agg(
