@@ -81,6 +81,15 @@ def test_short_lines_recur_later(spark):
     assert few == {0}
 
 
+def test_short_lines_are_generalised(spark):
+    """A name in a short line of 90 documents; one document with 90 such lines counts once."""
+    names = [f"n{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(90)]
+    rows = [(i, f"Posted by {name} on Monday", "en", "s", 1) for i, name in enumerate(names)]
+    rows += [(100 + i, "\n".join(f"Seen with {name} at sea" for name in names[i:]), "en", "s", 1) for i in range(2)]
+    got = {r.doc_id: r.n_dropped for r in lt.drop_recurring(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [i for i, n in sorted(got.items()) if not n] == [0, 100, 101]
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark, "n_lines", "line", "first")
     rows = lt.drop_recurring(docs).collect()

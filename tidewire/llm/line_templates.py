@@ -29,8 +29,10 @@ class TemplateConfig:
 
     Lines of `min_tokens` and more recur from `min_docs` documents on and are generalised: lines of a leaf
     fit one template if `same_runs` of their eight runs agree, or the share `same_tokens` of all tokens:
-    of lines that do, fewer than one in 100,000 shares none of the `bands`. Shorter lines, down to `short_tokens`, occur
-    by chance; they recur from `short_docs` documents on, and as they are. Still shorter lines stay.
+    of two lines of 20 tokens or more that do, one in 40,000 at most shares none of the `bands`. Shorter lines, down to
+    `short_tokens`, occur by chance; as they are they recur from `short_docs` documents on. Those that agree
+    in all tokens but one are of one template, which recurs if the documents fill `short_slots` of 64 slots
+    by their hash: that takes at least as many documents, 44 on average. Still shorter lines stay.
     """
 
     depth: int = 4
@@ -42,6 +44,7 @@ class TemplateConfig:
     seed: int = 1
     short_tokens: int = 3
     short_docs: int = 20
+    short_slots: int = 32
 
 
 DEFAULT = TemplateConfig()
@@ -98,7 +101,8 @@ def recurring_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFr
     """
     counted = materialize(
         tree_lines(docs, config).groupBy("line", "leaf", "long", "runs", "tokens").agg(
-            F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first")
+            F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first"),
+            F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(doc), 64) as int)))").alias("slots"),
         ),
         "lines-counted",
     )
@@ -107,6 +111,7 @@ def recurring_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFr
     leaves = counted.where("long").groupBy("leaf").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines > 1")
     several = materialize(counted.where("long").join(leaves, "leaf", "left_semi"), "lines-several")
     found = exact.unionByName(same_run_lines(several, config)).unionByName(same_token_lines(several, config))
+    found = found.unionByName(short_lines(counted.where(~F.col("long")), config))
     return found.groupBy("line").agg(F.min("first").alias("first"))
 
 
@@ -156,6 +161,20 @@ def same_token_lines(several: DataFrame, config: TemplateConfig) -> DataFrame:
     return led.unionByName(recurring.withColumnRenamed("leader", "line"))
 
 
+def short_lines(counted: DataFrame, config: TemplateConfig) -> DataFrame:
+    """line and `first` of the short lines that agree with others in all tokens but one.
+
+    Documents are counted by slots, so one document with many lines of a template counts once.
+    """
+    n = F.size("tokens")
+    others = [
+        F.when(n > i, F.xxhash64(n, F.lit(i), F.concat(F.slice("tokens", 1, i), F.slice("tokens", i + 2, config.min_tokens))))
+        for i in range(config.min_tokens - 1)
+    ]
+    members = counted.select("line", "slots", "first", F.explode(F.array_compact(F.array(*others))).alias("key"))
+    return of_groups(members, F.bit_count(F.bit_or("slots")) >= config.short_slots)
+
+
 def of_groups(members: DataFrame, recurs: Column) -> DataFrame:
     """line and the `first` of its groups, of groups (by `key`) of several lines that recur."""
     groups = members.groupBy("key").agg(
