@@ -1,4 +1,5 @@
 import collections
+import zlib
 
 import numpy as np
 import pytest
@@ -6,6 +7,7 @@ import xxhash
 from sentencepiece import SentencePieceProcessor
 
 from tests.llm.helpers import empty_docs, odd_docs, odd_rows
+from tidewire.llm import queries
 from tidewire.llm import segmentation as sg
 
 PATH = sg.DEFAULT.path
@@ -92,3 +94,9 @@ def test_odd_rows_and_round_trip(spark):
     again = sg.sample(docs.repartition(3), sg.SegmentConfig(k=3)).collect()
     assert sorted(map(str, again)) == sorted(map(str, rows))
     assert sg.sample(empty_docs(spark)).count() == 0
+
+
+def test_query_returns_the_encoding(spark):
+    rows = queries.op6_sentencepiece(spark, "/root/testdata/sf0.001").where("doc_id < 20").collect()
+    for r in rows:
+        assert len(r.ids) == r.n_pieces and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32

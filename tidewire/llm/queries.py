@@ -45,7 +45,7 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    return segmentation.sample(table(spark, folder, "documents"), with_ids=False)
+    return segmentation.sample(table(spark, folder, "documents"))
 
 
 def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
