@@ -59,6 +59,14 @@ def test_copies_keep_their_text(spark):
     assert [r.text for r in got] == ["H\nthe same text"]
 
 
+def test_unique_pages_beside_many_copies(spark):
+    page = "<article><h1>{0}</h1><p>text {0}</p><h2>Method</h2>{1}</article>"
+    rows = [(i, "http://copies.example/", page.format("same", "")) for i in range(95)]
+    rows += [(95 + i, "http://copies.example/", page.format(f"own {'x' * i}", "<blockquote>q</blockquote>")) for i in range(5)]
+    got = {r.page_id: r.text for r in hm.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[0] == "same\ntext same\nMethod" and got[97] == "own xx\ntext own xx\nMethod\nq"
+
+
 def test_odd_rows(spark):
     long = "<p>" + " ".join(f"w{i}" for i in range(100_000)) + "</p>"
     rows = [(1, None, "<p>x"), (2, "no url", None), (2, "no url", None), (None, "http://[bad", ""), (3, "http://a/b", long)]

@@ -241,11 +241,15 @@ def blocks(top: Element, removed: set[int]) -> list[str]:
 
 
 def main_text(source: str | None, host: str, low: frozenset[int] = frozenset()) -> str:
-    """The main text of one page. If the low branches were all of it, nothing is removed as low."""
+    """The main text of one page. Inside an article or main element nothing is removed as low.
+
+    If the low branches were all of a page, nothing is removed either.
+    """
     root = parse(source or "")
     removed = low_branches(give_keys(root, host), low) if low else set()
     for gone in (removed, set()):
-        found = [line for top in articles(root) if id(top) not in gone for line in blocks(top, gone)]
+        tops = [top for top in articles(root) if id(top) not in gone]
+        found = [line for top in tops for line in blocks(top, gone if top is root else set())]
         if found or not gone:
             return "\n".join(found)
     return ""
@@ -261,37 +265,42 @@ def own_text(element: Element) -> str:
 
 
 def style_rows(pages: DataFrame) -> DataFrame:
-    """host, key, kind, value: what each page shows of each style node, once per page.
+    """host, key, kind, value: what each page shows of each style node, once per distinct main text of a host.
 
-    kind 0 is the node's presence, 1 its presentation, 2 one of its texts.
+    kind 0 is the node's presence, 1 its presentation, 2 one of its texts. Of copies one page is kept.
     """
 
+    style = pa.struct([("key", pa.int64()), ("kind", pa.int32()), ("value", pa.int64())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            hosts, keys, kinds, values = [], [], [], []
+            hosts, contents, styles = [], [], []
             columns = (batch.column(c).to_pylist() for c in ("host", "html"))
             for host, source in zip(*columns, strict=True):
                 seen = set()
-                for element in give_keys(parse(source or ""), host):
+                root = parse(source or "")
+                text = "\n".join(line for top in articles(root) for line in blocks(top, set()))
+                contents.append(xxhash.xxh3_64_intdigest(text) - 2**63)
+                for element in give_keys(root, host):
                     tags = " ".join(dict.fromkeys(c.tag for c in element.children if isinstance(c, Element)))
                     text = own_text(element)
                     seen.add((element.key, 0, 0))
                     seen.add((element.key, 1, xxhash.xxh3_64_intdigest(tags) - 2**63))
                     if text:
                         seen.add((element.key, 2, xxhash.xxh3_64_intdigest(text) - 2**63))
-                for key, kind, value in seen:
-                    hosts.append(host)
-                    keys.append(key)
-                    kinds.append(kind)
-                    values.append(value)
+                hosts.append(host)
+                styles.append([{"key": k, "kind": kind, "value": v} for k, kind, v in sorted(seen)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(kinds, pa.int32()),
-                 pa.array(values, pa.int64())],
-                ["host", "key", "kind", "value"],
+                [pa.array(hosts, pa.string()), pa.array(contents, pa.int64()), pa.array(styles, pa.list_(style))],
+                ["host", "content", "styles"],
             )
 
     narrow = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string"))
-    return narrow.mapInArrow(run, "host string, key bigint, kind int, value bigint")
+    shown = narrow.mapInArrow(
+        run, "host string, content bigint, styles array<struct<key: bigint, kind: int, value: bigint>>"
+    )
+    once = shown.groupBy("host", "content").agg(F.min("styles").alias("styles"))
+    return once.select("host", F.inline("styles"))
 
 
 def importance(pages: DataFrame) -> DataFrame:
