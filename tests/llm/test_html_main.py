@@ -41,6 +41,14 @@ def test_main_text(source, expected):
     assert hm.main_text(source, "h") == expected
 
 
+def test_teaser_articles_beside_the_main_text():
+    cards = "<article class=card>card one</article><article class=card>card two</article>"
+    text = "<p>the main text of the page is here</p>"
+    for page in (f"<main>{text}{cards}</main>", f"<div>{text}</div>{cards}", f"<main>{text}</main>{cards}"):
+        assert hm.main_text(page, "h").startswith("the main text of the page is here")
+    assert hm.main_text("<main><article><p>a</p></article></main><p>b", "h") == "a"
+
+
 def test_site_style_tree_removes_what_every_page_shows(spark):
     """A box without a telling name, equal on all pages of one host; another host's boxes differ."""
     page = "<div class=wrap><div class=z7>{box}</div><p>text {i} of the page</p></div>"

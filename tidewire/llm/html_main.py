@@ -183,19 +183,39 @@ def is_noise_name(name: str) -> bool:
     return bool(noise) and not words & ABOUT
 
 
-def articles(root: Element) -> list[Element]:
-    """The outermost article elements, else the outermost main elements, else the page."""
-    for wanted in ("article", "main"):
-        found, todo = [], [root]
-        while todo:
-            element = todo.pop()
-            if element.tag == wanted or wanted == "main" and element.role == "main":
-                found.append(element)
-            else:
-                todo += [c for c in reversed(element.children) if isinstance(c, Element) and not is_noise(c, False)]
-        if found:
-            return found
-    return [root]
+def outermost(root: Element, wanted: str) -> list[Element]:
+    """The outermost article or main elements that no noise encloses."""
+    found, todo = [], [root]
+    while todo:
+        element = todo.pop()
+        if element.tag == wanted and not is_noise(element, False) or wanted == "main" and element.role == "main":
+            found.append(element)
+        else:
+            todo += [c for c in reversed(element.children) if isinstance(c, Element) and not is_noise(c, False)]
+    return found
+
+
+def n_words(top: Element, removed: set[int]) -> int:
+    return sum(len(line.split()) for line in blocks(top, removed))
+
+
+def articles(root: Element, removed: frozenset[int] | set[int] = frozenset()) -> list[Element]:
+    """The elements to read: main elements, article elements or the page.
+
+    A main element that has text outside its articles is read whole. Articles with fewer words than the rest of
+    the page, without what is `removed`, are teasers beside the main text: then the whole page is read.
+    """
+    found, mains = outermost(root, "article"), outermost(root, "main")
+    if not found:
+        return mains or [root]
+    own = {id(e) for e in found}
+    if mains:
+        if any(n_words(main, own) for main in mains):
+            return mains
+        return found
+    if n_words(root, own | removed) > sum(n_words(e, set()) for e in found):
+        return [root]
+    return found
 
 
 def low_branches(elements: list[Element], low: frozenset[int]) -> set[int]:
@@ -248,7 +268,7 @@ def main_text(source: str | None, host: str, low: frozenset[int] = frozenset())
     root = parse(source or "")
     removed = low_branches(give_keys(root, host), low) if low else set()
     for gone in (removed, set()):
-        tops = [top for top in articles(root) if id(top) not in gone]
+        tops = [top for top in articles(root, gone) if id(top) not in gone]
         found = [line for top in tops for line in blocks(top, gone if top is root else set())]
         if found or not gone:
             return "\n".join(found)
