@@ -34,6 +34,11 @@ def test_encoders_equal_the_library_on_any_text(text):
     same(text)
 
 
+def test_long_white_space_is_counted():
+    text = "a" + " " * 1_100_000 + "b"
+    assert COUNTER.count(text) == len(BYTES.encode(text, add_special_tokens=False).ids)
+
+
 def test_forgetting_changes_nothing():
     small = WordEncoder(packing.WORD_BPE, limit=5)
     for text in ("one two three four five six", "six seven eight nine", "one two") * 2:

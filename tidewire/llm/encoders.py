@@ -20,6 +20,8 @@ WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 # Up to this code point the letter and digit classes agree in all regular-expression engines.
 PLAIN = regex.compile(r"[^\x00-ɏ]")
+# tiktoken's matcher gives up on runs of about a million white-space characters.
+LONG_BLANK = regex.compile(r"(?<!\s)\s{100000}")
 
 
 def open_tokenizer(path: str) -> Tokenizer:
@@ -58,7 +60,7 @@ class TokenCounter:
     """Number of tokens of a text in a byte-level BPE without normalizer (`byte_bpe_50k.json`).
 
     The merges run in tiktoken, whose ranks are the file's own; texts with characters beyond Latin
-    script go to the tokenizers library itself. Special strings inside a text count as one token.
+    script or very long white space go to the tokenizers library itself. Special strings inside a text count as one token.
     """
 
     def __init__(self, path: str):
@@ -69,7 +71,7 @@ class TokenCounter:
         )
 
     def count(self, text: str) -> int:
-        if PLAIN.search(text):
+        if PLAIN.search(text) or LONG_BLANK.search(text):
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return len(self.fast.encode(text, allowed_special=set(self.special), disallowed_special=()))
 
