@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import chat, html_main, language, line_templates, minhash, packing, quality, segmentation, token_counts, topk
+from tidewire.llm import chat, divergence, html_main, language, line_templates, minhash, packing, quality, segmentation, token_counts, topk
 from tidewire.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,11 +70,15 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_templates.drop_recurring(table(spark, folder, "documents"))
 
 
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_top_k, op3_packing, op4_token_counts, op5_chat_format, op6_sentencepiece,
-        op7_main_text, op8_quality_rules, op9_language_id, op10_line_dedup,
+        op7_main_text, op8_quality_rules, op9_language_id, op10_line_dedup, op13_source_divergence,
     )
 }
 
@@ -134,4 +138,42 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op2_top_k": _OP2, "op8_quality_rules": _OP8}
+_OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+),
+o AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+n AS (SELECT lang, source, term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(total)::HUGEINT AS lang_total FROM kept GROUP BY lang),
+groups AS (
+  SELECT g.lang, g.source, coalesce(l.v, 0) AS v, coalesce(l.lang_total, 0) AS lang_total, coalesce(s.total, 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN langs l USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n)::HUGEINT AS total FROM n GROUP BY ALL) s USING (lang, source)
+),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(n.n, 0) + 2)) // (g.total + 2 * g.v) AS p,
+    1 + (1000000000::HUGEINT * (k.total + 2)) // (g.lang_total + 2 * g.v) AS q
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN n USING (lang, source, term)
+),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL
+),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, cast(coalesce(s.value, 0) AS bigint) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, cast(((p - q) * (p - q)) // (p + q) AS bigint) FROM shares WHERE n > 0 AND p > q
+),
+ranked AS (
+  SELECT *, cast(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS int) AS rank FROM found
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+SQL: dict[str, str] = {"op2_top_k": _OP2, "op8_quality_rules": _OP8, "op13_source_divergence": _OP13}
