@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import chat, divergence, html_main, language, line_templates, minhash, packing, quality, segmentation, token_counts, topk, whitening
+from tidewire.llm import chat, divergence, html_main, language, line_templates, minhash, packing, quality, repeats, segmentation, token_counts, topk, whitening
 from tidewire.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,15 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_templates.drop_recurring(table(spark, folder, "documents"))
 
 
+def op11_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = repeats.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"),
+        (F.octet_length("text") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
 
@@ -82,7 +91,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_top_k, op3_packing, op4_token_counts, op5_chat_format, op6_sentencepiece,
-        op7_main_text, op8_quality_rules, op9_language_id, op10_line_dedup, op12_whitening, op13_source_divergence,
+        op7_main_text, op8_quality_rules, op9_language_id, op10_line_dedup, op11_repeated_passages,
+        op12_whitening, op13_source_divergence,
     )
 }
 
