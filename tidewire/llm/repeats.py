@@ -14,12 +14,13 @@ Spans are compared by 128 bits of hashes, strings in a shard by their bytes.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,11 +35,11 @@ class RepeatConfig:
     shard, and entries that its sort may hold in memory."""
 
     length: int = 100
-    gram: int = 32
+    gram: int = 24
     slice_bytes: int = 1 << 20
     held: int = 1 << 18
     contexts: int = 2048
-    shard_bytes: int = 8 << 20
+    shard_bytes: int = 4 << 20
     memory: int = 1 << 22
 
 
@@ -197,7 +198,7 @@ def judged(marks: DataFrame, config: RepeatConfig) -> DataFrame:
     """Spans that go, and the first spans of anchors that occur in several contexts (`kind` SEARCH)."""
     where = F.struct("id", "h", "place")
     by_anchor = Window.partitionBy("kind", "dealt")
-    seen = marks.withColumn("first", F.min(where).over(Window.partitionBy("kind", "dealt", "span")) == where).withColumns({
+    seen = marks.repartition("kind", "dealt").withColumn("first", F.min(where).over(Window.partitionBy("kind", "dealt", "span")) == where).withColumns({
         "times": F.count(F.lit(1)).over(by_anchor),
         "several": F.min("span").over(by_anchor) != F.max("span").over(by_anchor),
         "contexts": F.count_if("first").over(by_anchor),
@@ -264,13 +265,37 @@ def cut_spans(texts: DataFrame, config: RepeatConfig) -> DataFrame:
     return texts.select("row", "id", "h", "text", "wanted").mapInArrow(run, _SPANS)
 
 
+class Numbers:
+    """Numbers that arrive in parts, in memory up to so many and in a scratch file beyond."""
+
+    def __init__(self, dtype, memory: int):
+        self.dtype, self.memory, self.parts, self.n, self.file = dtype, memory, [], 0, None
+
+    def add(self, part: np.ndarray) -> None:
+        self.parts.append(part)
+        self.n += len(part)
+        if self.file or self.n > self.memory:
+            self.file = self.file or tempfile.TemporaryFile(prefix="repeats-")
+            for held in self.parts:
+                self.file.write(np.ascontiguousarray(held, self.dtype).data)
+            self.parts = []
+
+    def whole(self) -> np.ndarray:
+        if self.file is None:
+            return np.concatenate(self.parts)
+        self.file.flush()
+        return np.memmap(self.file, self.dtype, "r", shape=(self.n,))
+
+
 class Shard:
-    """The spans of a shard in the order of their places, one after another on disk, a separator behind each."""
+    """The spans of a shard in the order of their places, one after another, a separator behind each.
+
+    What exceeds the memory of the sort goes to scratch files.
+    """
 
     def __init__(self, config: RepeatConfig):
-        self.config, self.size, self.rows = config, 0, 0
-        self.file, self.table = suffixes.tempfile.TemporaryFile(prefix="repeats-"), suffixes.tempfile.TemporaryFile(prefix="repeats-")
-        self.last = None
+        self.config, self.size, self.rows, self.last = config, 0, 0, None
+        self.text, self.table = Numbers(np.uint16, config.memory), Numbers(np.int64, config.memory)
 
     def add(self, ids, hs, places, strings: pa.Array) -> None:
         """Spans in order; a span that the row before has, too, is left out."""
@@ -286,8 +311,8 @@ class Shard:
         # 1 separates, bytes follow from 2 on.
         text = np.insert(data.astype(np.uint16) + 2, ends, 1)
         starts = np.append(0, ends[:-1]) + np.arange(len(ends)) + self.size
-        self.file.write(text.data)
-        np.concatenate([starts[:, None], key[new]], axis=1).astype(np.int64).tofile(self.table)
+        self.text.add(text)
+        self.table.add(np.concatenate([starts[:, None], key[new]], axis=1).astype(np.int64).ravel())
         self.size += len(text)
         self.rows += len(ends)
 
@@ -296,11 +321,8 @@ class Shard:
         if not self.rows:
             return
         config = self.config
-        self.file.write(np.zeros(config.length + 1, np.uint16).data)
-        self.file.flush()
-        self.table.flush()
-        data = np.memmap(self.file, np.uint16, "r", shape=(self.size + 1 + config.length,))
-        table = np.memmap(self.table, np.int64, "r", shape=(self.rows, 4))
+        self.text.add(np.zeros(config.length + 1, np.uint16))
+        data, table = self.text.whole(), self.table.whole().reshape(self.rows, 4)
         starts, places = np.array(table[:, 0]), table[:, 3]
         n = self.size + 1
         block = suffixes.BLOCK
@@ -361,13 +383,19 @@ def search(cut: DataFrame, config: RepeatConfig) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """row (the columns but the text), text ('' for NULL), and the place of the document among all: id, h."""
+    """row (the columns but the text), text ('' for NULL), and the place of the document among all: id, h.
+
+    A hash of the text, h, orders documents that share an id or have none. Where every id is there and occurs
+    once, nothing is left to order, and 0 in its place shuffles in fewer bytes.
+    """
+    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col("doc_id").isNull())
+    plain = shared.limit(1).count() == 0
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         F.struct(*others).alias("row"),
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1)).alias("id"),
-        F.xxhash64(text, F.col("doc_id").isNull()).alias("h"), text.alias("text"),
+        (F.lit(0).cast("bigint") if plain else F.xxhash64(text, F.col("doc_id").isNull())).alias("h"), text.alias("text"),
     )
 
 

@@ -25,10 +25,10 @@ BLOCK = 1 << 16
 FAR = np.iinfo(np.int64).max
 
 
-def scratch(n: int, dtype) -> np.ndarray:
-    """An array of zeros in a scratch file."""
-    if n == 0:
-        return np.zeros(0, dtype)
+def scratch(n: int, dtype, memory: int = 0) -> np.ndarray:
+    """An array of zeros, in a scratch file if it has more than `memory` entries."""
+    if n <= memory:
+        return np.zeros(n, dtype)
     file = tempfile.TemporaryFile(prefix="suffixes-")
     file.truncate(n * np.dtype(dtype).itemsize)
     return np.memmap(file, dtype, "r+", shape=(n,))
@@ -42,10 +42,11 @@ class Spill:
     """Parts of entries, written one after another to a scratch file."""
 
     def __init__(self):
-        self.file = tempfile.TemporaryFile(prefix="suffixes-")
+        self.file = None
         self.end = 0
 
     def put(self, part: Entries) -> list[tuple[int, int, np.dtype]]:
+        self.file = self.file or tempfile.TemporaryFile(prefix="suffixes-")
         self.file.seek(self.end)
         refs = []
         for column in part:
@@ -247,7 +248,7 @@ class Text:
         """
         if self.symbols <= 1 << 10:
             return np.arange(2 * self.symbols, dtype=np.int64)
-        counts = scratch(self.symbols, np.int64)
+        counts = scratch(self.symbols, np.int64, memory)
         for i in range(0, self.n, BLOCK):
             found, n = np.unique(self.data[i : min(i + BLOCK, self.n)], return_counts=True)
             counts[found] += n
@@ -260,9 +261,9 @@ class Text:
         return np.unique(np.concatenate([2 * symbols, 2 * heavy + 1])).astype(np.int64)
 
 
-def turns(text: Text) -> np.ndarray:
+def turns(text: Text, memory: int) -> np.ndarray:
     """The positions whose suffix is smaller than the next one and whose predecessor's is larger, in text order."""
-    rising = scratch(text.n, np.bool_)
+    rising = scratch(text.n, np.bool_, 4 * memory)
     carry = True
     for end in range(text.n, 0, -BLOCK):
         start = max(0, end - BLOCK)
@@ -282,7 +283,7 @@ def turns(text: Text) -> np.ndarray:
         up = rising[start - 1 : min(start + BLOCK, text.n)]
         found.append(np.flatnonzero(up[1:] & ~up[:-1]) + start)
     n = sum(map(len, found))
-    out = scratch(n, np.int64)
+    out = scratch(n, np.int64, memory)
     if n:
         np.concatenate(found, out=out)
     return out
@@ -295,7 +296,7 @@ def names(text: Text, at: np.ndarray, memory: int) -> tuple[np.ndarray, bool]:
     those that are still equal and have not ended go on.
     """
     m = len(at)
-    name = scratch(m, np.int64)
+    name = scratch(m, np.int64, memory)
     unique = True
 
     def chunks(number: int, members) -> Iterator[Entries]:
@@ -497,7 +498,7 @@ def induce(text: Text, queue: Queue, down: bool, prefixes: Prefixes | None) -> I
 
 def order(text: Text, memory: int) -> np.ndarray:
     """The positions of all suffixes, the smallest first."""
-    out, place = scratch(text.n, np.int64), text.n
+    out, place = scratch(text.n, np.int64, memory), text.n
     for pos, _ in descending(text, memory, 0):
         out[place - len(pos) : place] = pos[::-1]
         place -= len(pos)
@@ -507,11 +508,11 @@ def order(text: Text, memory: int) -> np.ndarray:
 
 def sorted_turns(text: Text, memory: int) -> np.ndarray:
     """The turns of a text by their suffixes."""
-    at = turns(text)
+    at = turns(text, memory)
     m = len(at)
     name, unique = names(text, at, memory)
     if unique:
-        by = scratch(m, np.int64)
+        by = scratch(m, np.int64, memory)
         for i in range(0, m, BLOCK):
             by[name[i : i + BLOCK]] = np.arange(i, min(i + BLOCK, m))
     elif m <= memory:
@@ -519,7 +520,7 @@ def sorted_turns(text: Text, memory: int) -> np.ndarray:
     else:
         # The last turn is the end, the smallest of all: its number is 0 and no other's.
         by = order(Text(name, m, 31, m), memory)
-    out = scratch(m, np.int64)
+    out = scratch(m, np.int64, memory)
     for i in range(0, m, BLOCK):
         out[i : i + BLOCK] = at[by[i : i + BLOCK]]
     return out
@@ -540,16 +541,19 @@ def descending(text: Text, memory: int, cap: int) -> Iterator[tuple[np.ndarray,
         if cap:
             lcp = text.common(pos, np.array(seeds[max(i - 1, 0) : i + len(pos) - 1]) if i else np.append(pos[:1], pos[:-1]), cap)
         up.push((2 * text.data[pos].astype(np.int64) + 1, pos, lcp, np.zeros(len(pos), np.int64)))
-    larger, refs = Spill(), []
+    larger, parts, held = Spill(), [], 0
     for key, pos, lcp, left in induce(text, up, False, Prefixes(text, cap) if cap else None):
         even = key & 1 == 0
         if even.any():
-            refs.append(larger.put((key[even], pos[even], lcp[even], left[even])))
+            part = (key[even], pos[even], lcp[even], left[even])
+            held += len(part[0])
+            parts.append(part if held <= memory else larger.put(part))
     del up, seeds
     down = Queue(np.sort(1 - np.append(starts[1:], stop)), 1, memory)
     follows = 0
-    for ref in reversed(refs):
-        key, pos, lcp, left = (c[::-1] for c in larger.get(ref))
+    while parts:
+        part = parts.pop()
+        key, pos, lcp, left = (c[::-1] for c in (part if isinstance(part, tuple) else larger.get(part)))
         down.push((-key, pos, np.append(np.uint8(follows), lcp[:-1]), left))
         follows = lcp[-1]
     del larger
