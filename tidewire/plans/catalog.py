@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from tidewire.plans.inputs import Inputs
 from tidewire.schemas import FEATURES
 from tidewire.session import materialize, work_dir
 from tidewire.sources import envelopes, feeds, store, tables
+from tidewire.streaming import intake
 from tidewire.streaming import news as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -638,21 +640,28 @@ def _phrase_classifier():
     return classify
 
 
-@query
-def pipeline_from_envelopes(i: Inputs) -> DataFrame:
-    """The whole job from landed envelopes: written as files, read, ordered by feed, cleaned, aggregated."""
-    path = work_dir(i.spark, "landed")
+def _envelopes(raw: DataFrame) -> DataFrame:
+    """Envelopes of up to 50 entries of one feed, with the number of the part of the feed."""
     name = F.concat(F.lit("feed"), F.col("feed_ord").cast("string"))
     article = F.struct("title", "content", "url", name.alias("source"), "raw_published_at")
-    packed = i.raw().groupBy("feed_ord", F.floor(F.col("entry_ord") / 50).alias("part")).agg(
+    packed = raw.groupBy("feed_ord", F.floor(F.col("entry_ord") / 50).alias("part")).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("entry_ord", article.alias("a")))), lambda x: x["a"])
         .alias("articles")
     )
-    envelopes.write_envelopes(packed.withColumn("ingestion_time", F.lit("2024-02-01T00:00:00Z")), path)
-    feeds_known = i.spark.range(7).select(
-        F.concat(F.lit("feed"), F.col("id").cast("string")).alias("source"), F.col("id").alias("feed_ord")
-    )
-    landed = envelopes.with_feed_order(envelopes.read_envelopes(i.spark, path, one_per_file=False), feeds_known)
+    return packed.withColumn("ingestion_time", F.lit("2024-02-01T00:00:00Z"))
+
+
+def _feeds_known(i: Inputs) -> DataFrame:
+    name = F.concat(F.lit("feed"), F.col("id").cast("string"))
+    return i.spark.range(7).select(name.alias("source"), F.col("id").alias("feed_ord"))
+
+
+@query
+def pipeline_from_envelopes(i: Inputs) -> DataFrame:
+    """The whole job from landed envelopes: written as files, read, ordered by feed, cleaned, aggregated."""
+    path = work_dir(i.spark, "landed")
+    envelopes.write_envelopes(_envelopes(i.raw()), path)
+    landed = envelopes.with_feed_order(envelopes.read_envelopes(i.spark, path, one_per_file=False), _feeds_known(i))
     return longs(rounded(hourly.hourly_features(
         landed.drop("path"), i.view(inp.VERDICTS_BY_ID), i.candles(), i.macro(), i.snapshots(), inp.SYMBOL, _config()
     )))
@@ -712,9 +721,7 @@ def features_json(i: Inputs) -> DataFrame:
 
 def _article_stream(i: Inputs) -> DataFrame:
     """`documents` as a file stream of cleaned articles that reaches us over two feeds."""
-    landed = stream.read_table_stream(
-        i.spark, i.folder, "documents.parquet", i.table("documents").schema
-    )
+    landed = stream.read_table_stream(i.spark, f"{i.folder}/documents.parquet", i.table("documents").schema)
     articles = i.view(inp.articles_sql(twins=False), documents=landed)
     number = F.col("doc_id") % 3
     judged = articles.withColumn("is_noise", F.when(number != 0, number == 1))
@@ -742,3 +749,61 @@ def stream_window_features(i: Inputs) -> DataFrame:
         "avg_impact", "has_hack", "regulation_count", "btc_mentions", "avg_source_weight",
         "sentiment_momentum",
     ))
+
+
+def _stopped_and_restarted(i: Inputs, files: int, **options) -> intake.Intake:
+    """All documents as envelopes in 20 files: a stream takes the first half, stops, and goes on with the rest."""
+    landed, tables, checkpoint = (work_dir(i.spark, f"intake-{n}") for n in ("landed", "tables", "checkpoint"))
+    packed = materialize(_envelopes(i.raw()), "envelopes")
+    for half in range(2):
+        part = packed.where(F.col("part") % 2 == half).select("ingestion_time", "articles")
+        part.repartition(10).write.mode("append").json(landed)
+        taken = intake.Intake(i.spark, tables, timedelta(days=365), _feeds_known(i))
+        intake.run_intake(
+            taken, landed, checkpoint, one_per_file=False, max_files=files, **options
+        ).awaitTermination()
+    return taken
+
+
+@query
+def stream_intake(i: Inputs) -> DataFrame:
+    """The surviving articles after several batches and a restart: those of the batch job."""
+    return longs(_stopped_and_restarted(i, 5).survivors().select(
+        "window_start", "id", "feed_ord", "url", "title", "content_hash"
+    ))
+
+
+@query
+def stream_survivor_features(i: Inputs) -> DataFrame:
+    """Hours kept up to date batch by batch while earlier copies of articles still arrive."""
+    table = store.FeatureStore(i.spark, work_dir(i.spark, "intake-features"))
+    _stopped_and_restarted(i, 10, store=table, verdicts=i.view(inp.VERDICTS_BY_ID))
+    return longs(table.read().select(
+        "window_start", "article_count", "total_raw", "noise_ratio", "avg_sentiment", "sentiment_std",
+        "avg_impact", "has_hack", "regulation_count", "btc_mentions", "avg_source_weight",
+        "sentiment_momentum",
+    ))
+
+
+def _in_slices(i: Inputs) -> intake.Intake:
+    """Six batches, each a sixth of the documents, with articles up to 30 days apart and 20 days of patience."""
+    landed, tables, checkpoint = (work_dir(i.spark, f"slices-{n}") for n in ("landed", "tables", "checkpoint"))
+    raw = i.raw()
+    for number in range(6):
+        part = _envelopes(raw.where(F.col("doc_id") % 6 == number)).select("ingestion_time", "articles")
+        part.write.mode("append").json(landed)
+        taken = intake.Intake(i.spark, tables, timedelta(days=20), _feeds_known(i))
+        intake.run_intake(taken, landed, checkpoint, one_per_file=False).awaitTermination()
+    return taken
+
+
+@query
+def stream_accounts(i: Inputs) -> DataFrame:
+    """Where the rows of each batch went: first copies, further copies, late and rejected ones."""
+    return _in_slices(i).accounts()
+
+
+@query
+def stream_late_rows(i: Inputs) -> DataFrame:
+    late = _in_slices(i).rows(intake.LATE)
+    return late.select("batch", "id", "published_at", "title")

@@ -651,3 +651,33 @@ SELECT window_start, article_count, total_raw, noise_ratio, avg_sentiment, senti
   coalesce({rd('avg_sentiment - lag(avg_sentiment) OVER (ORDER BY window_start)', 4)}, 0.0)
     AS sentiment_momentum
 FROM features""")
+
+
+_FIRST = dict(_JOB)["first_articles"]
+SQL["stream_intake"] = with_(ARTICLES, RAW, NORMAL, ("first_articles", _FIRST), last="""
+SELECT window_start, id, CAST(feed_ord AS BIGINT) AS feed_ord, url, title, content_hash FROM first_articles""")
+SQL["stream_survivor_features"] = with_(*_JOB, last=f"""
+SELECT window_start, article_count, total_raw, noise_ratio, avg_sentiment, sentiment_std, avg_impact,
+  has_hack, regulation_count, btc_mentions, avg_source_weight,
+  coalesce({rd('avg_sentiment - lag(avg_sentiment) OVER (ORDER BY window_start)', 4)}, 0.0)
+    AS sentiment_momentum
+FROM features""")
+_SLICES = (
+    ARTICLES, RAW,
+    ("newest", """
+      SELECT doc_id % 6 AS batch, max(published_at) FILTER (error IS NULL) AS newest FROM raw GROUP BY ALL"""),
+    ("marks", "SELECT b.batch, max(a.newest) - INTERVAL 20 DAY AS mark FROM newest b LEFT JOIN newest a ON a.batch < b.batch GROUP BY ALL"),
+    ("dealt", """
+      SELECT r.*, m.batch, CASE WHEN error IS NOT NULL THEN 'rejected' WHEN published_at < mark THEN 'late' ELSE 'accepted' END AS outcome
+      FROM raw r JOIN marks m ON r.doc_id % 6 = m.batch"""),
+    ("placed", """
+      SELECT *, outcome = 'accepted' AND row_number() OVER (PARTITION BY outcome, window_start, id ORDER BY feed_ord, entry_ord) = 1
+        AS first FROM dealt"""),
+)
+SQL["stream_accounts"] = with_(*_SLICES, last="""
+SELECT batch, count(*) AS read, count(*) FILTER (outcome = 'late') AS late,
+  count(*) FILTER (outcome = 'rejected') AS rejected, count(*) FILTER (first) AS first,
+  count(*) FILTER (outcome = 'accepted' AND NOT first) AS copies
+FROM placed GROUP BY batch""")
+SQL["stream_late_rows"] = with_(*_SLICES, last="""
+SELECT batch, id, published_at, full_title AS title FROM dealt WHERE outcome = 'late'""")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewire.functions.basics import bind
 from tidewire.functions.dates import parse_date
@@ -53,6 +54,41 @@ def repair_rows(elements: DataFrame, column: str = "element") -> DataFrame:
     )
 
 
+_UNREADABLE = "_unreadable"
+
+
+def article_rows(bodies: DataFrame, column: str = "body") -> DataFrame:
+    """Every element of every body with its article columns; what cannot be read is kept with a reason.
+
+    Adds `ingestion_time`, `entry_ord`, the article columns, `error` and `origin`. A body that is no
+    envelope or list, one without elements and an element that is no article give one row each, with their text in
+    `origin`; readable rows have a NULL `error`. So no body goes missing, and the rows with and without an error come
+    from one pass.
+    """
+    kept = [c for c in bodies.columns if c != column]
+    text = strip(F.col(column))
+    shape = StructType([*ENVELOPE, StructField(_UNREADABLE, StringType())])
+    options = {"columnNameOfCorruptRecord": _UNREADABLE}
+    as_list = F.from_json(F.concat(F.lit('{"articles":'), text, F.lit("}")), shape, options)
+    envelope = F.when(text.startswith("["), as_list).otherwise(F.from_json(text, shape, options))
+    read = bodies.select(*kept, F.col(column).alias("_body"), envelope.alias("_e"))
+    elements = F.when(F.size("_e.articles") > 0, F.col("_e.articles"))
+    opened = read.select(
+        *kept, "_body", F.col("_e").alias("_e"), parse_date(F.col("_e.ingestion_time")).alias("ingestion_time"),
+        F.posexplode_outer(elements).alias("entry_ord", "_element"),
+    )
+    opened = opened.select("*", bind(F.col("_element"), as_article).alias("_a"))
+    error = (
+        F.when(F.col("_e").isNull() | F.col(f"_e.{_UNREADABLE}").isNotNull(), "unreadable envelope")
+        .when(F.col("entry_ord").isNull(), "no articles")
+        .when(F.col("_a").isNull(), "unreadable article")
+    )
+    origin = F.when(F.col("entry_ord").isNull(), F.col("_body")).when(F.col("_a").isNull(), F.col("_element"))
+    return opened.select(
+        *kept, "ingestion_time", "entry_ord", "_a.*", error.alias("error"), origin.alias("origin")
+    )
+
+
 def read_envelopes(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
     """Article rows of all envelopes under a path; a path that does not exist gives no rows."""
     try:

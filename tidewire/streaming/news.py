@@ -26,14 +26,32 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"event-time streams need spark.sql.session.timeZone=UTC, not {zone}")
 
 
-def read_envelope_stream(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
+def body_stream(spark: SparkSession, path: str, one_per_file: bool = True, max_files: int | None = None) -> DataFrame:
+    """(path, body) of documents as they land in a folder, at most `max_files` files a batch."""
+    reader = spark.readStream if max_files is None else spark.readStream.option("maxFilesPerTrigger", max_files)
+    return reader.text(path, wholetext=one_per_file).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("body")
+    )
+
+
+def read_envelope_stream(
+    spark: SparkSession, path: str, one_per_file: bool = True, max_files: int | None = None
+) -> DataFrame:
     """Raw article rows of envelopes as they land in a folder."""
-    bodies = spark.readStream.text(path, wholetext=one_per_file)
-    return repair_rows(parse_envelopes(bodies.select(F.col("value").alias("body"))))
+    return repair_rows(parse_envelopes(body_stream(spark, path, one_per_file, max_files).drop("path")))
+
 
+def read_table_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
+    """The rows of a Parquet table and of the files that land in it.
 
-def read_table_stream(spark: SparkSession, folder: str, file_glob: str, schema: StructType) -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(folder)
+    The table may be a folder or one file. A file stream takes folders only, unless its path is a pattern; so the
+    last character is written as one.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    path = path.rstrip("/")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def first_arrivals(cleaned: DataFrame, delay: str, salts: int = 16) -> DataFrame:
