@@ -1,6 +1,9 @@
 import collections
+import random
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.helpers import DOCS, empty_docs, odd_docs, odd_rows
 from tests.llm.test_tokens import check_packing
@@ -14,20 +17,45 @@ def masked(line):
     return re.sub("[0-9]+", "<*>", line).strip(" \t\x0b\x0c\r")
 
 
+def known(line):
+    """The line as it is compared, and its number of words."""
+    words = len(WORD.findall(masked(line))) - masked(line).count("<*>")
+    return (masked(line) if words >= 8 else line.strip(" \t\x0b\x0c\r")), words
+
+
 def brute(texts):
     """Texts without lines that recur as they are; what templates add is on top of this."""
     homes = collections.defaultdict(set)
     for i, text in texts.items():
         for line in (text or "").split("\n"):
-            homes[masked(line)].add(i)
+            homes[known(line)[0]].add(i)
 
     def goes(line, i):
-        n, found = len(WORD.findall(masked(line))), homes[masked(line)]
-        return n >= 3 and len(found) >= (2 if n >= 8 else 20) and min(found) != i
+        line, words = known(line)
+        found = homes[line]
+        enough = 2 if len(WORD.findall(line)) >= 8 else 20 if words >= 3 else len(texts) + 1
+        return len(found) >= enough and min(found) != i
 
     return {i: [x for x in (t or "").split("\n") if not goes(x, i)] for i, t in texts.items()}
 
 
+def template_partners(lines, same_tokens=0.8, depth=4, least=8):
+    """By all pairs of a leaf: the lines with another that shares so many tokens and so many words behind the leaf's."""
+    leaves = collections.defaultdict(list)
+    for line in lines:
+        tokens = WORD.findall(line)
+        if len(tokens) - line.count("<*>") >= 8:
+            leaves[len(tokens), *tokens[:depth]].append((line, tokens))
+    out = set()
+    for members in leaves.values():
+        for k, (a, x) in enumerate(members):
+            for b, y in members[:k]:
+                same = sum(p == q for p, q in zip(x, y, strict=True))
+                if same >= same_tokens * len(x) and same - depth - max(a.count("<*>"), b.count("<*>")) >= least:
+                    out |= {a, b}
+    return out
+
+
 def test_recurring_lines_go(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
@@ -90,6 +118,63 @@ def test_short_lines_are_generalised(spark):
     assert [i for i, n in sorted(got.items()) if not n] == [0, 100, 101]
 
 
+def dropped(spark, rows):
+    return {r.doc_id: r.n_dropped for r in lt.drop_recurring(spark.createDataFrame(rows, DOCS)).collect()}
+
+
+def test_lines_that_agree_by_chance_stay(spark):
+    """Prose with a common beginning, rows of numbers, and lines of few words around numbers."""
+    lines = [
+        "She said that she would like to leave now", "She said that she could like to stay now",
+        "She said that she would love to leave here", "1 2 3 4 5 6 7 8", "9 10 11 12 13 14 15 16",
+        "on 3 of 7 at 9 by 11 and 13 to 15", "on 4 of 8 at 1 by 12 and 14 to 16",
+        "It was said at the time that nothing could be done about the old mill by the river",
+        "It was said at the time that everybody would come down to the new bridge in May",
+    ]
+    assert set(dropped(spark, [(i, x, "en", "s", 1) for i, x in enumerate(lines)]).values()) == {0}
+
+
+def test_planted_templates_go_and_prose_stays(spark):
+    """60 templates with a word or two that vary, each in three documents, among 600 lines of prose."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 7)))
+    common = [word() for _ in range(40)]
+    planted, rows = [], []
+    for _ in range(60):
+        n = rng.randint(15, 40)
+        frame, free = [word() for _ in range(n)], rng.sample(range(4, n), rng.randint(1, 2))
+        for _ in range(3):
+            planted.append(" ".join(word() + "x" if k in free else w for k, w in enumerate(frame)))
+    prose = [" ".join(rng.choices(common, k=rng.randint(8, 20))) for _ in range(600)]
+    rows = [(i, x, "en", "s", 1) for i, x in enumerate(planted + prose)]
+    gone = dropped(spark, rows)
+    hit = sum(gone[i] for i in range(180))
+    assert hit >= 0.9 * 120 and all(gone[3 * k] == 0 for k in range(60))
+    assert sum(gone[i] for i in range(180, 780)) == 0
+
+
+def test_similar_lines_against_all_pairs(spark):
+    """On the given table and on lines made to have unlike partners: recall of same-token lines at least 0.9."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=5))
+    chains = []
+    for _ in range(30):
+        tokens = [word() for _ in range(30)]
+        for _ in range(12):
+            # Each line of a chain is like its neighbours only; the leaf's tokens stay.
+            tokens = list(tokens)
+            for k in rng.sample(range(4, 30), 4):
+                tokens[k] = word()
+            chains.append(" ".join(tokens))
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    for rows in ([(i, x) for i, x in enumerate(chains)], docs):
+        expected = template_partners({known(x)[0] for _, t in rows for x in (t or "").split("\n")})
+        table = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+        lines = spark.createDataFrame([(x,) for x in sorted(expected)], "text string").select(F.xxhash64("text").alias("line"))
+        found = lt.recurring_lines(table).join(lines, "line", "left_semi").count()
+        assert found >= 0.9 * len(expected), (found, len(expected))
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark, "n_lines", "line", "first")
     rows = lt.drop_recurring(docs).collect()

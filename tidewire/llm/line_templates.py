@@ -3,8 +3,12 @@
 Numbers in a line are masked, then the line goes down a tree of fixed depth: its token count, then its
 first `depth` tokens. Lines in one leaf are compared in EIGHT equal runs of tokens: lines that share most
 runs are of one template, the others are its variable fields; a leaf holds any number of templates. So are
-lines that share most tokens, wherever the others stand. A template seen in enough documents recurs; it stays in the document with the smallest doc_id and is
-dropped elsewhere.
+lines that share most tokens, wherever the others stand. A template seen in enough documents recurs; it stays
+in the document with the smallest doc_id and is dropped elsewhere.
+
+How many documents are enough depends on what the lines have in common. Only words count, tokens
+without a masked number; where lines differ, only words behind the tokens that the leaf has fixed
+anyway. Eight words that agree do so in two documents for a reason, fewer have to be found in many.
 """
 
 from __future__ import annotations
@@ -27,12 +31,14 @@ LAST = 2**63 - 1
 class TemplateConfig:
     """Depth of the tree and what counts as recurring.
 
-    Lines of `min_tokens` and more recur from `min_docs` documents on and are generalised: lines of a leaf
+    Lines of `min_tokens` words and more recur from `min_docs` documents on and are generalised: lines of a leaf
     fit one template if `same_runs` of their eight runs agree, or the share `same_tokens` of all tokens:
-    of two lines of 20 tokens or more that do, one in 40,000 at most shares none of the `bands`. Shorter lines, down to
-    `short_tokens`, occur by chance; as they are they recur from `short_docs` documents on. Those that agree
-    in all tokens but one are of one template, which recurs if the documents fill `short_slots` of 64 slots
-    by their hash: that takes at least as many documents, 44 on average. Still shorter lines stay.
+    of two lines of 20 tokens or more that do, one in 40,000 at most shares none of the `bands`. The template needs `min_tokens`
+    constant words behind the leaf's tokens. Lines of fewer words recur as they are, with their numbers: those of
+    `min_tokens` tokens from `min_docs` documents on, those of `short_tokens` words from `short_docs` on. Templates of
+    fewer constants, `short_tokens` at least, occur by chance, also those of lines that agree in all but their
+    numbers, or of short ones that agree in all tokens but one: they recur if their documents fill `short_slots` of 64
+    slots by their hash, which takes at least as many documents, 44 on average. Still shorter lines stay.
     """
 
     depth: int = 4
@@ -52,10 +58,29 @@ NUMBER = r"[0-9]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
-def masked_lines(text: Column) -> Column:
-    """The lines of a text with numbers masked and outer blanks cut."""
-    blanks = " \t\x0b\x0c\r"
-    return F.transform(F.split(F.regexp_replace(text, NUMBER, "<*>"), "\n"), lambda x: F.btrim(x, F.lit(blanks)))
+def masked(text: Column) -> Column:
+    return F.regexp_replace(text, NUMBER, "<*>")
+
+
+def masks_in(line: Column) -> Column:
+    """How many masked numbers a line holds."""
+    return ((F.length(line) - F.length(F.replace(line, F.lit("<*>"), F.lit("")))) / 3).cast("int")
+
+
+def known_lines(text: Column, config: TemplateConfig) -> Column:
+    """The lines of a text, outer blanks cut, in the form in which they are compared.
+
+    Numbers are masked where `min_tokens` words are left beside them; a line that is mostly numbers is itself.
+    """
+    blanks = F.lit(" \t\x0b\x0c\r")
+
+    def form(mask: Column, line: Column) -> Column:
+        words = F.size(F.split(F.btrim(mask, blanks), BLANKS)) - masks_in(mask)
+        return F.when(F.contains(mask, F.lit("<*>")) & (words < config.min_tokens), F.btrim(line, blanks)).otherwise(
+            F.btrim(mask, blanks)
+        )
+
+    return F.zip_with(F.split(masked(text), "\n"), F.split(text, "\n"), form)
 
 
 def runs_of(tokens: Column, n: Column) -> Column:
@@ -74,82 +99,109 @@ def token_hashes(tokens: Column) -> Column:
     return F.transform(tokens, lambda x: F.hash(x).bitwiseAND(F.lit(2**15 - 1)).cast("smallint"))
 
 
-def tree_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFrame:
-    """Each document's distinct masked lines: doc, line (hash), leaf (hash), long, runs, tokens (hashes)."""
+def counted_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFrame:
+    """Every distinct line that may recur: its documents, tokens and place in the tree.
+
+    text, line (hash), n (tokens), masks (numbers), leaf (hash, NULL for lines that are no part of the tree), n_docs,
+    first (the smallest doc_id) and slots. Lines are counted before anything is derived from them, so a line that a
+    third of all rows share arrives as one row per task.
+    """
     each = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"),
-        F.explode(F.array_distinct(masked_lines(F.col("text")))).alias("masked"),
+        F.explode(F.array_distinct(known_lines(F.col("text"), config))).alias("text"),
+    )
+    counted = each.where(F.length("text") >= 2 * config.short_tokens - 1).groupBy("text").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first"),
+        F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(doc), 64) as int)))").alias("slots"),
     )
-    cut = each.where(F.length("masked") >= 2 * config.short_tokens - 1).withColumn(
-        "tokens", F.split("masked", BLANKS)
-    ).withColumn("n", F.size("tokens"))
-    long = F.col("n") >= config.min_tokens
-    line = F.xxhash64("masked")
-    return cut.where(F.col("n") >= config.short_tokens).select(
-        "doc", line.alias("line"), long.alias("long"),
-        F.when(long, F.xxhash64("n", F.slice("tokens", 1, config.depth))).otherwise(line).alias("leaf"),
-        F.when(long, runs_of(F.col("tokens"), F.col("n"))).otherwise(F.lit(0)).alias("runs"),
-        token_hashes(F.col("tokens")).alias("tokens"),
+    shaped = counted.withColumn("tokens", F.split("text", BLANKS)).withColumns({
+        "n": F.size("tokens"), "masks": masks_in(masked(F.col("text"))),
+    })
+    words = F.col("n") - F.col("masks")
+    return shaped.where((words >= config.short_tokens) | (F.col("n") >= config.min_tokens)).select(
+        "text", F.xxhash64("text").alias("line"), "n", "masks",
+        F.when(words >= config.min_tokens, F.xxhash64("n", F.slice("tokens", 1, config.depth))).alias("leaf"),
+        "n_docs", "first", "slots",
     )
 
 
 def recurring_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFrame:
-    """line (hash of a masked line) and `first`, the smallest doc_id its template occurs in.
+    """line (hash of a line as compared) and `first`, the smallest doc_id its template occurs in.
 
-    Lines are counted before anything else moves, so a line or leaf that a third of all rows share
-    arrives as one row per task. Only leaves with several different lines are generalised.
+    Only lines of leaves with several different lines are cut into tokens and compared.
     """
-    counted = materialize(
-        tree_lines(docs, config).groupBy("line", "leaf", "long", "runs", "tokens").agg(
-            F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first"),
-            F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(doc), 64) as int)))").alias("slots"),
-        ),
-        "lines-counted",
+    counted = materialize(counted_lines(docs, config), "lines-counted")
+    long = F.col("leaf").isNotNull()
+    enough = F.when(F.col("n") >= config.min_tokens, config.min_docs).otherwise(config.short_docs)
+    exact = counted.where(F.col("n_docs") >= enough)
+    leaves = counted.where(long).groupBy("leaf").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines > 1")
+    tokens = F.split("text", BLANKS)
+    several = counted.where(long).join(leaves, "leaf", "left_semi").withColumn("tokens", tokens).select(
+        "line", "leaf", "n", "masks", "n_docs", "first", "slots",
+        runs_of(F.col("tokens"), F.col("n")).alias("runs"), token_hashes(F.col("tokens")).alias("tokens"),
     )
-    enough = F.when(F.col("long"), config.min_docs).otherwise(config.short_docs)
-    exact = counted.where(F.col("n_docs") >= enough).select("line", "first")
-    leaves = counted.where("long").groupBy("leaf").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines > 1")
-    several = materialize(counted.where("long").join(leaves, "leaf", "left_semi"), "lines-several")
-    found = exact.unionByName(same_run_lines(several, config)).unionByName(same_token_lines(several, config))
-    found = found.unionByName(short_lines(counted.where(~F.col("long")), config))
+    several = materialize(several, "lines-several")
+    few = counted.where(~long & (F.col("n") - F.col("masks") >= config.short_tokens)).withColumn("tokens", token_hashes(tokens))
+    found = exact.select("line", "first").unionByName(same_run_lines(several, config))
+    found = found.unionByName(same_token_lines(several, config)).unionByName(short_lines(few, config))
     return found.groupBy("line").agg(F.min("first").alias("first"))
 
 
+def by_constants(constants: Column, config: TemplateConfig) -> Column:
+    """Whether a group of lines recurs whose template has so many constant words behind the leaf's tokens."""
+    many = F.bit_count(F.bit_or("slots")) >= config.short_slots
+    return ((constants >= config.min_tokens) & (F.sum("n_docs") >= config.min_docs)) | many
+
+
 def same_run_lines(several: DataFrame, config: TemplateConfig) -> DataFrame:
     """line and `first` of the lines that agree with others of their leaf in `same_runs` of the eight runs.
 
-    Each choice of that many runs, with what they hold, is a template; a leaf may have any number.
+    Each choice of that many runs, with what they hold, is a template; a leaf may have any number. Its constants are the
+    tokens of these runs behind the leaf's, without as many as the line has masks. Choices with fewer than
+    `short_tokens` constants are none.
     """
-    masks = [sum(255 << 8 * i for i in choice) for choice in combinations(range(EIGHT), config.same_runs)]
-    signed = [m - 2**64 if m >= 2**63 else m for m in masks]
-    keys = F.array(*[F.xxhash64("leaf", F.lit(m), F.col("runs").bitwiseAND(F.lit(m))) for m in signed])
-    members = several.select("line", "n_docs", "first", F.explode(keys).alias("key"))
-    return of_groups(members, F.sum("n_docs") >= config.min_docs)
+    n = F.col("n")
+    ends = [F.greatest(F.floor(n * i / EIGHT), F.lit(config.depth)) for i in range(EIGHT + 1)]
+    behind = [ends[i + 1] - ends[i] for i in range(EIGHT)]
+    choices = []
+    for choice in combinations(range(EIGHT), config.same_runs):
+        mask = sum(255 << 8 * i for i in choice)
+        mask = F.lit(mask - 2**64 if mask >= 2**63 else mask)
+        constants = reduce(lambda a, b: a + b, [behind[i] for i in choice]) - F.col("masks")
+        choices.append(F.when(constants >= config.short_tokens, F.struct(
+            F.xxhash64("leaf", mask, F.col("runs").bitwiseAND(mask)).alias("key"), constants.cast("int").alias("constants")
+        )))
+    members = several.select("line", "n_docs", "first", "slots", F.inline(F.array_compact(F.array(*choices))))
+    return of_groups(members, by_constants(F.min("constants"), config))
 
 
 def same_token_lines(several: DataFrame, config: TemplateConfig) -> DataFrame:
     """line and `first` of the lines that share `same_tokens` of all tokens with a leader, in the same places.
 
     Lines of a leaf that agree in one of `bands` samples of four tokens are a group, led by the two lines
-    with the smallest and the largest hash. A line and its leaders are compared token by token.
+    with the smallest and the largest hash. A line and its leaders are compared token by token. What they have in common
+    behind the leaf's tokens, without as many as the line has masks, has to be `min_tokens` words at least.
     """
     rng = random.Random(config.seed)
-    depth, n = config.depth, F.size("tokens")
+    depth, n = config.depth, F.col("n")
+    # Lines that are too short for that many constants have no partner.
+    able = several.where(n - depth - F.col("masks") >= config.min_tokens)
 
     def sampled(band: int) -> Column:
         places = [F.floor((n - depth) * rng.random()).cast("int") + depth for _ in range(4)]
         return F.xxhash64("leaf", F.lit(band), *[F.get(F.col("tokens"), at) for at in places])
 
-    members = several.select("line", F.explode(F.array(*map(sampled, range(config.bands)))).alias("key"))
+    members = able.select("line", F.explode(F.array(*map(sampled, range(config.bands)))).alias("key"))
     groups = members.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high")
     pairs = members.join(groups, "key").select("line", F.explode(F.array("low", "high")).alias("leader")).where(
         "line <> leader"
     ).distinct()
-    lines = several.select("line", "tokens", "n_docs", "first")
+    lines = able.select("line", "tokens", "n", "masks", "n_docs", "first")
     leaders = lines.select(*[F.col(c).alias("leader" if c == "line" else f"l_{c}") for c in lines.columns])
     equal = F.size(F.filter(F.zip_with("tokens", "l_tokens", lambda a, b: a == b), lambda x: x))
+    alike = (equal >= config.same_tokens * n) & (equal - depth - F.col("masks") >= config.min_tokens)
     stars = materialize(
-        pairs.join(lines, "line").join(leaders, "leader").where(equal >= config.same_tokens * n).select(
+        pairs.join(lines, "line").join(leaders, "leader").where(alike).select(
             "leader", "line", "n_docs", "first", "l_n_docs", "l_first"
         ),
         "line-stars",
@@ -162,16 +214,20 @@ def same_token_lines(several: DataFrame, config: TemplateConfig) -> DataFrame:
 
 
 def short_lines(counted: DataFrame, config: TemplateConfig) -> DataFrame:
-    """line and `first` of the short lines that agree with others in all tokens but one.
+    """line and `first` of the lines of few words that agree with others in all but numbers, or in all tokens but one.
 
     Documents are counted by slots, so one document with many lines of a template counts once.
     """
     n = F.size("tokens")
     others = [
-        F.when(n > i, F.xxhash64(n, F.lit(i), F.concat(F.slice("tokens", 1, i), F.slice("tokens", i + 2, config.min_tokens))))
+        F.when(
+            (n > i) & (n < config.min_tokens) & (F.col("n") - F.col("masks") > config.short_tokens - 1),
+            F.xxhash64(n, F.lit(i), F.concat(F.slice("tokens", 1, i), F.slice("tokens", i + 2, n))),
+        )
         for i in range(config.min_tokens - 1)
     ]
-    members = counted.select("line", "slots", "first", F.explode(F.array_compact(F.array(*others))).alias("key"))
+    numbers = F.when(F.col("masks") > 0, F.xxhash64(F.lit("numbers"), masked(F.col("text"))))
+    members = counted.select("line", "slots", "first", F.explode(F.array_compact(F.array(numbers, *others))).alias("key"))
     return of_groups(members, F.bit_count(F.bit_or("slots")) >= config.short_slots)
 
 
@@ -199,7 +255,7 @@ def edited(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFrame:
     key = {"__doc": F.col("doc_id").cast("bigint"), "__text": F.xxhash64("text")}
     places = docs.select(
         *[c.alias(n) for n, c in key.items()],
-        F.posexplode(F.transform(masked_lines(F.col("text")), lambda x: F.xxhash64(x))).alias("at", "line"),
+        F.posexplode(F.transform(known_lines(F.col("text"), config), lambda x: F.xxhash64(x))).alias("at", "line"),
     )
     later = F.coalesce(F.col("__doc"), F.lit(LAST)) != F.col("first")
     dropped = places.join(recurring, "line").where(later).groupBy("__doc", "__text").agg(
