@@ -84,6 +84,11 @@ class PieceModel:
         self.bytes_of = [
             bytes([i - first]) if byte[i] else p.replace(MARK, " ").encode() for i, p in enumerate(self.pieces)
         ]
+        # The characters of every piece, one after another; a byte piece is read where it is a whole character.
+        read = [chr(i - first) if byte[i] else p for i, p in enumerate(self.pieces)]
+        self.sizes = np.array([len(p) for p in read], np.int64)
+        self.offsets = np.cumsum(self.sizes) - self.sizes
+        self.codes = np.frombuffer("".join(read).encode("utf-32-le"), np.uint32)
 
     def decode(self, ids: list[int]) -> str:
         """The text of a segmentation; the first word mark is the one that encoding added."""
@@ -144,12 +149,20 @@ class Lattice:
         ascii_ = unknown[code[unknown] < 0x80]
         self.ids[ascii_, 0] = model.byte_ids[code[ascii_].astype(np.int64)]
         self.code = code
-        small = np.array([len(c.encode()) for c in chunks]) * -model.byte_weight < UNDERFLOW
+        n_bytes = 1 + (code[:total] > 0x7F) + (code[:total] > 0x7FF) + (code[:total] > 0xFFFF).astype(np.int64)
+        n_bytes = np.append(0, np.cumsum(np.where(inside, n_bytes, 0)))
+        small = (n_bytes[self.end] - n_bytes[self.start]) * -model.byte_weight < UNDERFLOW
         total_odds = np.zeros(total + width + 1)
         total_odds[self.end] = 1
         after = np.lib.stride_tricks.sliding_window_view(total_odds[1:], width)
+        # Odds of the last `width` distances from the end; longer chunks come first, so columns line up.
+        last = [np.ones(int(small.sum()))]
         for at in self._from_ends(sizes, small):
-            total_odds[at] = np.einsum("ij,ij->i", weight[at], after[at])
+            arcs, odds = weight[at], np.zeros(len(at))
+            for n, ahead in enumerate(reversed(last)):
+                odds += arcs[:, n] * ahead[: len(at)]
+            total_odds[at] = odds
+            last = [*last[1 - width :], odds] if width > 1 else [odds]
         total_odds[:total][total_odds[:total] == 0] = 1
         late = list(self._in_logarithms(weight, sizes, ~small))
         weight *= after[:total]  # in place: these are the largest arrays here
@@ -287,19 +300,18 @@ def search(
             value = -minus
             emitted[i].append((path, value))
             rest = 1 - p[t:]
-            used = np.left_shift(np.int64(1), lens[t:] - 1)
             if base is not None:
-                used[0] |= banned
                 gone = (banned >> np.arange(lattice.probability.shape[1])) & 1
                 rest[0] -= lattice.probability[slots[t]][gone == 1].sum()
             can = np.flatnonzero(rest > TINY)
             phi = before[t:][can] + np.log(rest[can])
-            draw = uniform(np.full(len(can), keys[i]), (np.uint64(rank + 1) << np.uint64(52)) + can.astype(np.uint64))
+            draw = uniform(keys[i], (np.uint64(rank + 1) << np.uint64(52)) + can.astype(np.uint64))
             # A Gumbel with location phi below `value`, in logarithms as phi may be far below.
             g = phi - np.logaddexp(phi - value, np.log(-np.log(draw)))
-            best = np.argsort(-g)[: k - rank]
-            for x in best:
-                heappush(heaps[i], (-float(g[x]), rank + 1, path, t + int(can[x]), int(used[can[x]])))
+            for x in largest(g, k - rank):
+                step = int(can[x])
+                used = 1 << int(lens[t + step]) - 1 | (banned if step == 0 and base is not None else 0)
+                heappush(heaps[i], (-float(g[x]), rank + 1, path, t + step, used))
     for i in range(n):
         limit = -heaps[i][0][0] if heaps[i] else -np.inf
         for rank, (path, value) in enumerate(emitted[i]):
@@ -308,16 +320,34 @@ def search(
             yield i, rank + 1, path, value, included
 
 
-def piece_ids(lattice: Lattice, path: Path, model: PieceModel) -> np.ndarray:
+def largest(g: np.ndarray, n: int) -> list[int]:
+    """Places of the n largest numbers, the largest first."""
+    if n == 1:
+        return [int(g.argmax())] if len(g) else []
+    some = np.argpartition(-g, n)[:n] if n < len(g) else np.arange(len(g))
+    return some[np.argsort(-g[some], kind="stable")].tolist()
+
+
+def spelled(lattice: Lattice, path: Path, ids: np.ndarray, model: PieceModel) -> np.ndarray:
+    """The characters that the pieces of a path spell; a character in several bytes is read from the lattice."""
+    known = np.maximum(ids, 0)
+    sizes = np.where(ids >= 0, model.sizes[known], 1)
+    before = np.cumsum(sizes) - sizes
+    codes = model.codes[np.repeat(model.offsets[known] - before, sizes) + np.arange(int(sizes.sum()))]
+    if len(ids) and ids.min() < 0:
+        codes[before[ids < 0]] = lattice.code[path.slot[ids < 0]]
+    return codes
+
+
+def piece_ids(lattice: Lattice, path: Path, ids: np.ndarray, model: PieceModel) -> np.ndarray:
     """The ids of a path; a character without a piece of its own is its UTF-8 bytes."""
-    ids = lattice.ids[path.slot, path.length - 1]
-    if (ids >= 0).all():
+    if not len(ids) or ids.min() >= 0:
         return ids
     first = int(model.byte_ids[0])
     out: list[int] = []
     for i, slot in zip(ids, path.slot, strict=True):
         out += [int(i)] if i >= 0 else [first + b for b in chr(int(lattice.code[slot])).encode()]
-    return np.array(out, np.int64)
+    return np.array(out, np.int32)
 
 
 def portions(
@@ -337,8 +367,13 @@ def portions(
             yield ids, texts
 
 
+def marked(text: str) -> str:
+    """The text as encoding sees it: a word mark in front and in place of each space."""
+    return f"{MARK}{text}".replace(" ", MARK)
+
+
 def chunks_of(text: str) -> list[str]:
-    return CHUNK.findall(f"{MARK}{text}".replace(" ", MARK)) if text else []
+    return CHUNK.findall(marked(text)) if text else []
 
 
 def sample(docs: DataFrame, config: SegmentConfig = DEFAULT, with_ids: bool = True) -> DataFrame:
@@ -358,22 +393,28 @@ def sample(docs: DataFrame, config: SegmentConfig = DEFAULT, with_ids: bool = Tr
         model = worker_cache(f"pieces {path} {temperature}", lambda: PieceModel(path, temperature))
         for doc_ids, texts in portions(batches):
             cut = [chunks_of(text or "") for text in texts]
-            known = {c: i for i, c in enumerate(dict.fromkeys(c for cs in cut for c in cs))}
-            lattice = Lattice(list(known), model)
-            occurrences = [np.array([known[c] for c in cs], np.int64) for cs in cut]
+            coded = pa.array([c for cs in cut for c in cs], pa.string()).dictionary_encode()
+            lattice = Lattice(coded.dictionary.to_pylist(), model)
+            places = coded.indices.to_numpy().astype(np.int64)
+            occurrences = np.split(places, np.cumsum([len(cs) for cs in cut])[:-1])
             keys = np.array([xxhash.xxh3_64_intdigest(f"{seed} {d}") for d in doc_ids], np.uint64)
             filled = [i for i, o in enumerate(occurrences) if len(o)]
-            rows = [(d, 1, 0, 0, 0.0, 0.0, 0.0, True, []) for d, o in zip(doc_ids, occurrences, strict=True) if not len(o)]
+            rows = [(d, 1, 0, 0, 0.0, 0.0, 0.0, True) for d, o in zip(doc_ids, occurrences, strict=True) if not len(o)]
+            whole = {i: np.frombuffer(marked(texts[i]).encode("utf-32-le"), np.uint32) for i in filled}
+            parts = [np.zeros(0, np.int32)] * len(rows)
             for j, rank, found, value, included in search(lattice, [occurrences[i] for i in filled], keys[filled], k):
                 i = filled[j]
-                ids = piece_ids(lattice, found, model)
-                same = model.decode(ids.tolist()) == texts[i].replace(MARK, " ")
-                crc = zlib.crc32(ids.astype("<u4").tobytes())
-                row = (doc_ids[i], rank, len(ids), crc, found.log_prob, value, included, same, ids if with_ids else None)
-                rows.append(row)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), *[pa.float64()] * 3, pa.bool_(), pa.list_(pa.int32())]
+                arcs = lattice.ids[found.slot, found.length - 1]
+                same = np.array_equal(spelled(lattice, found, arcs, model), whole[i])
+                ids = piece_ids(lattice, found, arcs, model)
+                crc = zlib.crc32(np.ascontiguousarray(ids, "<i4").data)
+                rows.append((doc_ids[i], rank, len(ids), crc, found.log_prob, value, included, same))
+                parts.append(ids)
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), *[pa.float64()] * 3, pa.bool_()]
             columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
             arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
+            ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+            arrays.append(pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int32), *parts]))))
             yield pa.RecordBatch.from_arrays(arrays[: len(names)], names)
 
     schema = (
