@@ -159,6 +159,31 @@ def test_indicators(spark, block_rows):
             )
 
 
+@pytest.mark.parametrize("block_rows", [99, 150, 20_000])
+def test_linear_ema_equals_fold(spark, block_rows):
+    rng = np.random.default_rng(11)
+    rows = [(s, START + timedelta(hours=i), float(x)) for s, n in (("long", 730), ("short", 7)) for i, x in enumerate(1e5 + rng.normal(0, 1e3, n))]
+    rows.append(("long", START + timedelta(hours=5, minutes=1), None))
+    candles = spark.createDataFrame(rows, "symbol string, open_time timestamp_ntz, close double")
+    got = mk.with_ema(candles, {"a": 12, "b": 26, "c": 9}, block_rows=block_rows).toPandas()
+    assert list(got.columns) == ["symbol", "open_time", "close", "a", "b", "c"] and len(got) == len(rows) - 1
+    for symbol, part in got.sort_values("open_time").groupby("symbol"):
+        close = part["close"].tolist()
+        for name, span in (("a", 12), ("b", 26), ("c", 9)):
+            expected = [pd.Series(close[max(0, k - 99): k + 1]).ewm(span=span).mean().iloc[-1] for k in range(len(close))]
+            np.testing.assert_allclose(part[name], expected, rtol=1e-12, err_msg=f"{symbol} {name}")
+
+
+def test_macd_weights_equal_fold(spark):
+    rng = np.random.default_rng(12)
+    frames = [(rng.normal(3e4, 2e3, n).tolist(),) for n in (100, 100, 27, 26, 99)]
+    got = spark.createDataFrame(frames, "x array<double>").select(
+        mk.macd_of_frames(F.col("x")).alias("w"), mk.macd_histogram(F.col("x")).alias("f"), F.size("x").alias("n")
+    ).collect()
+    for r in got:
+        assert (r.w is None) == (r.n <= 26) and (r.w is None or abs(r.w - r.f) < 1e-9)
+
+
 def test_macro_fallback(spark):
     days = [datetime(2024, 1, d).date() for d in (1, 2, 3)]
     rows = [("A", days[0], 0.0), ("B", days[0], 7.0), ("A", days[1], 5.0), ("S", days[2], 4.0)]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewire import fixed_values as fv
 from tidewire.config import DEFAULT_CONFIG
-from tidewire.functions.basics import bind, hours, round_dp
+from tidewire.functions.basics import bind, hours, literal_array, round_dp
 from tidewire.operators.asof import Series, asof_join, latest_row
 from tidewire.operators.ordered import month_of, overlapping_blocks, previous_value, row_index
 
@@ -137,6 +137,63 @@ def macd_histogram(values: Column, fast: int = 12, slow: int = 26, signal: int =
     )
 
 
+def macd_weights(rows: int = fv.CANDLE_ROWS, fast: int = 12, slow: int = 26, signal: int = 9) -> list[float]:
+    """What each value of a full frame, oldest first, adds to `macd_histogram`.
+
+    The averages inside a frame start with the frame, so line and histogram of a frame of given size are linear
+    in its values, with the same weights wherever the frame lies. They are no sum of powers (the bias adjustment
+    divides by another number at each place), so frames cannot be updated row by row as plain averages can.
+    """
+    def smoothed(xs: list[float], span: int) -> list[float]:
+        keep, n, d, out = 1 - 2 / (span + 1), 0.0, 0.0, []
+        for x in xs:
+            n, d = n * keep + x, d * keep + 1
+            out.append(n / d)
+        return out
+
+    weights = []
+    for place in range(rows):
+        one = [float(i == place) for i in range(rows)]
+        line = [a - b for a, b in zip(smoothed(one, fast), smoothed(one, slow), strict=True)]
+        weights.append(line[-1] - smoothed(line, signal)[-1])
+    return weights
+
+
+def macd_of_frames(values: Column, rows: int = fv.CANDLE_ROWS, least: int = 26) -> Column:
+    """The histogram of frames of more than `least` values: full frames by their weights, shorter ones by the fold."""
+    weighted = F.zip_with(values, literal_array(macd_weights(rows)), lambda x, w: x * w)
+    full = F.aggregate(weighted, F.lit(0.0), lambda total, x: total + x)
+    return F.when(F.size(values) == rows, full).when(F.size(values) > least, macd_histogram(values))
+
+
+def with_ema(
+    candles: DataFrame, spans: Mapping[str, int], column: str = "close", rows: int = fv.CANDLE_ROWS,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Add bias-adjusted exponential means over the last `rows` candles, one column per span, in linear time.
+
+    A series is cut into chunks of `rows`. In a chunk, sums of values over powers of the decay run on from
+    its start; a frame is the start of its own chunk up to the row and the end of the chunk before from the row after
+    the one at the same place. The second is the chunk's total without the sum up to there, read `rows` - 1
+    rows back, so a row costs a few additions and no frame is ever collected. Candles without a value are left out.
+    """
+    blocks = candle_blocks(candles.where(F.col(column).isNotNull()), block_rows)
+    chunked = blocks.withColumns({"_chunk": F.floor(F.col("_idx") / rows), "_place": F.col("_idx") % rows})
+    chunk = Window.partitionBy(*KEY, "_chunk")
+    so_far = chunk.orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
+    for name, span in spans.items():
+        keep = 1 - 2 / (span + 1)
+        grown = F.col(column) * F.pow(F.lit(1 / keep), F.col("_place"))
+        chunked = chunked.withColumns({"_sum": F.sum(grown).over(so_far), "_rest": F.sum(grown).over(chunk) + grown}).withColumn(
+            "_rest", F.lag(F.col("_rest") - F.col("_sum"), rows - 1).over(_series())
+        )
+        before = F.when(F.col("_place") < rows - 1, F.coalesce("_rest", F.lit(0.0))).otherwise(0.0)
+        numerator = F.pow(F.lit(keep), F.col("_place")) * (F.col("_sum") + before * keep**rows)
+        weight = (1 - F.pow(F.lit(keep), seen(rows))) / (1 - keep)
+        chunked = chunked.withColumn(name, numerator / weight)
+    return own_rows(chunked.drop("_chunk", "_place", "_sum", "_rest"))
+
+
 def market_features(candles: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Price features at every candle of every symbol, all from one pass over the blocks."""
     blocks = with_change(candle_blocks(candles, block_rows))
@@ -155,7 +212,7 @@ def market_features(candles: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFra
         "btc_return_6h",
         "btc_return_24h",
         "rsi_14",
-        F.when(F.size("_recent") > 26, macd_histogram(F.col("_recent"))).alias("macd"),
+        macd_of_frames(F.col("_recent")).alias("macd"),
         "bb_position",
         "volume_ratio",
         F.lit(None).cast("double").alias("etf_net_flow_24h"),

@@ -541,10 +541,14 @@ def _folded(**folds: Callable[[Column], Column]) -> Query:
     return run
 
 
-QUERIES["ema"] = _folded(ema_12=lambda x: mk.ema(x, 12), ema_26=lambda x: mk.ema(x, 26))
-QUERIES["macd_hist"] = _folded(
-    macd=lambda x: F.when(F.size(x) > 26, mk.macd_histogram(x))
-)
+@query
+def ema(i: Inputs) -> DataFrame:
+    spans = {"ema_12": 12, "ema_26": 26}
+    means = mk.with_ema(i.candles(), spans)
+    return means.select("symbol", "open_time", *[round_dp(F.col(name), 8).alias(name) for name in spans])
+
+
+QUERIES["macd_hist"] = _folded(macd=mk.macd_of_frames)
 
 
 @query
