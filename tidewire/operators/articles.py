@@ -173,6 +173,21 @@ def stage_counters(flagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def write_split(rows: DataFrame, path: str, error: str = "error") -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Good rows, rows with an `error`, and how many of each: written in one pass, counted on the way.
+
+    The rows are computed once, whatever is done with either part afterwards.
+    """
+    counted = Observation()
+    bad = F.col(error).isNotNull()
+    rows.observe(counted, F.count_if(~bad).alias("good"), F.count_if(bad).alias("quarantined")).withColumn(
+        "_quarantined", bad
+    ).write.partitionBy("_quarantined").parquet(path)
+    stored = rows.sparkSession.read.schema(rows.schema.add("_quarantined", "boolean")).parquet(path)
+    good, rest = (stored.where(F.col("_quarantined") == flag).drop("_quarantined") for flag in (False, True))
+    return good.drop(error), rest, counted.get
+
+
 def observed(df: DataFrame, observation: Observation) -> DataFrame:
     """Count rows as they pass; read `observation.get` after the frame's action."""
     return df.observe(observation, F.count(F.lit(1)).alias("rows"))

@@ -6,7 +6,8 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions.basics import bind, literal_array
@@ -14,6 +15,7 @@ from tidewire.functions.text import article_text, lowered
 from tidewire.functions.verdicts import fallback_verdict, parse_verdicts
 from tidewire.operators.articles import arrival_order
 from tidewire.operators.ordered import row_index
+from tidewire.session import materialize
 
 # Our own wording; pass another text to `build_prompts` to match a model.
 INSTRUCTIONS = (
@@ -152,6 +154,84 @@ def ask_classifier(
     return prompts.withColumn("_asked", ask("prompt")).select(*prompts.columns, "_asked.*")
 
 
+class ReplyStore:
+    """Replies of one model by the digest of their prompt, kept over runs in a Parquet table.
+
+    A prompt is asked once: not again in a later run, nor for a second row with the same text. Replies are
+    appended part by part, so a run that fails loses the part it was in and keeps those before it. Calls
+    that failed are not stored and are asked again by the next run. One writer at a time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, model: str):
+        self.spark, self.path, self.model = spark, path.rstrip("/"), model
+
+    def replies(self) -> DataFrame:
+        """digest and reply of every prompt that was answered."""
+        try:
+            stored = self.spark.read.schema("digest string, reply string, model string").parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            stored = self.spark.createDataFrame([], "digest string, reply string, model string")
+        return stored.where(F.col("model") == self.model).drop("model")
+
+    def ask(
+        self, prompts: DataFrame, classifier_factory: Callable[[], Callable[[list[str]], list[str | None]]],
+        parts: int = 8, **options,
+    ) -> DataFrame:
+        """`prompts` with `reply` and `reply_error`, asking only what the store does not hold.
+
+        Missing prompts are asked in `parts` jobs, dealt by digest. A NULL prompt has no reply and no error. Texts meet the
+        store as digests; only misses are moved as text.
+        """
+        keyed = prompts.withColumn("_digest", F.sha2("prompt", 256))
+        missing = keyed.where(F.col("_digest").isNotNull()).select("_digest", "prompt").join(
+            self.replies().select(F.col("digest").alias("_digest")), "_digest", "left_anti"
+        )
+        # Copies of a prompt meet by digest, thinned by each task first.
+        missing = materialize(missing.groupBy("_digest").agg(F.first("prompt").alias("prompt")), "missing-prompts")
+        part = F.pmod(F.xxhash64("_digest"), F.lit(parts))
+        failed = None
+        for number in range(parts):
+            asked = materialize(
+                ask_classifier(missing.where(part == number), classifier_factory, **options).drop("prompt"), "replies"
+            )
+            asked.where(F.col("reply").isNotNull()).select(
+                F.col("_digest").alias("digest"), "reply", F.lit(self.model).alias("model")
+            ).write.mode("append").partitionBy("model").parquet(self.path)
+            errors = asked.where(F.col("reply").isNull()).select("_digest", "reply_error")
+            failed = errors if failed is None else failed.unionByName(errors)
+        known = self.replies().dropDuplicates(["digest"]).select(F.col("digest").alias("_digest"), "reply")
+        return keyed.join(known, "_digest", "left").join(failed, "_digest", "left").select(
+            *prompts.columns, "reply", "reply_error"
+        )
+
+
+def ask_in_rounds(
+    first: DataFrame, ask: Callable[[DataFrame], DataFrame], follow_up: Callable[[DataFrame], Column], rounds: int
+) -> DataFrame:
+    """Sequences of prompts, each made from the reply before: `first` with `n_asked`, `reply` and `reply_error`.
+
+    `first` has the first `prompt` of every row. `ask` adds `reply` and `reply_error` to rows with a prompt (see
+    `ask_classifier`, `ReplyStore.ask`); `follow_up` gives the next prompt of answered rows, or NULL where the sequence ends. Each
+    round asks the rows that are still open, in one job whose rows are written, so a lost executor never makes an earlier round
+    ask again. After `rounds` rounds, and after a call that failed, the last reply stands.
+    """
+    if rounds < 1:
+        raise ValueError("at least one round")
+    columns = first.columns
+    open_rows, done = materialize(first, "round-0"), None
+    for number in range(1, rounds + 1):
+        asked = materialize(ask(open_rows).withColumn("n_asked", F.lit(number)), f"round-{number}")
+        after = asked.withColumn("_next", F.when(F.col("reply").isNotNull(), follow_up(asked)))
+        ends = F.col("_next").isNull() if number < rounds else F.lit(True)
+        over = after.where(ends).select(*columns, "n_asked", "reply", "reply_error")
+        done = over if done is None else done.unionByName(over)
+        if number < rounds:
+            open_rows = after.where(~ends).withColumn("prompt", F.col("_next")).select(*columns)
+    return done
+
+
 def attach_verdicts(articles: DataFrame, replies: DataFrame, key: str = "id") -> DataFrame:
     """Join each batch's parsed reply to its articles by their keys.
 

@@ -205,9 +205,8 @@ def repair_rows(i: Inputs) -> DataFrame:
     )
 
 
-@query
-def parse_feed_items(i: Inputs) -> DataFrame:
-    """RSS and Atom documents of at most 60 entries, parsed with the limit of 50."""
+def _entries(i: Inputs) -> DataFrame:
+    """Articles as RSS items and Atom entries, 60 of a kind to a feed: n, doc_id, entry."""
     def safe(c: Column) -> Column:
         c = F.replace(c, F.lit("&"), F.lit("&amp;"))
         return F.replace(F.replace(c, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
@@ -227,24 +226,81 @@ def parse_feed_items(i: Inputs) -> DataFrame:
         F.lit('<link rel="self" href="x"/><link href="'), F.col("url"), F.lit('"/>'),
         tag("updated", F.col("published_at").cast("string")), F.lit("</entry>"),
     )
-    entries = i.articles().select(number.alias("n"), "doc_id", F.when(number % 2 == 0, rss).otherwise(atom)
-                                  .alias("entry"))
-    joined = entries.groupBy("n").agg(F.array_join(F.transform(
+    return i.articles().select(number.alias("n"), "doc_id", F.when(number % 2 == 0, rss).otherwise(atom).alias("entry"))
+
+
+def _landed_feeds(i: Inputs) -> DataFrame:
+    """RSS and Atom documents of at most 60 entries; every seventh was not fetched."""
+    joined = _entries(i).groupBy("n").agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("doc_id", "entry"))), lambda x: x["entry"]), "").alias("e"))
     document = F.when(
         F.col("n") % 2 == 0, F.concat(F.lit("<rss><channel>"), "e", F.lit("</channel></rss>"))
     ).otherwise(F.concat(F.lit("<feed>"), "e", F.lit("</feed>")))
-    landed = joined.select(
+    return joined.select(
         F.col("n").alias("feed_ord"), F.concat(F.lit("feed"), F.col("n").cast("string")).alias("source"),
         F.when(F.col("n") % 7 == 3, 404).otherwise(200).alias("status"), document.alias("body"),
     )
-    return longs(feeds.parse_feed_items(landed, fv.ENTRIES_PER_FEED)).select(
+
+
+@query
+def parse_feed_items(i: Inputs) -> DataFrame:
+    """RSS and Atom documents of at most 60 entries, parsed with the limit of 50."""
+    return longs(feeds.parse_feed_items(_landed_feeds(i), fv.ENTRIES_PER_FEED)).select(
         "feed_ord", "source", "entry_ord", "url", "raw_published_at",
         normalize_whitespace(F.col("title")).alias("title"),
         hash_text(normalize_whitespace(F.col("content"))).alias("content_hash"),
     )
 
 
+@query
+def feed_quarantine(i: Inputs) -> DataFrame:
+    """Entries and unreadable, empty and missing documents from one pass, written apart and read again."""
+    body = F.when(F.col("feed_ord") % 7 == 5, F.substring("body", 1, 70)).when(
+        F.col("feed_ord") % 7 == 6, "<rss><channel></channel></rss>"
+    ).otherwise(F.col("body"))
+    rows = feeds.feed_rows(_landed_feeds(i).withColumn("body", body)).select("feed_ord", "entry_ord", "url", "error", "origin")
+    good, bad, counts = ar.write_split(rows, work_dir(i.spark, "feed-rows"))
+    number = lambda name: F.lit(counts[name]).cast("bigint").alias("n_rows")
+    both = good.select("feed_ord", "entry_ord", "url", F.lit(None).cast("string").alias("error"), number("good")).unionByName(
+        bad.select("feed_ord", "entry_ord", "url", "error", number("quarantined"))
+    )
+    return longs(both.fillna(-1, ["entry_ord"]))
+
+
+@query
+def envelope_quarantine(i: Inputs) -> DataFrame:
+    """Bodies that are no envelope, have no articles, or hold elements that are none."""
+    article = F.to_json(F.struct("title", "url"))
+    good = F.concat(F.lit('{"ingestion_time": "2024-01-01T00:00:00Z", "articles": ['), article, F.lit(", "), article, F.lit("]}"))
+    kind = F.col("doc_id") % 7
+    body = (
+        F.when(kind == 0, good).when(kind == 1, F.concat(F.lit('{"articles": ['), article))
+        .when(kind == 2, F.concat(F.lit("["), article, F.lit(", 5]"))).when(kind == 3, "{}")
+        .when(kind == 4, "no envelope").when(kind == 5, '{"articles": []}')
+    )
+    rows = envelopes.article_rows(i.articles().select("doc_id", body.alias("body")))
+    return longs(rows.select("doc_id", "entry_ord", "url", "title", "error").fillna(-1, ["entry_ord"]))
+
+
+@query
+def read_feed_files(i: Inputs) -> DataFrame:
+    """Feeds in one file each, read by entry; the order is that of the file however it is split."""
+    parts = []
+    for kind, odd in (("rss", 0), ("atom", 1)):
+        path = work_dir(i.spark, f"feed-files-{kind}")
+        feed = F.concat(F.lit("feed"), F.col("n").cast("string")).alias("feed")
+        entries = _entries(i).where(F.col("n") % 2 == odd)
+        entries.repartition("n").sortWithinPartitions("n", "doc_id").select(feed, "entry").write.partitionBy("feed").text(path)
+        found = feeds.read_feed_files(i.spark, path, kind)
+        number = F.regexp_extract("path", "feed=feed([0-9]+)", 1).cast("bigint")
+        parts.append(found.select(
+            number.alias("feed_ord"), F.col("entry_ord").cast("bigint").alias("entry_ord"), "url", "raw_published_at",
+            normalize_whitespace(F.col("title")).alias("title"),
+            hash_text(normalize_whitespace(F.col("content"))).alias("content_hash"),
+        ))
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def stage_write_roundtrip(i: Inputs) -> DataFrame:
     path = work_dir(i.spark, "stage")
@@ -671,6 +727,49 @@ def pipeline_from_envelopes(i: Inputs) -> DataFrame:
     )))
 
 
+@query
+def stage_counts_in_flight(i: Inputs) -> DataFrame:
+    """Rows at each stage of the whole job, counted while it ran."""
+    counts = hourly.StageCounts()
+    hourly.hourly_features(
+        i.raw(), i.view(inp.VERDICTS_BY_ID), i.candles(), i.macro(), i.snapshots(), inp.SYMBOL, _config(), counts=counts
+    )
+    return i.spark.createDataFrame(list(counts.counts.items()), "stage string, n_rows bigint")
+
+
+def _silent_classifier():
+    def classify(prompts: list[str]) -> list[str]:
+        raise RuntimeError("asked again")
+
+    return classify
+
+
+@query
+def ask_with_store(i: Inputs) -> DataFrame:
+    """Half of the articles are asked about, then all, then all of a model that does not answer any more."""
+    replies = nz.ReplyStore(i.spark, work_dir(i.spark, "replies"), "phrases")
+    prompts = nz.single_prompts(i.articles()).select("doc_id", "prompt")
+    replies.ask(prompts.where(F.col("doc_id") % 2 == 0), _phrase_classifier, parts=2)
+    replies.ask(prompts, _phrase_classifier, parts=2)
+    last = replies.ask(prompts, _silent_classifier, parts=1, retries=1, delay_seconds=0.0)
+    return last.select("doc_id", parse_verdict(F.col("reply"))["is_noise"].alias("is_noise"), "reply_error")
+
+
+def _measuring_model():
+    return lambda prompts: [str(len(p)) for p in prompts]
+
+
+@query
+def prompt_rounds(i: Inputs) -> DataFrame:
+    """Up to three prompts an article: as long as the reply is even, it goes into the next prompt."""
+    def follow_up(asked: DataFrame) -> Column:
+        return F.when(F.col("reply").cast("bigint") % 2 == 0, F.concat("reply", F.lit(" "), "title"))
+
+    first = i.articles().select("doc_id", "title", F.col("title").alias("prompt"))
+    rounds = nz.ask_in_rounds(first, lambda df: nz.ask_classifier(df, _measuring_model), follow_up, 3)
+    return longs(rounds.select("doc_id", "n_asked", "reply", "reply_error"))
+
+
 @query
 def pipeline_with_plugins(i: Inputs) -> DataFrame:
     """The whole job with a scorer and a classifier of the user, asked after the relevance gate."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewire.config import DEFAULT_CONFIG, EngineConfig
@@ -42,6 +42,30 @@ PRICE_COLUMNS = (
 )
 
 
+class StageCounts:
+    """Rows that pass the stages of a job, counted while the job runs.
+
+    Give one to `news_features` or `hourly_features` and read `counts` after an action on the result. The counts cost
+    no scan. They are those of one pass: a classifier given as code makes the job read articles twice, so its counts of
+    `raw` and `normalised` are those of the first pass.
+    """
+
+    STAGES = ("raw", "normalised", "unique")
+
+    def __init__(self) -> None:
+        self._of = {stage: Observation() for stage in self.STAGES}
+
+    def watch(self, df: DataFrame, stage: str, **flags: Column) -> DataFrame:
+        return df.observe(
+            self._of[stage], F.count(F.lit(1)).alias(stage), *[F.count_if(flag).alias(name) for name, flag in flags.items()]
+        )
+
+    @property
+    def counts(self) -> dict[str, int]:
+        """raw, normalised, unique, candidates and kept; waits until the job is through."""
+        return {name: n for stage in self.STAGES for name, n in self._of[stage].get.items()}
+
+
 def news_features(
     raw: DataFrame,
     verdicts: DataFrame | None,
@@ -49,6 +73,7 @@ def news_features(
     scorer: Callable | None = None,
     classifier: Callable | None = None,
     instructions: str = INSTRUCTIONS,
+    counts: StageCounts | None = None,
 ) -> DataFrame:
     """News features of every hour with an article.
 
@@ -57,7 +82,11 @@ def news_features(
     A `scorer` (see `score_sentiment`) replaces the word lists, a `classifier` (see `ask_classifier`) the
     verdicts; both are asked about relevant articles only, the classifier once per article.
     """
+    if counts is not None:
+        raw = counts.watch(raw, "raw")
     cleaned = with_window_start(normalize_articles(raw))
+    if counts is not None:
+        cleaned = counts.watch(cleaned, "normalised")
     relevant = is_relevant(text_of(cleaned), config)
     if classifier is not None:
         asked = single_prompts(dedup_first(cleaned.where(relevant)), instructions)
@@ -70,7 +99,12 @@ def news_features(
     measured = measure_articles(cleaned, tuple(keys), config)
     judged = with_event(dedup_first(measured).join(verdicts, "id", "left"), config)
     kept = F.coalesce(~F.col("is_noise"), F.lit(False)) & F.col("relevant")
-    return flagged_window_features(judged.withColumn("kept", kept))
+    flagged = judged.withColumn("kept", kept)
+    if counts is not None:
+        flagged = counts.watch(
+            flagged, "unique", candidates=F.coalesce(~F.col("is_noise"), F.lit(False)), kept=F.col("kept")
+        )
+    return flagged_window_features(flagged)
 
 
 def rejected_articles(raw: DataFrame) -> DataFrame:
@@ -117,13 +151,14 @@ def hourly_features(
     config: EngineConfig = DEFAULT_CONFIG,
     scorer: Callable | None = None,
     classifier: Callable | None = None,
+    counts: StageCounts | None = None,
 ) -> DataFrame:
     """The stored feature row for every hour between the first and the last article.
 
     Runs the article job and writes its result, one row per hour, to the shared work folder: the
     calendar, the as-of joins and the momentum all read that small table and not the articles again.
     """
-    news = materialize(news_features(raw, verdicts, config, scorer, classifier), "news-features")
+    news = materialize(news_features(raw, verdicts, config, scorer, classifier, counts=counts), "news-features")
     every_hour = fill_empty_windows(news, hour_calendar(news))
     merged = with_hourly_momentum(
         merge_feature_groups(every_hour, candles, macro_daily, snapshots, symbol, config=config)

@@ -231,6 +231,29 @@ SELECT n AS feed_ord, concat('feed', n) AS source, entry_ord, url,
 FROM (SELECT * EXCLUDE (entry_ord), doc_id // 60 AS n,
         row_number() OVER (PARTITION BY doc_id // 60 ORDER BY doc_id) - 1 AS entry_ord FROM articles) t
 WHERE entry_ord < 50 AND n % 7 <> 3""")
+_NUMBERED = ("numbered", """
+  SELECT * EXCLUDE (entry_ord), doc_id // 60 AS n, row_number() OVER (PARTITION BY doc_id // 60 ORDER BY doc_id) - 1 AS entry_ord
+  FROM articles""")
+SQL["feed_quarantine"] = with_(ARTICLES, _NUMBERED, ("found", """
+  SELECT n AS feed_ord, entry_ord, url, CAST(NULL AS VARCHAR) AS error FROM numbered WHERE n % 7 NOT IN (3, 5, 6)
+  UNION ALL
+  SELECT DISTINCT n, -1, CAST(NULL AS VARCHAR),
+    CASE n % 7 WHEN 3 THEN 'status 404' WHEN 5 THEN 'unreadable document' ELSE 'no entries' END
+  FROM numbered WHERE n % 7 IN (3, 5, 6)"""), last="""
+SELECT *, count(*) OVER (PARTITION BY error IS NULL) AS n_rows FROM found""")
+SQL["envelope_quarantine"] = with_(ARTICLES, last="""
+SELECT doc_id, CAST(u AS BIGINT) AS entry_ord, url, title, CAST(NULL AS VARCHAR) AS error
+FROM articles, unnest([0, 1]) AS t(u) WHERE doc_id % 7 = 0 OR (doc_id % 7 = 2 AND u = 0)
+UNION ALL
+SELECT doc_id, CASE WHEN doc_id % 7 = 2 THEN 1 ELSE -1 END, NULL, NULL,
+  CASE WHEN doc_id % 7 = 2 THEN 'unreadable article' WHEN doc_id % 7 IN (3, 5) THEN 'no articles'
+    ELSE 'unreadable envelope' END
+FROM articles WHERE doc_id % 7 <> 0""")
+SQL["read_feed_files"] = with_(ARTICLES, _NUMBERED, last=f"""
+SELECT n AS feed_ord, entry_ord, url,
+  CASE WHEN n % 2 = 0 AND doc_id % 3 = 0 THEN 'later' ELSE CAST(published_at AS VARCHAR) END AS raw_published_at,
+  {ws("title")} AS title, sha256({ws("content")}) AS content_hash
+FROM numbered""")
 SQL["stage_write_roundtrip"] = with_(
     ARTICLES, last="SELECT doc_id, id, title, content, source, window_start FROM articles"
 )
@@ -607,6 +630,23 @@ SQL["pipeline_with_plugins"] = _merged(tuple(
     for name, sql in _JOB
 ))
 
+SQL["stage_counts_in_flight"] = with_(*_JOB, last="""
+SELECT 'raw' AS stage, count(*) AS n_rows FROM raw UNION ALL SELECT 'normalised', count(*) FROM normal
+UNION ALL SELECT 'unique', count(*) FROM first_articles
+UNION ALL SELECT 'candidates', count(*) FROM texts WHERE is_noise = false
+UNION ALL SELECT 'kept', count(*) FROM enriched""")
+SQL["ask_with_store"] = with_(ARTICLES, last="""
+SELECT doc_id, regexp_matches(lower(concat(coalesce(title, ''), ' | ', coalesce(content, ''))), 'top 10|could') AS is_noise,
+  CAST(NULL AS VARCHAR) AS reply_error
+FROM articles""")
+SQL["prompt_rounds"] = with_(ARTICLES, ("one", "SELECT doc_id, title, length(title) AS a FROM articles"),
+    ("two", "SELECT *, length(concat(a, ' ', title)) AS b FROM one"),
+    ("three", "SELECT *, length(concat(b, ' ', title)) AS c FROM two"), last="""
+SELECT doc_id, CAST(CASE WHEN a % 2 = 1 THEN 1 WHEN b % 2 = 1 THEN 2 ELSE 3 END AS BIGINT) AS n_asked,
+  CAST(CASE WHEN a % 2 = 1 THEN a WHEN b % 2 = 1 THEN b ELSE c END AS VARCHAR) AS reply,
+  CAST(NULL AS VARCHAR) AS reply_error
+FROM three""")
+
 # ---- feature table --------------------------------------------------------------------------------
 
 _NEWS_COLUMNS = ("total_raw", "noise_ratio", *[alias for alias, _ in _ALL])
