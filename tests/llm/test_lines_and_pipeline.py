@@ -10,7 +10,6 @@ from tests.llm.test_tokens import check_packing
 from tidewire.llm import line_templates as lt
 
 FOLDER = "/root/testdata/sf0.01"
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def masked(line):
@@ -19,8 +18,9 @@ def masked(line):
 
 def known(line):
     """The line as it is compared, and its number of words."""
-    words = len(WORD.findall(masked(line))) - masked(line).count("<*>")
-    return (masked(line) if words >= 8 else line.strip(" \t\x0b\x0c\r")), words
+    line = line.strip(" \t\x0b\x0c\r")
+    words = len(masked(line).split(" ")) - masked(line).count("<*>")
+    return (masked(line) if words >= 8 else line), words
 
 
 def brute(texts):
@@ -33,7 +33,7 @@ def brute(texts):
     def goes(line, i):
         line, words = known(line)
         found = homes[line]
-        enough = 2 if len(WORD.findall(line)) >= 8 else 20 if words >= 3 else len(texts) + 1
+        enough = 2 if len(line.split(" ")) >= 8 else 20 if words >= 3 else len(texts) + 1
         return len(found) >= enough and min(found) != i
 
     return {i: [x for x in (t or "").split("\n") if not goes(x, i)] for i, t in texts.items()}
@@ -43,7 +43,7 @@ def template_partners(lines, same_tokens=0.8, depth=4, least=8):
     """By all pairs of a leaf: the lines with another that shares so many tokens and so many words behind the leaf's."""
     leaves = collections.defaultdict(list)
     for line in lines:
-        tokens = WORD.findall(line)
+        tokens = line.split(" ")
         if len(tokens) - line.count("<*>") >= 8:
             leaves[len(tokens), *tokens[:depth]].append((line, tokens))
     out = set()

@@ -25,6 +25,7 @@ from tidewire.session import materialize
 
 EIGHT = 8
 LAST = 2**63 - 1
+BLANKS = " \t\x0b\x0c\r"
 
 
 @dataclass(frozen=True)
@@ -55,93 +56,94 @@ class TemplateConfig:
 
 DEFAULT = TemplateConfig()
 NUMBER = r"[0-9]+"
-BLANKS = r"[\x20\x09-\x0D]+"
+MASK = "<*>"
+# Stands in front of a line that is compared with its numbers; no line holds one.
+NUMERIC = "\n"
 
 
 def masked(text: Column) -> Column:
-    return F.regexp_replace(text, NUMBER, "<*>")
+    return F.regexp_replace(text, NUMBER, MASK)
 
 
 def masks_in(line: Column) -> Column:
     """How many masked numbers a line holds."""
-    return ((F.length(line) - F.length(F.replace(line, F.lit("<*>"), F.lit("")))) / 3).cast("int")
+    found = (F.length(line) - F.length(F.replace(line, F.lit(MASK), F.lit("")))) / len(MASK)
+    return F.when(F.contains(line, F.lit(MASK)), found.cast("int")).otherwise(0)
+
+
+def n_tokens(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
 def known_lines(text: Column, config: TemplateConfig) -> Column:
     """The lines of a text, outer blanks cut, in the form in which they are compared.
 
-    Numbers are masked where `min_tokens` words are left beside them; a line that is mostly numbers is itself.
+    Numbers are masked where `min_tokens` words are left beside them; a line that is mostly numbers keeps them, behind
+    NUMERIC. Tokens are what single spaces part.
     """
-    blanks = F.lit(" \t\x0b\x0c\r")
+    cut = lambda x: F.btrim(x, F.lit(BLANKS))
 
     def form(mask: Column, line: Column) -> Column:
-        words = F.size(F.split(F.btrim(mask, blanks), BLANKS)) - masks_in(mask)
-        return F.when(F.contains(mask, F.lit("<*>")) & (words < config.min_tokens), F.btrim(line, blanks)).otherwise(
-            F.btrim(mask, blanks)
-        )
+        few = F.contains(mask, F.lit(MASK)) & (n_tokens(cut(mask)) - masks_in(mask) < config.min_tokens)
+        return F.when(few, F.concat(F.lit(NUMERIC), cut(line))).otherwise(cut(mask))
 
-    return F.zip_with(F.split(masked(text), "\n"), F.split(text, "\n"), form)
+    numbered = F.zip_with(F.split(masked(text), "\n"), F.split(text, "\n"), form)
+    return F.when(text.rlike("[0-9]"), numbered).otherwise(F.transform(F.split(text, "\n"), cut))
 
 
-def runs_of(tokens: Column, n: Column) -> Column:
+def runs_of(tokens: str, n: str) -> Column:
     """The eight runs' hashes, one byte each, in one long."""
-    def run(i: int) -> Column:
-        start = F.floor(n * i / EIGHT).cast("int")
-        size = F.floor(n * (i + 1) / EIGHT).cast("int") - start
-        byte = F.hash(F.slice(tokens, start + 1, size)).bitwiseAND(F.lit(255)).cast("bigint")
-        return F.shiftleft(byte, 8 * i)
+    start = lambda i: f"cast(floor({n} * {i} / {EIGHT}) AS int)"
+    run = f"slice({tokens}, {start('i')} + 1, {start('(i + 1)')} - {start('i')})"
+    return F.expr(f"aggregate(sequence(0, {EIGHT - 1}), 0L, (all, i) -> all | shiftleft(cast(hash({run}) & 255 AS bigint), 8 * i))")
 
-    return reduce(lambda a, b: a.bitwiseOR(b), [run(i) for i in range(EIGHT)])
 
-
-def token_hashes(tokens: Column) -> Column:
+def token_hashes(line: Column) -> Column:
     """Two bytes per token."""
-    return F.transform(tokens, lambda x: F.hash(x).bitwiseAND(F.lit(2**15 - 1)).cast("smallint"))
+    return F.transform(F.split(line, " "), lambda x: F.hash(x).bitwiseAND(F.lit(2**15 - 1)).cast("smallint"))
 
 
 def counted_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFrame:
     """Every distinct line that may recur: its documents, tokens and place in the tree.
 
-    text, line (hash), n (tokens), masks (numbers), leaf (hash, NULL for lines that are no part of the tree), n_docs,
-    first (the smallest doc_id) and slots. Lines are counted before anything is derived from them, so a line that a
-    third of all rows share arrives as one row per task.
+    line (hash), tokens (hashes), n (tokens), masks (numbers), shape (hash of a numeric line's masked form), leaf (hash, NULL
+    for lines that are no part of the tree), n_docs, first (the smallest doc_id) and slots. A line that a third of
+    all rows share arrives as one row per task.
     """
     each = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"),
         F.explode(F.array_distinct(known_lines(F.col("text"), config))).alias("text"),
     )
-    counted = each.where(F.length("text") >= 2 * config.short_tokens - 1).groupBy("text").agg(
+    text, numeric = F.col("text"), F.startswith("text", F.lit(NUMERIC))
+    n = n_tokens(text)
+    shown = each.where((n >= config.short_tokens) & (F.length("text") >= 2 * config.short_tokens - 1)).select(
+        "doc", F.xxhash64("text").alias("line"), token_hashes(text).alias("tokens"),
+        masks_in(F.when(numeric, masked(text)).otherwise(text)).alias("masks"),
+        F.when(numeric, F.xxhash64(masked(text))).alias("shape"),
+    )
+    counted = shown.groupBy("line", "tokens", "masks", "shape").agg(
         F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first"),
         F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(doc), 64) as int)))").alias("slots"),
-    )
-    shaped = counted.withColumn("tokens", F.split("text", BLANKS)).withColumns({
-        "n": F.size("tokens"), "masks": masks_in(masked(F.col("text"))),
-    })
+    ).withColumn("n", F.size("tokens"))
     words = F.col("n") - F.col("masks")
-    return shaped.where((words >= config.short_tokens) | (F.col("n") >= config.min_tokens)).select(
-        "text", F.xxhash64("text").alias("line"), "n", "masks",
-        F.when(words >= config.min_tokens, F.xxhash64("n", F.slice("tokens", 1, config.depth))).alias("leaf"),
-        "n_docs", "first", "slots",
+    return counted.where((words >= config.short_tokens) | (F.col("n") >= config.min_tokens)).withColumn(
+        "leaf", F.when(words >= config.min_tokens, F.xxhash64("n", F.slice("tokens", 1, config.depth)))
     )
 
 
 def recurring_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFrame:
     """line (hash of a line as compared) and `first`, the smallest doc_id its template occurs in.
 
-    Only lines of leaves with several different lines are cut into tokens and compared.
+    Only lines of leaves with several different lines are compared.
     """
     counted = materialize(counted_lines(docs, config), "lines-counted")
     long = F.col("leaf").isNotNull()
     enough = F.when(F.col("n") >= config.min_tokens, config.min_docs).otherwise(config.short_docs)
     exact = counted.where(F.col("n_docs") >= enough)
     leaves = counted.where(long).groupBy("leaf").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines > 1")
-    tokens = F.split("text", BLANKS)
-    several = counted.where(long).join(leaves, "leaf", "left_semi").withColumn("tokens", tokens).select(
-        "line", "leaf", "n", "masks", "n_docs", "first", "slots",
-        runs_of(F.col("tokens"), F.col("n")).alias("runs"), token_hashes(F.col("tokens")).alias("tokens"),
-    )
+    several = counted.where(long).join(leaves, "leaf", "left_semi").withColumn("runs", runs_of("tokens", "n"))
     several = materialize(several, "lines-several")
-    few = counted.where(~long & (F.col("n") - F.col("masks") >= config.short_tokens)).withColumn("tokens", token_hashes(tokens))
+    few = counted.where(~long & (F.col("n") - F.col("masks") >= config.short_tokens))
     found = exact.select("line", "first").unionByName(same_run_lines(several, config))
     found = found.unionByName(same_token_lines(several, config)).unionByName(short_lines(few, config))
     return found.groupBy("line").agg(F.min("first").alias("first"))
@@ -161,17 +163,23 @@ def same_run_lines(several: DataFrame, config: TemplateConfig) -> DataFrame:
     `short_tokens` constants are none.
     """
     n = F.col("n")
-    ends = [F.greatest(F.floor(n * i / EIGHT), F.lit(config.depth)) for i in range(EIGHT + 1)]
-    behind = [ends[i + 1] - ends[i] for i in range(EIGHT)]
+    ends = [F.greatest(F.floor(n * i / EIGHT).cast("int"), F.lit(config.depth)) for i in range(EIGHT + 1)]
+    behind = F.array(*[ends[i + 1] - ends[i] for i in range(EIGHT)])
     choices = []
     for choice in combinations(range(EIGHT), config.same_runs):
         mask = sum(255 << 8 * i for i in choice)
-        mask = F.lit(mask - 2**64 if mask >= 2**63 else mask)
-        constants = reduce(lambda a, b: a + b, [behind[i] for i in choice]) - F.col("masks")
-        choices.append(F.when(constants >= config.short_tokens, F.struct(
-            F.xxhash64("leaf", mask, F.col("runs").bitwiseAND(mask)).alias("key"), constants.cast("int").alias("constants")
-        )))
-    members = several.select("line", "n_docs", "first", "slots", F.inline(F.array_compact(F.array(*choices))))
+        out = [F.lit(i) for i in range(EIGHT) if i not in choice]
+        choices.append(F.struct(F.lit(mask - 2**64 if mask >= 2**63 else mask).alias("mask"), F.array(*out).alias("left_out")))
+    # The choices are rows of their own before anything is computed of them, so the code for a row stays small.
+    places = several.select(
+        "line", "n_docs", "first", "slots", "masks", "leaf", "runs", (ends[EIGHT] - ends[0]).alias("all"), behind.alias("behind"),
+        F.inline(F.array(*choices)),
+    ).withColumn("key", F.xxhash64("leaf", "mask", F.col("runs").bitwiseAND(F.col("mask"))))
+    missing = [F.get("behind", F.get("left_out", F.lit(j))) for j in range(EIGHT - config.same_runs)]
+    constants = reduce(lambda a, b: a - b, missing, F.col("all")) - F.col("masks")
+    members = places.select("line", "n_docs", "first", "slots", "key", constants.alias("constants")).where(
+        F.col("constants") >= config.short_tokens
+    )
     return of_groups(members, by_constants(F.min("constants"), config))
 
 
@@ -187,11 +195,13 @@ def same_token_lines(several: DataFrame, config: TemplateConfig) -> DataFrame:
     # Lines that are too short for that many constants have no partner.
     able = several.where(n - depth - F.col("masks") >= config.min_tokens)
 
-    def sampled(band: int) -> Column:
-        places = [F.floor((n - depth) * rng.random()).cast("int") + depth for _ in range(4)]
-        return F.xxhash64("leaf", F.lit(band), *[F.get(F.col("tokens"), at) for at in places])
-
-    members = able.select("line", F.explode(F.array(*map(sampled, range(config.bands)))).alias("key"))
+    bands = F.array(*[
+        F.struct(F.lit(band).alias("band"), F.array(*[F.lit(rng.random()) for _ in range(4)]).alias("at")) for band in range(config.bands)
+    ])
+    token = lambda j: F.get("tokens", F.floor((n - depth) * F.get("at", F.lit(j))).cast("int") + depth)
+    members = able.select("line", "leaf", "tokens", "n", F.inline(bands)).select(
+        "line", F.xxhash64("leaf", "band", *[token(j) for j in range(4)]).alias("key")
+    )
     groups = members.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high")
     pairs = members.join(groups, "key").select("line", F.explode(F.array("low", "high")).alias("leader")).where(
         "line <> leader"
@@ -226,8 +236,7 @@ def short_lines(counted: DataFrame, config: TemplateConfig) -> DataFrame:
         )
         for i in range(config.min_tokens - 1)
     ]
-    numbers = F.when(F.col("masks") > 0, F.xxhash64(F.lit("numbers"), masked(F.col("text"))))
-    members = counted.select("line", "slots", "first", F.explode(F.array_compact(F.array(numbers, *others))).alias("key"))
+    members = counted.select("line", "slots", "first", F.explode(F.array_compact(F.array("shape", *others))).alias("key"))
     return of_groups(members, F.bit_count(F.bit_or("slots")) >= config.short_slots)
 
 
