@@ -1,3 +1,8 @@
+import collections
+import math
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import DOCS, empty_docs, odd_docs, odd_rows
@@ -21,6 +26,40 @@ def test_other_columns_are_no_input(spark):
     assert plain == blind.orderBy("doc_id").collect()
 
 
+def plain_grams(text):
+    letters = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+    letters = re.sub(" +", " ", letters)
+    return [letters[i : i + n] for n in (1, 2, 3) for i in range(len(letters) - n + 1)]
+
+
+def bucket_of(gram, buckets):
+    h = len(gram)
+    for c in gram:
+        h = (h * 0x9E3779B97F4A7C15 & 2**64 - 1) ^ ord(c)
+    return ((h * 0xD6E8FEB86659FD93 & 2**64 - 1) >> 40) % buckets
+
+
+def test_equals_plain_naive_bayes(spark):
+    """Class and posterior of every text by the definition: priors, smoothed counts, products over n-grams."""
+    rng = random.Random(2)
+    word = {"en": "the of and to in".split(), "de": "der die und zu ein".split(), "fr": "le la et à un".split()}
+    rows = [(i, " ".join(rng.choices(word[lang], k=rng.randint(1, 6))) + f" {i}!", lang, "s", 1)
+            for i in range(90) for lang in [rng.choice(["en", "en", "en", "de", "fr"])]]
+    config = la.LanguageConfig(buckets=512)
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in la.predict(docs, la.train(docs, config)).collect()}
+    langs = sorted(word)
+    counts = {lang: collections.Counter(bucket_of(g, 512) for _, t, x, *_ in rows if x == lang for g in plain_grams(t)) for lang in langs}
+    size = {lang: sum(counts[lang].values()) + 0.5 * 512 for lang in langs}
+    own = collections.Counter(r[2] for r in rows)
+    for i, text, *_ in rows:
+        logs = [math.log((own[lang] + 1) / (len(rows) + 3)) + sum(math.log((counts[lang][bucket_of(g, 512)] + 0.5) / size[lang]) for g in plain_grams(text))
+                for lang in langs]
+        top = max(logs)
+        assert got[i][0] == langs[logs.index(top)]
+        assert abs(got[i][1] - 1 / sum(math.exp(x - top) for x in logs)) < 1e-4
+
+
 def test_sample_bound_and_counts(spark):
     rows = [(i, f"abc def {i}", "en" if i % 3 else "de", "s", 1) for i in range(900)]
     docs = spark.createDataFrame(rows, DOCS)

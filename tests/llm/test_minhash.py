@@ -97,6 +97,23 @@ def test_samples_agree_as_often_as_texts_are_similar():
     assert abs((one[0] == one[1]).mean() - expected) < 0.03
 
 
+def test_long_texts_without_a_common_shingle_do_not_agree():
+    """300,000 shingles fill all slots of the tables several times."""
+    rng = np.random.default_rng(6)
+    sampler = mh.Sampler(200, 1)
+    for n in (1_000, 300_000):
+        keys = rng.permutation(np.unique(rng.integers(0, 2**63, 2 * n + 100, dtype=np.uint64)))[: 2 * n]
+        a, b = np.sort(keys[:n]), np.sort(keys[n:])
+        weights = rng.uniform(0.5, 4, 2 * n).astype(np.float32)
+        one = sampler.sample(np.concatenate([a, b]), weights, np.array([0, n]))
+        assert (one[0] == one[1]).mean() < 0.01
+        # Nine tenths in common: as often equal as similar.
+        mixed = np.sort(np.concatenate([a[: 9 * n // 10], b[: n // 10]]))
+        flat = np.ones(2 * n, np.float32)
+        two = sampler.sample(np.concatenate([a, mixed]), flat, np.array([0, n]))
+        assert abs((two[0] == two[1]).mean() - 0.9 / 1.1) < 0.12
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(5, 5)]

@@ -31,7 +31,7 @@ class LanguageConfig:
     buckets: int = 1 << 16
     alpha: float = 0.5
     sample_per_language: int = 2000
-    max_languages: int = 1024
+    max_languages: int = 128
     min_score: float = 0.5
 
 
@@ -87,24 +87,32 @@ def grams(texts: list[str | None], orders: tuple[int, ...], buckets: int) -> tup
     return np.concatenate(out), np.concatenate(who), has
 
 
-def training_rows(docs: DataFrame, config: LanguageConfig) -> DataFrame:
-    """At most `sample_per_language` rows per language, chosen by the hash of doc_id.
+def labelled_rows(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
 
-    Rows are first thinned by that hash to about twice the bound, so no language is ranked as a whole.
-    """
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = labelled.groupBy("lang").count().limit(config.max_languages + 1).collect()
+
+def rows_of_languages(docs: DataFrame, config: LanguageConfig) -> dict[str, int]:
+    """How many labelled rows each language has; more than `max_languages` languages are refused."""
+    counts = labelled_rows(docs).groupBy("lang").count().limit(config.max_languages + 1).collect()
     if len(counts) > config.max_languages:
         raise ValueError(f"more than {config.max_languages} language values; raise max_languages")
-    steps = 1 << 30
+    return {row["lang"]: row["count"] for row in counts}
+
+
+def training_rows(docs: DataFrame, config: LanguageConfig, counts: dict[str, int] | None = None) -> DataFrame:
+    """At most `sample_per_language` rows per language, chosen by a hash of doc_id and text.
+
+    Rows are first thinned by that hash to about twice the bound, so no language is ranked as a whole. Rows that are equal
+    in both share their luck.
+    """
+    labelled, steps = labelled_rows(docs), 1 << 30
+    counts = rows_of_languages(docs, config) if counts is None else counts
     share = [
-        part
-        for row in counts
-        for part in (F.lit(row["lang"]), F.lit(int(2 * steps * config.sample_per_language / row["count"])))
+        part for lang, n in counts.items() for part in (F.lit(lang), F.lit(int(2 * steps * config.sample_per_language / n)))
     ]
     if not share:
         return labelled.select("lang", "text").limit(0)
-    draw = F.xxhash64(F.lit("sample"), "doc_id")
+    draw = F.xxhash64(F.lit("sample"), "doc_id", "text")
     thin = labelled.where(F.pmod(draw, F.lit(steps)) < F.create_map(*share)[F.col("lang")])
     order = Window.partitionBy("lang").orderBy(draw, "doc_id")
     chosen = thin.select("lang", "doc_id", "text").withColumn("__at", F.row_number().over(order))
@@ -114,9 +122,11 @@ def training_rows(docs: DataFrame, config: LanguageConfig) -> DataFrame:
 def train(docs: DataFrame, config: LanguageConfig = DEFAULT) -> LanguageModel:
     """A model from rows with `doc_id`, `lang` and `text`; rows with NULL text or lang teach nothing.
 
-    The driver gets one number per language and bucket, which the configuration bounds.
+    A language's prior is its share of all labelled rows, each language counted once more; the sample bounds what
+    the n-grams are counted on. The driver gets one number per language and bucket, which the configuration bounds.
     """
-    rows = training_rows(docs, config)
+    seen = rows_of_languages(docs, config)
+    rows = training_rows(docs, config, seen)
     orders, buckets = config.orders, config.buckets
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +156,8 @@ def train(docs: DataFrame, config: LanguageConfig = DEFAULT) -> LanguageModel:
     at = (sums.column("bucket").to_numpy(), np.array([place[x] for x in table_langs], np.int64))
     np.add.at(counts, at, sums.column("n").to_numpy())
     log_prob = np.log(counts / counts.sum(axis=0)).astype(np.float32) if languages else counts
-    prior = np.zeros(len(languages))
+    shares = np.array([seen[name] + 1 for name in languages], np.float64)
+    prior = np.log(shares / shares.sum())
     return LanguageModel(languages, log_prob, prior, config)
 
 
@@ -175,7 +186,12 @@ def _ship(spark: SparkSession, model: LanguageModel) -> Callable[[], LanguageMod
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """doc_id, lang_pred and score of every row, from the whole text and nothing else."""
+    """doc_id, lang_pred and score of every row, from the whole text and nothing else.
+
+    A NULL text or one without a letter is `und` with score 0, as is every text under a model without languages. Long
+    texts are read whole. Equal scores go to the language that sorts first, repeated rows get equal
+    results, an empty table gives none, and other columns are left out.
+    """
     model_of = _ship(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +208,10 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """Rows whose language is determined with at least `min_score`; all columns stay."""
+    """Rows whose language is determined with at least `min_score`; all columns stay, whatever they are called.
+
+    Rows with a NULL text or without a letter go; an empty table stays empty.
+    """
     model_of, least = _ship(docs.sparkSession, model), model.config.min_score
 
     def keeper() -> Keep:

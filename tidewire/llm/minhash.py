@@ -103,8 +103,10 @@ def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 class Sampler:
     """Improved consistent weighted sampling with its random numbers taken from tables.
 
-    For hash number k a shingle's r, c and beta are read at a slot that its hash and k choose. The
-    smallest ln a of a text stands for the sample (shingle, t): it is a function of the two.
+    For hash number k a shingle's r, c and beta are read at a slot that its hash and k choose. The sample is the
+    shingle with the smallest ln a, of several in one slot that with the smallest hash, and its t: 32 bits of the
+    shingle's hash, mixed with ln a, which for a given shingle is a function of t. So long texts that fill the same
+    slots with different shingles have different samples.
     """
 
     def __init__(self, samples: int, seed: int):
@@ -118,13 +120,19 @@ class Sampler:
         self.odd = rng.integers(0, 2**63, samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def sample(self, keys: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """One row of samples per text; text i holds the shingles from starts[i] on."""
+        """One row of samples per text; text i holds the shingles from starts[i] on, sorted by hash."""
         out = np.empty((len(starts), len(self.odd)), np.uint32)
         log_weight = np.log(weights)
+        text = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys))))
+        short = (keys >> np.uint64(32)).astype(np.uint32)
         for k, odd in enumerate(self.odd):
             slot = ((keys * odd) >> np.uint64(64 - TABLE_BITS)).astype(np.intp)
             t = np.floor(log_weight * self.inverse[slot] + self.beta[slot])
-            out[:, k] = np.minimum.reduceat(self.base[slot] - self.r[slot] * t, starts).view(np.uint32)
+            value = self.base[slot] - self.r[slot] * t
+            least = np.minimum.reduceat(value, starts)
+            hit = np.flatnonzero(value == least[text])
+            first = hit[np.append(True, text[hit[1:]] != text[hit[:-1]])]
+            out[:, k] = short[first] ^ least.view(np.uint32)
         return out
 
 

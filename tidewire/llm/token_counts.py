@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.common import slices, worker_cache
 from tidewire.llm.encoders import TokenCounter
+from tidewire.session import materialize
 
 CACHE_SCHEMA = "version string, digest binary, n_tokens bigint"
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,7 +83,8 @@ def count_tokens(docs: DataFrame, cache: str, path: str = BYTE_BPE, limit: int =
     table gives none. Special strings inside a text are what the tokenizer takes them for.
     """
     encode_misses(docs, cache, path)
-    counts = read_cache(docs.sparkSession, cache, tokenizer_version(path))
+    # Written once, so that the join reads both sides as they are and Spark can split the rows of a hot digest.
+    counts = materialize(read_cache(docs.sparkSession, cache, tokenizer_version(path)), "counts")
     texts = docs.select(
         F.col("doc_id").cast("bigint"), content_digest(F.col("text")).alias("digest"),
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
