@@ -117,14 +117,15 @@ def counted_lines(docs: DataFrame, config: TemplateConfig = DEFAULT) -> DataFram
     text, numeric = F.col("text"), F.startswith("text", F.lit(NUMERIC))
     n = n_tokens(text)
     shown = each.where((n >= config.short_tokens) & (F.length("text") >= 2 * config.short_tokens - 1)).select(
-        "doc", F.xxhash64("text").alias("line"), token_hashes(text).alias("tokens"),
+        "doc", F.xxhash64("text").alias("line"), n.alias("n"), token_hashes(text).alias("tokens"),
         masks_in(F.when(numeric, masked(text)).otherwise(text)).alias("masks"),
         F.when(numeric, F.xxhash64(masked(text))).alias("shape"),
     )
-    counted = shown.groupBy("line", "tokens", "masks", "shape").agg(
+    # n is counted and not the size of `tokens`: a filter on it is applied before the count, where tokens are dear.
+    counted = shown.groupBy("line", "n", "tokens", "masks", "shape").agg(
         F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first"),
         F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(doc), 64) as int)))").alias("slots"),
-    ).withColumn("n", F.size("tokens"))
+    )
     words = F.col("n") - F.col("masks")
     return counted.where((words >= config.short_tokens) | (F.col("n") >= config.min_tokens)).withColumn(
         "leaf", F.when(words >= config.min_tokens, F.xxhash64("n", F.slice("tokens", 1, config.depth)))
