@@ -96,6 +96,17 @@ def test_dates_in_any_session_zone(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_clock_first_and_months(spark):
+    at = datetime(2003, 9, 28, 10, 36)
+    dates = {
+        "10:36 28.9.2003": at, "10:36:28 UTC, 2003-09-28": datetime(2003, 9, 28, 10, 36, 28), "3:04 PM Jan 2 2024": datetime(2024, 1, 2, 15, 4),
+        "12:05am on Tue, 02 Jan 2024": datetime(2024, 1, 2, 0, 5), "10:36 +02:00 September 28, 2003": datetime(2003, 9, 28, 8, 36),
+        "Jan 2024": datetime(2024, 1, 1), "September, 2003": datetime(2003, 9, 1), "2024-02": datetime(2024, 2, 1),
+        "10:36": None, "10:36 soon": None, "Foo 2024": None, "25:99 Jan 2 2024": None, "2024-13": None,
+    }
+    assert values(spark, list(dates), parse_date(F.col("t"))) == list(dates.values())
+
+
 def test_legacy_zone_names_are_utc(spark):
     got = values(spark, ["02 Jan 2024 03:04 EST"], parse_date(F.col("t"), legacy_zone_names=True))
     assert got == [datetime(2024, 1, 2, 3, 4)]

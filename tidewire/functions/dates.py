@@ -7,6 +7,8 @@ unreadable date is NULL and neither the session zone nor the JVM's locale matter
 * RFC 822: `Tue, 02 Jan 2024 03:04:05`, weekday and seconds optional, two-digit years
 * US long: `January 2, 2024 at 3:04 PM`, and US short: `01/02/2024 03:04:05`, `01.02.2024`
 * asctime: `Tue Jan  2 03:04:05 2024`
+* any of these with the clock in front: `10:36 28.9.2003`, `3:04 PM Jan 2 2024`, `10:36:28 UTC, 2024-01-02`
+* a month alone, which is its first day: `Jan 2024`, `2024-01`
 
 Short dates are month first, unless the first number can only be a day. A clock may be an hour with AM
 or PM. Each comes with an optional zone: `Z`, `UTC`, `+0200`, `+02:00`, `-05`, or a zone name. No zone means UTC.
@@ -33,6 +35,9 @@ _TIME = r"\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?\d*)?"
 _CLOCK = rf"(?:,?(?:\s+at)?[\st]+({_TIME}|\d{{1,2}}(?=\s*[ap]m))\s*(am|pm)?)?"
 # Forms that are first put into the order of one of those below.
 _REORDERED = (
+    (rf"(?i)^({_TIME})\s*(am|pm)?\s*(z|utc|gmt|[+-]\d{{2}}:?\d{{2}})?,?\s+(?:on\s+)?(\S.*)$", "$4 $1 $2 $3"),
+    (rf"(?i)^{_MONTH},?\s+(\d{{4}})$", "$1 1, $2"),
+    (r"^(\d{4})-(0[1-9]|1[0-2])$", "$1-$2-01"),
     (rf"(?i)^{_WEEKDAY}{_MONTH}\s+(\d{{1,2}})\s+({_TIME})\s+(\d{{4}})$", "$1 $2, $4 $3"),
     (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
     (r"(?i)^(\d{4})(\d{2})(\d{2})[t ]?(\d{2})(\d{2})(\d{2})", "$1-$2-$3 $4:$5:$6"),
@@ -55,7 +60,7 @@ def _parts(text: Column) -> Column:
     A matching form rewrites the text to marked parts, on which the forms after it fail at once.
     """
     for pattern, ordered in _REORDERED:
-        text = F.regexp_replace(text, pattern, ordered)
+        text = F.rtrim(F.regexp_replace(text, pattern, ordered))
     for form, year, month, day in _FORMS:
         pattern = f"(?i)^{_WEEKDAY}{form}{_CLOCK}{_ZONE}"
         text = F.regexp_replace(text, pattern, _MARK.join((year, month, day, "$4", "$5", "$6")))
