@@ -1,7 +1,9 @@
 import collections
+import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from sentencepiece import SentencePieceProcessor
@@ -100,3 +102,26 @@ def test_query_returns_the_encoding(spark):
     rows = queries.op6_sentencepiece(spark, "/root/testdata/sf0.001").where("doc_id < 20").collect()
     for r in rows:
         assert len(r.ids) == r.n_pieces and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+
+
+def test_texts_are_searched_side_by_side(monkeypatch):
+    """Drawing takes as many array operations for many texts as for one, and gives each text what it gets alone."""
+    texts = ["hello wonderful people", "in a", "  spaces  in\nbetween ", "\u4e2d\u6587 text"] * 10
+    cut = [sg.chunks_of(t) for t in texts]
+    known = {c: i for i, c in enumerate(dict.fromkeys(c for cs in cut for c in cs))}
+    lattice, keys = sg.Lattice(list(known), MODEL), np.arange(len(texts), dtype=np.uint64)
+    occurrences = [np.array([known[c] for c in cs]) for cs in cut]
+    calls, uniform = [], sg.uniform
+    monkeypatch.setattr(sg, "uniform", lambda *a: calls.append(1) or uniform(*a))
+    together = list(sg.search(lattice, occurrences, keys, 2))
+    assert len(calls) < len(texts)
+    alone = [(i, *row[1:]) for i in range(len(texts)) for row in sg.search(lattice, occurrences[i : i + 1], keys[i : i + 1], 2)]
+    plain = lambda rows: [(i, r, p.slot.tolist(), p.length.tolist(), p.log_prob, v, x) for i, r, p, v, x in rows]
+    assert plain(together) == plain(alone)
+
+
+def test_chunks_of_texts_side_by_side():
+    texts = ["a", " ", "  b  c", f"{sg.MARK}x {sg.MARK}", "end ", " next", "\u00e2\u2580\u2581\u4e2d \U0001f600\n"]
+    chunks, n_chunks = sg.chunked(sg.marked(pa.array(["skipped", *texts], pa.large_string()).slice(1)))
+    plain = [re.findall(f"{sg.MARK}+[^{sg.MARK}]*", f"{sg.MARK}{t}".replace(" ", sg.MARK)) for t in texts]
+    assert chunks.to_pylist() == sum(plain, []) and n_chunks.tolist() == [len(cs) for cs in plain]

@@ -11,7 +11,6 @@ distinct segmentations without replacement. All random numbers come from the row
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,6 +19,7 @@ from heapq import heappop, heappush
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +28,6 @@ from sentencepiece import SentencePieceProcessor
 from tidewire.llm.common import slices, worker_cache
 
 MARK = "▁"
-CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 GAMMA, MIX, MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 TINY = 1e-13
 UNDERFLOW = 600
@@ -109,19 +108,27 @@ def uniform(key: np.ndarray, counter: np.ndarray) -> np.ndarray:
     return ((z >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
+def code_points(texts: pa.Array) -> np.ndarray:
+    """The characters of texts, one after another."""
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    whole = str(memoryview(data or b"")[ends[0] : ends[-1]], "utf-8")
+    return np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+
+
 class Lattice:
     """The lattices of distinct chunks side by side: one slot per character and one per chunk's end."""
 
-    def __init__(self, chunks: list[str], model: PieceModel):
-        sizes = np.array([len(c) for c in chunks], np.int64)
+    def __init__(self, chunks: list[str] | pa.Array, model: PieceModel):
+        chunks = chunks if isinstance(chunks, pa.Array) else pa.array(chunks, pa.large_string())
+        sizes = pc.utf8_length(chunks).to_numpy().astype(np.int64)
         self.start = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
         self.end = self.start + sizes
         total = int(sizes.sum() + len(chunks))
         code = np.zeros(total + model.longest, np.uint64)
         inside = np.ones(total, bool)
         inside[self.end] = False
-        text = "".join(chunks)
-        code[:total][inside] = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        code[:total][inside] = code_points(chunks)
         left = np.repeat(self.end, sizes + 1) - np.arange(total)
         at = np.flatnonzero(left > 0)
         h = np.zeros(len(at), np.uint64)
@@ -206,7 +213,8 @@ class Path:
     occurrence: np.ndarray
     slot: np.ndarray
     length: np.ndarray
-    log_before: np.ndarray  # of the arcs before each step
+    log_arc: np.ndarray  # of each step
+    log_after: np.ndarray  # of the arcs up to each step, with it
     log_prob: float
 
 
@@ -250,67 +258,77 @@ def search(
     n = len(occurrences)
     heaps: list[list[tuple]] = [[] for _ in range(n)]
     emitted: list[list[tuple[Path, float]]] = [[] for _ in range(n)]
+    chunks = np.concatenate([np.zeros(0, np.int64), *occurrences])
+    n_chunks = np.array([len(o) for o in occurrences], np.int64)
+    first_chunk = np.cumsum(n_chunks) - n_chunks
+    arcs = np.arange(lattice.probability.shape[1])
     root = -np.log(-np.log(uniform(keys, np.full(n, 2**40, np.uint64))))
     for i in range(n):
         heappush(heaps[i], (-float(root[i]), 0, None, 0, 0))
     for rank in range(k):
         opened = [(i, heappop(heaps[i])) for i in range(n) if heaps[i]]
-        starts = []
-        for i, (_, _, base, t, banned) in opened:
-            chunks = occurrences[i]
-            if base is None:
-                starts.append((0, lattice.start[chunks], np.zeros(0, np.int64), 0))
-                continue
-            o, slot = int(base.occurrence[t]), int(base.slot[t])
-            allowed = np.where((banned >> np.arange(lattice.probability.shape[1])) & 1, 0, lattice.probability[slot])
-            total = np.cumsum(allowed)
-            u = uniform(keys[i : i + 1], np.array([2**41 + 7919 * rank], np.uint64))[0] * total[-1]
-            length = 1 + int((u >= total).sum())
-            slots = lattice.start[chunks[o:]].copy()
-            slots[0] = slot + length
-            starts.append((o, slots, t, length))
-        flat = np.concatenate([s[1] for s in starts]) if starts else np.zeros(0, np.int64)
-        if not len(flat):
-            continue
-        who = np.concatenate([np.full(len(s[1]), j) for j, s in enumerate(starts)])
-        text = np.array([i for i, _ in opened])[who]
-        number = np.concatenate([np.arange(s[0], s[0] + len(s[1])) for s in starts])
-        chunk = np.concatenate([occurrences[i][s[0] :] for (i, _), s in zip(opened, starts, strict=True)])
-        ends = lattice.end[chunk]
+        if not opened:
+            break
+        text = np.array([i for i, _ in opened])
+        # Sets that are a part of another: they keep its path's steps before t and take another arc there.
+        split = np.array([j for j, (_, node) in enumerate(opened) if node[2] is not None], np.int64)
+        nodes = [opened[j][1] for j in split]
+        skipped = np.zeros(len(opened), np.int64)
+        skipped[split] = [base.occurrence[t] for _, _, base, t, _ in nodes]
+        fork = np.array([base.slot[t] for _, _, base, t, _ in nodes], np.int64)
+        gone = (np.array([banned for *_, banned in nodes], np.int64)[:, None] >> arcs) & 1 == 1
+        shares = lattice.probability[fork]
+        total = np.cumsum(np.where(gone, 0, shares), axis=1)
+        u = uniform(keys[text[split]], np.full(len(split), 2**41 + 7919 * rank, np.uint64)) * total[:, -1]
+        turn = 1 + (u[:, None] >= total).sum(axis=1)
+        left = n_chunks[text] - skipped
+        begin = np.cumsum(left) - left
+        who = np.repeat(np.arange(len(opened)), left)
+        number = np.arange(len(who)) - (begin - skipped)[who]
+        chunk = chunks[first_chunk[text][who] + number]
+        flat, ends = lattice.start[chunk], lattice.end[chunk]
+        flat[begin[split]] = fork + turn
         live = np.flatnonzero(flat < ends)
         counter = (number.astype(np.uint64) << np.uint64(12)) + (np.uint64(rank + 1) << np.uint64(44))
-        steps = walk(lattice, flat[live], ends[live], keys[text[live]], counter[live])
-        walker = live[np.concatenate([s[0] for s in steps])] if steps else live
-        slot = np.concatenate([s[1] for s in steps]) if steps else live
-        length = np.concatenate([s[2] for s in steps]) if steps else live
+        steps = walk(lattice, flat[live], ends[live], keys[text[who[live]]], counter[live])
+        walker = np.concatenate([begin[split], *(live[s[0]] for s in steps)])
+        slot = np.concatenate([fork, *(s[1] for s in steps)])
+        length = np.concatenate([turn, *(s[2] for s in steps)])
         order = np.argsort(walker, kind="stable")  # the steps of a walker are in order already
         walker, slot, length = walker[order], slot[order], length[order]
-        bounds = np.searchsorted(who[walker], np.arange(len(opened) + 1))
+        bounds = np.searchsorted(walker, np.append(begin, len(who)))
+        p = lattice.probability[slot, length - 1]
+        log_p, occurrence = np.log(p), number[walker]
+        after = log_p.copy()
+        for j, (_, _, base, t, _) in zip(split, nodes, strict=True):
+            if t:
+                after[bounds[j]] += base.log_after[t - 1]
+        parts = [slice(a, b) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        for part in parts:
+            np.cumsum(after[part], out=after[part])
+        rest = 1 - p
+        rest[bounds[split]] -= np.where(gone, shares, 0).sum(axis=1)
+        can = np.flatnonzero(rest > TINY)
+        of = who[walker[can]]
+        at = can - bounds[of]
+        phi = after[can] - log_p[can] + np.log(rest[can])
+        draw = uniform(keys[text[of]], (np.uint64(rank + 1) << np.uint64(52)) + at.astype(np.uint64))
+        # A Gumbel with location phi below the set's value, in logarithms as phi may be far below.
+        value = np.array([-minus for _, (minus, *_) in opened])[of]
+        g = phi - np.logaddexp(phi - value, np.log(-np.log(draw)))
+        found = np.searchsorted(can, bounds).tolist()
         for j, (i, (minus, _, base, t, banned)) in enumerate(opened):
-            part = slice(bounds[j], bounds[j + 1])
-            occ, slots, lens = number[walker[part]], slot[part], length[part]
-            if base is not None:
-                occ = np.concatenate([base.occurrence[: t + 1], occ])
-                slots = np.concatenate([base.slot[: t + 1], slots])
-                lens = np.concatenate([base.length[:t], [starts[j][3]], lens])
-            p = lattice.probability[slots, lens - 1]
-            log_p = np.log(p)
-            before = np.cumsum(log_p) - log_p
-            path = Path(occ, slots, lens, before, float(log_p.sum()))
-            value = -minus
-            emitted[i].append((path, value))
-            rest = 1 - p[t:]
+            part = parts[j]
+            fields = [occurrence[part], slot[part], length[part], log_p[part], after[part]]
             if base is not None:
-                gone = (banned >> np.arange(lattice.probability.shape[1])) & 1
-                rest[0] -= lattice.probability[slots[t]][gone == 1].sum()
-            can = np.flatnonzero(rest > TINY)
-            phi = before[t:][can] + np.log(rest[can])
-            draw = uniform(keys[i], (np.uint64(rank + 1) << np.uint64(52)) + can.astype(np.uint64))
-            # A Gumbel with location phi below `value`, in logarithms as phi may be far below.
-            g = phi - np.logaddexp(phi - value, np.log(-np.log(draw)))
-            for x in largest(g, k - rank):
-                step = int(can[x])
-                used = 1 << int(lens[t + step]) - 1 | (banned if step == 0 and base is not None else 0)
+                before = (base.occurrence, base.slot, base.length, base.log_arc, base.log_after)
+                fields = [np.concatenate([b[:t], f]) for b, f in zip(before, fields, strict=True)]
+            path = Path(*fields, float(fields[3].sum()))
+            emitted[i].append((path, -minus))
+            for x in largest(g[found[j] : found[j + 1]], k - rank):
+                x += found[j]
+                step = int(at[x])
+                used = 1 << int(path.length[t + step]) - 1 | (banned if step == 0 and base is not None else 0)
                 heappush(heaps[i], (-float(g[x]), rank + 1, path, t + step, used))
     for i in range(n):
         limit = -heaps[i][0][0] if heaps[i] else -np.inf
@@ -328,52 +346,73 @@ def largest(g: np.ndarray, n: int) -> list[int]:
     return some[np.argsort(-g[some], kind="stable")].tolist()
 
 
-def spelled(lattice: Lattice, path: Path, ids: np.ndarray, model: PieceModel) -> np.ndarray:
-    """The characters that the pieces of a path spell; a character in several bytes is read from the lattice."""
+def spelled(lattice: Lattice, slot: np.ndarray, ids: np.ndarray, model: PieceModel) -> tuple[np.ndarray, np.ndarray]:
+    """The characters that pieces at these slots spell, one after another, and how many each has.
+
+    A character in several bytes is read from the lattice.
+    """
     known = np.maximum(ids, 0)
     sizes = np.where(ids >= 0, model.sizes[known], 1)
     before = np.cumsum(sizes) - sizes
     codes = model.codes[np.repeat(model.offsets[known] - before, sizes) + np.arange(int(sizes.sum()))]
-    if len(ids) and ids.min() < 0:
-        codes[before[ids < 0]] = lattice.code[path.slot[ids < 0]]
-    return codes
+    in_bytes = np.flatnonzero(ids < 0)
+    codes[before[in_bytes]] = lattice.code[slot[in_bytes]]
+    return codes, sizes
 
 
-def piece_ids(lattice: Lattice, path: Path, ids: np.ndarray, model: PieceModel) -> np.ndarray:
+def piece_ids(lattice: Lattice, slot: np.ndarray, ids: np.ndarray, model: PieceModel) -> np.ndarray:
     """The ids of a path; a character without a piece of its own is its UTF-8 bytes."""
     if not len(ids) or ids.min() >= 0:
         return ids
     first = int(model.byte_ids[0])
     out: list[int] = []
-    for i, slot in zip(ids, path.slot, strict=True):
-        out += [int(i)] if i >= 0 else [first + b for b in chr(int(lattice.code[slot])).encode()]
+    for i, at in zip(ids.tolist(), slot.tolist(), strict=True):
+        out += [i] if i >= 0 else [first + b for b in chr(lattice.code[at]).encode()]
     return np.array(out, np.int32)
 
 
-def portions(
-    batches: Iterator[pa.RecordBatch], chars: int = 800_000
-) -> Iterator[tuple[list[int | None], list[str | None]]]:
-    """doc_ids and texts of consecutive rows, of about `chars` characters; a longer text is by itself."""
+def portions(batches: Iterator[pa.RecordBatch], chars: int = 800_000) -> Iterator[tuple[list[int | None], pa.Array]]:
+    """doc_ids and texts (NULL: empty) of consecutive rows, of about `chars` characters; a longer text is by itself."""
     for batch in slices(batches):
-        ids, texts, size = [], [], 0
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            if ids and size + len(text or "") > chars:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-            ids.append(doc_id)
-            texts.append(text)
-            size += len(text or "")
-        if ids:
-            yield ids, texts
+        ids = batch.column("doc_id").to_pylist()
+        texts = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
+        start, size = 0, 0
+        for i, n in enumerate(pc.utf8_length(texts).to_pylist()):
+            if i > start and size + n > chars:
+                yield ids[start:i], texts.slice(start, i - start)
+                start, size = i, 0
+            size += n
+        if len(ids) > start:
+            yield ids[start:], texts.slice(start)
 
 
-def marked(text: str) -> str:
-    """The text as encoding sees it: a word mark in front and in place of each space."""
-    return f"{MARK}{text}".replace(" ", MARK)
+def marked(texts: pa.Array) -> pa.Array:
+    """Texts as encoding sees them: a word mark in front and in place of each space."""
+    spaced = pc.replace_substring(texts, " ", MARK)
+    return pc.binary_join_element_wise(pa.scalar(MARK, spaced.type), spaced, pa.scalar("", spaced.type))
+
+
+def chunked(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The chunks of marked texts, one after another, and each text's number of chunks.
+
+    A chunk begins at a text's beginning and at each word mark that follows no other mark of its text.
+    """
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data or b"", np.uint8)[: offsets[-1]]
+    mark = np.frombuffer(MARK.encode(), np.uint8)
+    at = np.flatnonzero(raw[: 1 - len(mark)] == mark[0])
+    at = at[(raw[at + 1] == mark[1]) & (raw[at + 2] == mark[2])]
+    follows = np.append(False, at[1:] == at[:-1] + len(mark))
+    follows[np.searchsorted(at, offsets[:-1])] = False
+    begins = at[~follows]
+    n_chunks = np.diff(np.searchsorted(begins, offsets))
+    begins = np.append(begins, offsets[-1])
+    return pa.LargeStringArray.from_buffers(len(begins) - 1, pa.py_buffer(begins), data), n_chunks
 
 
 def chunks_of(text: str) -> list[str]:
-    return CHUNK.findall(marked(text)) if text else []
+    return chunked(marked(pa.array([text], pa.large_string())))[0].to_pylist() if text else []
 
 
 def sample(docs: DataFrame, config: SegmentConfig = DEFAULT, with_ids: bool = True) -> DataFrame:
@@ -392,24 +431,32 @@ def sample(docs: DataFrame, config: SegmentConfig = DEFAULT, with_ids: bool = Tr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = worker_cache(f"pieces {path} {temperature}", lambda: PieceModel(path, temperature))
         for doc_ids, texts in portions(batches):
-            cut = [chunks_of(text or "") for text in texts]
-            coded = pa.array([c for cs in cut for c in cs], pa.string()).dictionary_encode()
-            lattice = Lattice(coded.dictionary.to_pylist(), model)
-            places = coded.indices.to_numpy().astype(np.int64)
-            occurrences = np.split(places, np.cumsum([len(cs) for cs in cut])[:-1])
             keys = np.array([xxhash.xxh3_64_intdigest(f"{seed} {d}") for d in doc_ids], np.uint64)
-            filled = [i for i, o in enumerate(occurrences) if len(o)]
-            rows = [(d, 1, 0, 0, 0.0, 0.0, 0.0, True) for d, o in zip(doc_ids, occurrences, strict=True) if not len(o)]
-            whole = {i: np.frombuffer(marked(texts[i]).encode("utf-32-le"), np.uint32) for i in filled}
+            sizes = pc.utf8_length(texts).to_numpy()
+            filled = np.flatnonzero(sizes)
+            rows = [(doc_ids[i], 1, 0, 0, 0.0, 0.0, 0.0, True) for i in np.flatnonzero(sizes == 0)]
             parts = [np.zeros(0, np.int32)] * len(rows)
-            for j, rank, found, value, included in search(lattice, [occurrences[i] for i in filled], keys[filled], k):
-                i = filled[j]
-                arcs = lattice.ids[found.slot, found.length - 1]
-                same = np.array_equal(spelled(lattice, found, arcs, model), whole[i])
-                ids = piece_ids(lattice, found, arcs, model)
-                crc = zlib.crc32(np.ascontiguousarray(ids, "<i4").data)
-                rows.append((doc_ids[i], rank, len(ids), crc, found.log_prob, value, included, same))
-                parts.append(ids)
+            if len(filled):
+                given = marked(texts.take(filled))
+                chunks, n_chunks = chunked(given)
+                coded = chunks.dictionary_encode()
+                lattice = Lattice(coded.dictionary, model)
+                occurrences = np.split(coded.indices.to_numpy().astype(np.int64), np.cumsum(n_chunks)[:-1])
+                found = list(search(lattice, occurrences, keys[filled], k))
+                slots = np.concatenate([taken.slot for _, _, taken, _, _ in found])
+                arcs = lattice.ids[slots, np.concatenate([taken.length for _, _, taken, _, _ in found]) - 1]
+                codes, spelt = spelled(lattice, slots, arcs, model)
+                ends = np.cumsum([len(taken.slot) for _, _, taken, _, _ in found])
+                ends_of_codes = np.cumsum(spelt)[ends - 1].tolist()
+                whole = np.split(code_points(given), np.cumsum(sizes[filled] + 1)[:-1])
+                a = c = 0
+                for (j, rank, taken, value, included), b, d in zip(found, ends.tolist(), ends_of_codes, strict=True):
+                    same = np.array_equal(codes[c:d], whole[j])
+                    ids = piece_ids(lattice, slots[a:b], arcs[a:b], model)
+                    crc = zlib.crc32(np.ascontiguousarray(ids, "<i4").data)
+                    rows.append((doc_ids[filled[j]], rank, len(ids), crc, taken.log_prob, value, included, same))
+                    parts.append(ids)
+                    a, c = b, d
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), *[pa.float64()] * 3, pa.bool_()]
             columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
             arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
