@@ -1,4 +1,6 @@
 import collections
+import contextlib
+import io
 import random
 import re
 
@@ -192,6 +194,22 @@ def test_plan_is_native(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_code_for_rows_is_compiled(spark, monkeypatch):
+    """No method that Spark generates exceeds the 8,000 bytes above which the JVM only interprets."""
+    frames, materialize = [], lt.materialize
+    monkeypatch.setattr(lt, "materialize", lambda df, name: frames.append(df) or materialize(df, name))
+    frames.append(lt.drop_recurring(spark.createDataFrame([(1, "a b c d e f g h i j k l m n", "en", "s", 1)], DOCS)))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan shows its code only when it has run
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        for df in frames:
+            df.select("*").explain("codegen")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue())]
+    assert len(sizes) > 20 and max(sizes) <= 8000
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     frame, counts = docs, []

@@ -163,21 +163,21 @@ def same_run_lines(several: DataFrame, config: TemplateConfig) -> DataFrame:
     tokens of these runs behind the leaf's, without as many as the line has masks. Choices with fewer than
     `short_tokens` constants are none.
     """
-    n = F.col("n")
-    ends = [F.greatest(F.floor(n * i / EIGHT).cast("int"), F.lit(config.depth)) for i in range(EIGHT + 1)]
-    behind = F.array(*[ends[i + 1] - ends[i] for i in range(EIGHT)])
+    # Columns of a choice are computed from the runs it leaves out; with the sizes of all eight runs spelled out, the
+    # code for a row is longer than the JVM compiles (8,000 bytes).
+    end = lambda i: F.greatest(F.floor(F.col("n") * i / EIGHT).cast("int"), F.lit(config.depth))
     choices = []
     for choice in combinations(range(EIGHT), config.same_runs):
         mask = sum(255 << 8 * i for i in choice)
         out = [F.lit(i) for i in range(EIGHT) if i not in choice]
         choices.append(F.struct(F.lit(mask - 2**64 if mask >= 2**63 else mask).alias("mask"), F.array(*out).alias("left_out")))
     # The choices are rows of their own before anything is computed of them, so the code for a row stays small.
-    places = several.select(
-        "line", "n_docs", "first", "slots", "masks", "leaf", "runs", (ends[EIGHT] - ends[0]).alias("all"), behind.alias("behind"),
-        F.inline(F.array(*choices)),
-    ).withColumn("key", F.xxhash64("leaf", "mask", F.col("runs").bitwiseAND(F.col("mask"))))
-    missing = [F.get("behind", F.get("left_out", F.lit(j))) for j in range(EIGHT - config.same_runs)]
-    constants = reduce(lambda a, b: a - b, missing, F.col("all")) - F.col("masks")
+    places = several.select("line", "n_docs", "first", "slots", "masks", "leaf", "runs", "n", F.inline(F.array(*choices))).withColumn(
+        "key", F.xxhash64("leaf", "mask", F.col("runs").bitwiseAND(F.col("mask")))
+    )
+    left_out = [F.get("left_out", F.lit(j)) for j in range(EIGHT - config.same_runs)]
+    behind = F.greatest("n", F.lit(config.depth)) - config.depth
+    constants = reduce(lambda all_, i: all_ - (end(i + 1) - end(i)), left_out, behind) - F.col("masks")
     members = places.select("line", "n_docs", "first", "slots", "key", constants.alias("constants")).where(
         F.col("constants") >= config.short_tokens
     )
