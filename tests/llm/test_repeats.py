@@ -126,6 +126,72 @@ def test_hot_group_of_copies(spark):
     assert results(repeats.remove_repeats(docs, repeats.RepeatConfig(contexts=20))) == brute([r[:2] for r in rows])
 
 
+@pytest.mark.parametrize(("seed", "options"), [
+    (4, {"contexts": 3, "share": 1}),
+    # All spans are split down to single strings; blocks of keys are cut between batches.
+    (5, {"contexts": 0, "share": 1, "slice_bytes": 300, "held": 50, "shard_bytes": 4000, "memory": 64}),
+    (6, {"contexts": 10, "share": 2, "length": 40, "gram": 12}),
+])
+def test_split_spans_equal_brute_force(spark, seed, options):
+    rows = made_up(seed)
+    config = repeats.RepeatConfig(**options)
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    assert len(repeats.hot_keys(repeats.keyed(docs), config))
+    assert results(repeats.remove_repeats(docs, config)) == brute([r[:2] for r in rows], config.length)
+
+
+def test_a_common_line_is_not_searched_string_by_string(spark, monkeypatch):
+    """The bytes that are sorted follow the spans at the line's ends, not all strings that overlap it."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(map(chr, rng.integers(97, 123, 7)))
+    prose = lambda k: " ".join(word() for _ in range(k))
+    line = prose(18)
+    rows = [(i, f"{prose(30)}\n{line}\n{prose(30)}", "en", "s", 1) for i in range(1200)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(16)
+    searched, search = [], repeats.search
+    monkeypatch.setattr(repeats, "search", lambda cut, config: (searched.append(cut), search(cut, config))[1])
+    assert results(repeats.remove_repeats(docs, repeats.RepeatConfig(contexts=100))) == brute([r[:2] for r in rows])
+    assert 0 < searched[0].agg(F.sum(F.octet_length("bytes"))).first()[0] < 1000 * len(rows)
+
+
+def test_a_common_anchor_alone_is_not_searched(spark, monkeypatch):
+    """Texts that share less than a string share no core and are left out."""
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(map(chr, rng.integers(97, 123, 7)))
+    line = " ".join(word() for _ in range(6))
+    rows = [(i, " ".join([*(word() for _ in range(20)), line, *(word() for _ in range(20))]), "en", "s", 1) for i in range(50)]
+    rows.append((50, rows[0][1][:300], "en", "s", 1))
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    searched, search = [], repeats.search
+    monkeypatch.setattr(repeats, "search", lambda cut, config: (searched.append(cut), search(cut, config))[1])
+    assert results(repeats.remove_repeats(docs)) == brute([r[:2] for r in rows])
+    assert 0 <= (searched[0].agg(F.sum(F.octet_length("bytes"))).first()[0] or 0) < 1000
+
+
+def test_parts_hold_every_string_once_and_equal_ones_under_one_key():
+    rng = np.random.default_rng(3)
+    config = repeats.RepeatConfig()
+    passage = rng.integers(97, 123, 160).astype(np.uint8)
+    texts = [np.concatenate([rng.integers(97, 123, rng.integers(0, 200)).astype(np.uint8), passage[a:], np.frombuffer(b"ab" * 70, np.uint8)]) for a in rng.integers(0, 40, 30)]
+    texts.append(passage[:99])
+    data, ends = np.concatenate(texts), np.cumsum([len(t) for t in texts])
+    hashes = repeats.Hashes(len(data))
+    hot, sizes = np.zeros(0, np.uint64), []
+    for _ in range(6):
+        found = repeats.spans(data, ends, hashes, config, hot)
+        keys, covered = {}, []
+        for begin, count, key in zip(found.begin, found.count, found.key, strict=True):
+            for i in range(begin, begin + count):
+                assert keys.setdefault(data[i : i + config.length].tobytes(), key) == key
+                covered.append(i)
+        starts = np.append(0, ends[:-1])
+        assert sorted(covered) == [i for a, b in zip(starts, ends, strict=True) for i in range(a, b - config.length + 1)]
+        sizes.append(int((found.high - found.low).max()))
+        # Every other key is hot, and in the end all of them.
+        hot = np.union1d(hot, found.key if len(sizes) > 1 else found.key[::2])
+    assert sizes[0] == 77 and sizes[-1] == 1
+
+
 def test_texts_are_shuffled_once(spark):
     plan = repeats.remove_repeats(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text"))
     text = plan._jdf.queryExecution().toString()
